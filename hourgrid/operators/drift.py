@@ -7,6 +7,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hourgrid.dimensions import DRIFT_ALPHA, DRIFT_MIN_SAMPLES
 from hourgrid.functions.timefns import floor_hour, hour_number
@@ -106,7 +107,7 @@ def _stay_probability(n1: int, n2: int, gap: int) -> float:
     return row[n2]
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def unequal_size_p(n1: pd.Series, n2: pd.Series, gap: pd.Series) -> pd.Series:
     """Exact p-value for unequal sizes; one row per series, NULL where it does not apply."""
     return pd.Series([

@@ -125,4 +125,5 @@ def column_coverage(df: DataFrame, keys: Sequence[str], columns: Sequence[str])
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"n_{c}").alias("n"))
                       for c in columns])
     return (wide.select(*keys, "rows", F.inline(pairs))
-            .select(*keys, "column", "n", (F.col("n") * 100.0 / F.col("rows")).alias("coverage_pct")))
+            .select(*keys, "rows", "column", "n",
+                    (F.col("n") * 100.0 / F.col("rows")).alias("coverage_pct")))

@@ -1,4 +1,4 @@
-"""Explicit schemas of every external format."""
+"""Explicit schemas of every external format (structs, or DDL text for ``from_json``)."""
 
 from pyspark.sql import types as T
 
@@ -19,19 +19,19 @@ HISTORY_CSV = T.StructType([T.StructField(c, T.StringType()) for c in (
     "Humidity_Percent", "Precipitation_mm", "Pressure_MSL_hPa", "Temp_Inversion",
     "Crop_Burning_Season", "Festival_Period", "Season")])
 
-MEASUREMENT_PAGE = T.StructType.fromDDL(
+MEASUREMENT_PAGE = (
     "results array<struct<value:double, period:struct<datetimeTo:struct<utc:string>>,"
     " coverage:struct<percentCoverage:double>, flagInfo:struct<hasFlags:boolean>,"
     " summary:struct<min:double,max:double,sd:double>>>")
 
-SENSOR_PAGE = T.StructType.fromDDL("results array<struct<id:bigint, parameter:struct<name:string>>>")
+SENSOR_PAGE = "results array<struct<id:bigint, parameter:struct<name:string>>>"
 
-WEATHER_PAGE = T.StructType.fromDDL(
+WEATHER_PAGE = (
     "hourly struct<time:array<string>, temperature_2m:array<double>, wind_speed_10m:array<double>,"
     " wind_direction_10m:array<double>, relative_humidity_2m:array<double>,"
     " precipitation:array<double>, surface_pressure:array<double>>")
 
-LIVE_READING = T.StructType.fromDDL(
+LIVE_READING = (
     "status string, data struct<aqi:int, time:struct<s:string,tz:string>,"
     " iaqi:struct<t:struct<v:double>,h:struct<v:double>,w:struct<v:double>,wd:struct<v:double>,"
     "wg:struct<v:double>,p:struct<v:double>,dew:struct<v:double>>>")
