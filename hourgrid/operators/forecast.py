@@ -33,14 +33,19 @@ def seasonal_naive(df: DataFrame, keys: Sequence[str], ts: str = "ds", y: str =
     lagged = lagged.withColumns({"__hod": F.hour(ts), "__how": F.weekday(ts) * 24 + F.hour(ts)})
     known = df.filter(train)
     weekly = known.groupBy(*by, (F.weekday(ts) * 24 + F.hour(ts)).alias("__how")).agg(
-        F.avg(y).alias("__weekly"))
-    overall = known.groupBy(*by).agg(F.avg(y).alias("__overall"))
-    forecast = (lagged.join(weekly, [*by, "__how"], "left").join(overall, by, "left")
-                .withColumn("yhat", clip_index(F.coalesce("__lag", "__weekly", "__overall"))))
-    tail = (1.0 - interval_width) / 2
+        F.sum(y).alias("__sum"), F.count(y).alias("__n"))
+    # one row per series with its 168 hour-of-week means, and the mean over all of them
+    means = weekly.groupBy(*by).agg(
+        F.map_from_entries(F.collect_list(F.struct("__how", F.col("__sum") / F.col("__n")))).alias("__weekly"),
+        (F.sum("__sum") / F.sum("__n")).alias("__overall"))
+    usual = F.try_element_at("__weekly", F.col("__how"))
+    forecast = (lagged.join(means, by, "left")
+                .withColumn("yhat", clip_index(F.coalesce("__lag", usual, "__overall"))).drop("__weekly"))
+    tail = round((1.0 - interval_width) / 2, 12)
     residuals = forecast.filter(train & F.col("__lag").isNotNull()).select(
         *by, "__hod", (F.col(y) - F.col("yhat")).alias("__e"))
-    spread = exact_quantiles(residuals, [*by, "__hod"], "__e", [tail, 1.0 - tail], "__q")
+    spread = exact_quantiles(residuals, [*by, "__hod"], "__e", [tail, 1.0 - tail], "__q",
+                             slices=1)  # one value per hour of a series
     return (forecast.join(spread, [*by, "__hod"], "left")
             .withColumn("yhat_lower", clip_index(F.col("yhat") + F.coalesce(F.col("__q")[0], F.lit(0.0))))
             .withColumn("yhat_upper", clip_index(F.col("yhat") + F.coalesce(F.col("__q")[1], F.lit(0.0))))

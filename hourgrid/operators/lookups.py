@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourgrid.dimensions import DEFAULT_INDEX
-from hourgrid.functions.timefns import floor_day
+from hourgrid.functions.timefns import floor_day, hour_number
 
 
 def last_known(df: DataFrame, keys: Sequence[str], ts: str, columns: Sequence[str],
@@ -57,27 +57,34 @@ def fallback_value(series: DataFrame, live: DataFrame, last: DataFrame, mean: Da
 
 
 def as_of_join(left: DataFrame, right: DataFrame, keys: Sequence[str], ts: str,
-               columns: Sequence[str], bucket_hours: int = 24 * 30) -> DataFrame:
+               columns: Sequence[str], bucket_hours: int = 24, salts: int = 8) -> DataFrame:
     """Newest right-hand row at or before each left-hand row.
 
     Both sides are cut into time buckets; the value carried into a bucket comes
-    from a one-row-per-bucket summary, so a long series uses many tasks.
+    from a one-row-per-bucket summary of the right side. Within a bucket the
+    left rows are spread over ``salts`` groups that each see all right rows, so
+    neither a long series nor a hot key meets in one task.
     """
-    from hourgrid.functions.timefns import hour_number
-
     value = F.struct(F.col(ts).alias("__rts"), *columns)
     none = F.lit(None).cast(right.select(value.alias("v")).schema["v"].dataType)
-    both = (left.select(*keys, F.col(ts), F.struct(*left.columns).alias("__left"), none.alias("__v"))
-            .unionByName(right.select(*keys, F.col(ts), value.alias("__v")), allowMissingColumns=True)
-            .withColumn("__b", F.floor(hour_number(F.col(ts)) / bucket_hours)))
-    by = [*keys, "__b"]
-    summary = both.groupBy(*by).agg(F.max("__v").alias("__edge"))
-    buckets = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.select(*by, F.max("__edge").over(buckets).alias("__carry"))
-    upto = Window.partitionBy(*by).orderBy(ts).rangeBetween(
+    bucket = F.floor(hour_number(F.col(ts)) / bucket_hours)
+    lookups = right.select(*keys, F.col(ts), bucket.alias("__b"), value.alias("__v"))
+    probes = left.select(*keys, F.col(ts), bucket.alias("__b"), F.struct(*left.columns).alias("__left"))
+
+    newest = lookups.groupBy(*keys, "__b").agg(F.max("__v").alias("__edge"))
+    wanted = probes.select(*keys, "__b").distinct()
+    timeline = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = (wanted.join(newest, [*keys, "__b"], "full")
+             .withColumn("__carry", F.max("__edge").over(timeline)).drop("__edge"))
+
+    salt = F.pmod(F.xxhash64("__left"), F.lit(salts)).cast("int")
+    both = (probes.select("*", none.alias("__v"), salt.alias("__salt"))
+            .unionByName(lookups.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))),
+                         allowMissingColumns=True))
+    upto = Window.partitionBy(*keys, "__b", "__salt").orderBy(ts).rangeBetween(
         Window.unboundedPreceding, Window.currentRow)
     found = (both.withColumn("__m", F.max("__v").over(upto)).filter(F.col("__left").isNotNull())
-             .join(carry, by, "left").withColumn("__m", F.coalesce("__m", "__carry")))
+             .join(carry, [*keys, "__b"], "left").withColumn("__m", F.coalesce("__m", "__carry")))
     return found.select("__left.*", F.col("__m.__rts").alias(f"matched_{ts}"),
                         *[F.col(f"__m.{c}").alias(c) for c in columns])
 

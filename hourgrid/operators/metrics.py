@@ -80,13 +80,15 @@ def evaluate(df: DataFrame, keys: Sequence[str], ts: str = "ds", y: str = "y", y
 
 
 def calibration_bins(df: DataFrame, keys: Sequence[str], y: str = "y", lower: str = "yhat_lower",
-                     upper: str = "yhat_upper", n_bins: int = 5) -> DataFrame:
+                     upper: str = "yhat_upper", n_bins: int = 5, slices: int = 1) -> DataFrame:
     """Coverage by quantile bins of the interval width; bins without rows stay, with NULL.
 
-    The last bin is closed on both sides, the others are open above.
+    The last bin is closed on both sides, the others are open above. A test set
+    has one row per hour of its days; raise ``slices`` for anything denser.
     """
     rows = df.withColumn("__w", F.col(upper) - F.col(lower))
-    edges = exact_quantiles(rows, keys, "__w", [i / n_bins for i in range(n_bins + 1)], "__edges")
+    edges = exact_quantiles(rows, keys, "__w", [i / n_bins for i in range(n_bins + 1)], "__edges",
+                            slices)
     inner = F.slice("__edges", 2, n_bins - 1)
     passed = F.size(F.filter(inner, lambda e: e <= F.col("__w")))
     counted = (rows.join(edges, list(keys)).withColumn("bin", passed + 1)

@@ -18,28 +18,18 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seque
        work; the result does not depend on how good they are.
     3. Ranks are counted inside each slice and shifted by the size of the slices
        before it (one row per slice), so the largest sort is one slice of a key.
+
+    ``slices=1`` skips steps 2 and 3. Use it where the number of distinct values
+    per key is bounded: whole index values, or one value per hour of a series.
     """
-    counted = (df.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("__v"))
+    by = list(keys)
+    counted = (df.filter(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("__v"))
                .agg(F.count(F.lit(1)).alias("__n")))
-    cuts = [i / slices for i in range(1, slices)]
-    sketch = counted.groupBy(*keys).agg(
-        F.percentile_approx("__v", cuts, 10 * slices).alias("__cuts"))
-    sliced = (counted.join(sketch, list(keys))
-              .withColumn("__s", F.size(F.filter("__cuts", lambda c: c < F.col("__v"))))
-              .drop("__cuts"))
-    sizes = sliced.groupBy(*keys, "__s").agg(F.sum("__n").alias("__size"))
-    order = Window.partitionBy(*keys).orderBy("__s")
-    before = sizes.select(
-        *keys, "__s",
-        (F.sum("__size").over(order.rowsBetween(Window.unboundedPreceding, 0))
-         - F.col("__size")).alias("__before"),
-        F.sum("__size").over(Window.partitionBy(*keys)).alias("__total"))
-    inside = Window.partitionBy(*keys, "__s").orderBy("__v").rowsBetween(
-        Window.unboundedPreceding, 0)
-    ranked = (sliced.withColumn("__last", F.sum("__n").over(inside))
-              .join(before, [*keys, "__s"])
-              .withColumn("__last", F.col("__last") + F.col("__before"))
-              .withColumn("__first", F.col("__last") - F.col("__n")))
+    if slices == 1:
+        ranked = _ranked(counted, by).withColumn("__total", F.sum("__n").over(Window.partitionBy(*by)))
+    else:
+        ranked = _ranked_in_slices(counted, by, slices)
+    ranked = ranked.withColumn("__first", F.col("__last") - F.col("__n"))
 
     def at(rank):
         hit = (F.col("__first") <= rank) & (rank < F.col("__last"))
@@ -49,10 +39,32 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seque
     for i, p in enumerate(probs):
         position = (F.col("__total") - 1) * F.lit(float(p))
         picks += [at(F.floor(position)).alias(f"__lo{i}"), at(F.ceil(position)).alias(f"__hi{i}")]
-    found = ranked.groupBy(*keys).agg(F.max("__total").alias("__total"), *picks)
+    found = ranked.groupBy(*by).agg(F.max("__total").alias("__total"), *picks)
     values = []
     for i, p in enumerate(probs):
         position = (F.col("__total") - 1) * F.lit(float(p))
         values.append(F.col(f"__lo{i}") + (F.col(f"__hi{i}") - F.col(f"__lo{i}"))
                       * (position - F.floor(position)))
-    return found.select(*keys, F.array(*values).alias(out))
+    return found.select(*by, F.array(*values).alias(out))
+
+
+def _ranked(counted: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Rank after the last copy of each value (``__last``), counted within ``by``."""
+    running = Window.partitionBy(*by).orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+    return counted.withColumn("__last", F.sum("__n").over(running))
+
+
+def _ranked_in_slices(counted: DataFrame, by: Sequence[str], slices: int) -> DataFrame:
+    # the total rides along with the sketch, so all three uses of ``counted`` read
+    # the same columns and share one exchange
+    cuts = [i / slices for i in range(1, slices)]
+    sketch = counted.groupBy(*by).agg(
+        F.percentile_approx("__v", cuts, 10 * slices).alias("__cuts"), F.sum("__n").alias("__total"))
+    sliced = (counted.join(sketch, by)
+              .withColumn("__s", F.size(F.filter("__cuts", lambda c: c < F.col("__v"))))
+              .drop("__cuts"))
+    sizes = sliced.groupBy(*by, "__s").agg(F.sum("__n").alias("__size"))
+    earlier = Window.partitionBy(*by).orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select(*by, "__s", F.coalesce(F.sum("__size").over(earlier), F.lit(0)).alias("__before"))
+    return (_ranked(sliced, [*by, "__s"]).join(before, [*by, "__s"])
+            .withColumn("__last", F.col("__last") + F.col("__before")))

@@ -47,11 +47,11 @@ def weather(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def daily_orders(spark: SparkSession, sf: str) -> DataFrame:
-    """A multi-year daily series per order priority: mean order value in thousands."""
+    """A multi-year daily series per order priority: mean order value as a whole number."""
     rows = table(spark, sf, "orders").select(
         F.col("o_orderpriority").alias("city"), F.col("o_orderdate").alias("ds"), "o_totalprice")
     return rows.groupBy("city", "ds").agg(
-        (mean_of("o_totalprice", 2) / 1000).alias("y"))
+        F.rint(mean_of("o_totalprice", 2)).alias("y"))
 
 
 # ---- the same bindings in SQL, as common table expressions ----------------
@@ -105,7 +105,7 @@ WEATHER_CTE = """weather AS (
 
 DAILY_CTE = """daily AS (
  SELECT o_orderpriority AS city, o_orderdate AS ds,
-  sum(round(o_totalprice*100)::BIGINT)::DOUBLE / (count(o_totalprice)*100)::DOUBLE / 1000 AS y
+  round_even(sum(round(o_totalprice*100)::BIGINT)::DOUBLE / (count(o_totalprice)*100)::DOUBLE, 0) AS y
  FROM orders GROUP BY ALL)"""
 
 

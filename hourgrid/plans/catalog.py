@@ -26,7 +26,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 MODULES = ["feature_queries", "ingest_queries", "feed_queries", "drift_queries", "lookup_queries",
-           "monitoring_queries"]
+           "monitoring_queries", "forecast_queries", "store_queries", "stream_queries"]
 
 
 def load_all() -> None:

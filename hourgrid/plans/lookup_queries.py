@@ -39,7 +39,7 @@ SELECT e.event_id, e.event_type AS city, w.ts AS matched_ts, round(w.temperature
 FROM events e ASOF LEFT JOIN weather w ON e.event_type = w.city AND e.ts >= w.ts""")
 def _(spark, sf):
     left = readings(spark, sf).select("city", "ts", "event_id")
-    out = lookups.as_of_join(left, weather(spark, sf), KEYS, "ts", ["temperature_2m"], bucket_hours=168)
+    out = lookups.as_of_join(left, weather(spark, sf), KEYS, "ts", ["temperature_2m"])
     return out.select("event_id", "city", "matched_ts", F.round("temperature_2m", 9).alias("temperature_2m"))
 
 
