@@ -26,7 +26,7 @@ def baseline_stats(df: DataFrame, keys: Sequence[str], value: str = "y",
         points = df.groupBy(*keys).agg(F.percentile_approx(value, PROBS, 10000).alias("__q"))
     else:
         # whole index values: at most 501 distinct ones per series
-        points = exact_quantiles(df, keys, value, PROBS, "__q", slices=1)
+        points = exact_quantiles(df, keys, value, PROBS, "__q", bins=1)
     named = {n: F.col("__q")[i] for i, n in enumerate(["aqi_p25", "aqi_median", "aqi_p75", "aqi_p95"])}
     return basic.join(points, list(keys), "left").withColumns(named).drop("__q")
 

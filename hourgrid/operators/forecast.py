@@ -45,7 +45,7 @@ def seasonal_naive(df: DataFrame, keys: Sequence[str], ts: str = "ds", y: str =
     residuals = forecast.filter(train & F.col("__lag").isNotNull()).select(
         *by, "__hod", (F.col(y) - F.col("yhat")).alias("__e"))
     spread = exact_quantiles(residuals, [*by, "__hod"], "__e", [tail, 1.0 - tail], "__q",
-                             slices=1)  # one value per hour of a series
+                             bins=1)  # one value per hour of a series
     return (forecast.join(spread, [*by, "__hod"], "left")
             .withColumn("yhat_lower", clip_index(F.col("yhat") + F.coalesce(F.col("__q")[0], F.lit(0.0))))
             .withColumn("yhat_upper", clip_index(F.col("yhat") + F.coalesce(F.col("__q")[1], F.lit(0.0))))

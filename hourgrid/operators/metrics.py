@@ -14,12 +14,14 @@ from hourgrid.operators.quantiles import exact_quantiles
 
 
 def split_by_time(df: DataFrame, keys: Sequence[str], ts: str = "ds", test_days: int = 7,
-                  min_test_rows: int = 0) -> DataFrame:
-    """Label rows ``train`` or ``test`` (newer than the newest time minus ``test_days``).
+                  min_test_rows: int = 0, y: str = "y") -> DataFrame:
+    """Label rows ``train`` or ``test`` (newer than the newest target minus ``test_days``).
 
     Series with fewer than ``min_test_rows`` test rows are labelled ``short``.
     """
-    newest = df.groupBy(*keys).agg(F.max(ts).alias("__newest"))
+    # looking at the target keeps the input the same as the row side's, so that an
+    # hourly rollup below is shuffled once and shared
+    newest = df.groupBy(*keys).agg(F.max(F.when(F.col(y).isNotNull(), F.col(ts))).alias("__newest"))
     cutoff = F.col("__newest") - F.expr(f"INTERVAL {test_days} DAYS")
     label = F.when(F.col(ts) > cutoff, "test").otherwise("train")
     out = df.join(newest, list(keys)).withColumn("split", label).drop("__newest")
@@ -80,15 +82,15 @@ def evaluate(df: DataFrame, keys: Sequence[str], ts: str = "ds", y: str = "y", y
 
 
 def calibration_bins(df: DataFrame, keys: Sequence[str], y: str = "y", lower: str = "yhat_lower",
-                     upper: str = "yhat_upper", n_bins: int = 5, slices: int = 1) -> DataFrame:
+                     upper: str = "yhat_upper", n_bins: int = 5, width_bins: int = 1) -> DataFrame:
     """Coverage by quantile bins of the interval width; bins without rows stay, with NULL.
 
     The last bin is closed on both sides, the others are open above. A test set
-    has one row per hour of its days; raise ``slices`` for anything denser.
+    has one row per hour of its days; raise ``width_bins`` for anything denser.
     """
     rows = df.withColumn("__w", F.col(upper) - F.col(lower))
     edges = exact_quantiles(rows, keys, "__w", [i / n_bins for i in range(n_bins + 1)], "__edges",
-                            slices)
+                            width_bins)
     inner = F.slice("__edges", 2, n_bins - 1)
     passed = F.size(F.filter(inner, lambda e: e <= F.col("__w")))
     counted = (rows.join(edges, list(keys)).withColumn("bin", passed + 1)

@@ -4,67 +4,82 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+LEVELS = 2
+
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
-                    out: str = "quantiles", slices: int = 64) -> DataFrame:
+                    out: str = "quantiles", bins: int = 1024) -> DataFrame:
     """Linearly interpolated quantiles as an array column, one row per key.
 
-    1. Equal values are counted first (combined map-side), so copies vanish.
-    2. An approximate sketch of the distinct values gives cut points that slice
-       each key into parts of about equal size. The cut points only balance the
-       work; the result does not depend on how good they are.
-    3. Ranks are counted inside each slice and shifted by the size of the slices
-       before it (one row per slice), so the largest sort is one slice of a key.
+    Equal values are counted first (combined map-side), so copies vanish. Then
+    two rounds of a fixed-width histogram find the narrow cells that hold the
+    wanted ranks; only values in those cells are sorted, each cell on its own.
+    A histogram has at most ``bins`` rows per cell, so its running total is small.
+    Cells follow from minima, maxima and counts alone: a task that runs again
+    draws the same ones.
 
-    ``slices=1`` skips steps 2 and 3. Use it where the number of distinct values
-    per key is bounded: whole index values, or one value per hour of a series.
+    ``bins=1`` sorts the distinct values of a key directly. Use it where their
+    number is bounded: whole index values, or one value per hour of a series.
     """
     by = list(keys)
-    counted = (df.filter(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("__v"))
+    counted = (df.filter(F.col(value).isNotNull())
+               .groupBy(*by, F.col(value).cast("double").alias("__v"))
                .agg(F.count(F.lit(1)).alias("__n")))
-    if slices == 1:
-        ranked = _ranked(counted, by).withColumn("__total", F.sum("__n").over(Window.partitionBy(*by)))
+    if bins == 1:
+        ranked = _ranked(counted, by).withColumn(
+            "__total", F.sum("__n").over(Window.partitionBy(*by))).withColumn("__before", F.lit(0))
     else:
-        ranked = _ranked_in_slices(counted, by, slices)
-    ranked = ranked.withColumn("__first", F.col("__last") - F.col("__n"))
+        ranked = _ranked_in_cells(counted, by, probs, bins)
+    last = F.col("__last") + F.col("__before")
+    first = last - F.col("__n")
 
-    def at(rank):
-        hit = (F.col("__first") <= rank) & (rank < F.col("__last"))
-        return F.max(F.when(hit, F.col("__v").cast("double")))
+    def at(rank: Column) -> Column:
+        return F.max(F.when((first <= rank) & (rank < last), F.col("__v")))
 
     picks = []
     for i, p in enumerate(probs):
-        position = (F.col("__total") - 1) * F.lit(float(p))
-        picks += [at(F.floor(position)).alias(f"__lo{i}"), at(F.ceil(position)).alias(f"__hi{i}")]
+        picks += [at(F.floor(_position(p))).alias(f"__lo{i}"), at(F.ceil(_position(p))).alias(f"__hi{i}")]
     found = ranked.groupBy(*by).agg(F.max("__total").alias("__total"), *picks)
-    values = []
-    for i, p in enumerate(probs):
-        position = (F.col("__total") - 1) * F.lit(float(p))
-        values.append(F.col(f"__lo{i}") + (F.col(f"__hi{i}") - F.col(f"__lo{i}"))
-                      * (position - F.floor(position)))
+    values = [F.col(f"__lo{i}") + (F.col(f"__hi{i}") - F.col(f"__lo{i}"))
+              * (_position(p) - F.floor(_position(p))) for i, p in enumerate(probs)]
     return found.select(*by, F.array(*values).alias(out))
 
 
+def _position(p: float) -> Column:
+    return (F.col("__total") - 1) * F.lit(float(p))
+
+
 def _ranked(counted: DataFrame, by: Sequence[str]) -> DataFrame:
     """Rank after the last copy of each value (``__last``), counted within ``by``."""
     running = Window.partitionBy(*by).orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
     return counted.withColumn("__last", F.sum("__n").over(running))
 
 
-def _ranked_in_slices(counted: DataFrame, by: Sequence[str], slices: int) -> DataFrame:
-    # the total rides along with the sketch, so all three uses of ``counted`` read
-    # the same columns and share one exchange
-    cuts = [i / slices for i in range(1, slices)]
-    sketch = counted.groupBy(*by).agg(
-        F.percentile_approx("__v", cuts, 10 * slices).alias("__cuts"), F.sum("__n").alias("__total"))
-    sliced = (counted.join(sketch, by)
-              .withColumn("__s", F.size(F.filter("__cuts", lambda c: c < F.col("__v"))))
-              .drop("__cuts"))
-    sizes = sliced.groupBy(*by, "__s").agg(F.sum("__n").alias("__size"))
-    earlier = Window.partitionBy(*by).orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)
-    before = sizes.select(*by, "__s", F.coalesce(F.sum("__size").over(earlier), F.lit(0)).alias("__before"))
-    return (_ranked(sliced, [*by, "__s"]).join(before, [*by, "__s"])
-            .withColumn("__last", F.col("__last") + F.col("__before")))
+def _ranked_in_cells(counted: DataFrame, by: Sequence[str], probs: Sequence[float], bins: int) -> DataFrame:
+    """The values around the wanted ranks, ranked within their cell; ``__before`` rows lie below it."""
+    cells = counted.groupBy(*by).agg(
+        F.min("__v").alias("__lo"), F.max("__v").alias("__hi"), F.sum("__n").alias("__total")
+    ).withColumn("__before", F.lit(0).cast("bigint"))
+    path = list(by)
+    rows = counted
+    for level in range(LEVELS):
+        name = f"__c{level}"
+        share = F.try_divide(F.col("__v") - F.col("__lo"), F.col("__hi") - F.col("__lo"))
+        cell = F.coalesce(F.least(F.floor(share * bins), F.lit(bins - 1)), F.lit(0).cast("bigint"))
+        rows = rows.join(cells, path).withColumn(name, cell)
+        size = rows.groupBy(*path, name, "__total", "__before").agg(
+            F.sum("__n").alias("__size"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
+        lower = Window.partitionBy(*path).orderBy(name).rowsBetween(Window.unboundedPreceding, -1)
+        size = size.withColumn("__before", F.col("__before") + F.coalesce(F.sum("__size").over(lower), F.lit(0)))
+        wanted = [F.floor(_position(p)) for p in probs] + [F.ceil(_position(p)) for p in probs]
+        end = F.col("__before") + F.col("__size")
+        holds = F.lit(False)
+        for rank in wanted:
+            holds = holds | ((rank >= F.col("__before")) & (rank < end))
+        path = [*path, name]
+        cells = size.filter(holds).select(*path, "__lo", "__hi", "__total", "__before")
+        rows = rows.select(*path, "__v", "__n")
+    return _ranked(rows.join(cells, path), path)

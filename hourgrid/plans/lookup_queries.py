@@ -27,11 +27,10 @@ def _(spark, sf):
 
 @query("latest_per_sensor", f"""
 SELECT user_id AS station, max(ts) AS ts, arg_max(value, (ts, value)) AS pm25,
- round((epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(max(ts)))/3.6e9::DOUBLE, 9) AS age_hours, {index_sql('arg_max(value, (ts, value))')} AS aqi
+ (epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(max(ts)))/3.6e9::DOUBLE AS age_hours, {index_sql('arg_max(value, (ts, value))')} AS aqi
 FROM events WHERE ts >= TIMESTAMP '{AS_OF}' - INTERVAL 7 DAY AND ts <= TIMESTAMP '{AS_OF}' GROUP BY 1""")
 def _(spark, sf):
-    out = stations.latest_per_sensor(readings(spark, sf), ["station"], "ts", "pm25", _moment())
-    return out.withColumn("age_hours", F.round("age_hours", 9))
+    return stations.latest_per_sensor(readings(spark, sf), ["station"], "ts", "pm25", _moment())
 
 
 @query("as_of_weather", with_ctes(WEATHER_CTE) + """
@@ -152,12 +151,11 @@ WITH st AS (SELECT DISTINCT event_type AS city, user_id AS station FROM events),
 latest AS (SELECT event_type AS city, user_id AS station, max(ts) AS ts FROM events
  WHERE ts >= TIMESTAMP '{AS_OF}' - INTERVAL 7 DAY AND ts <= TIMESTAMP '{AS_OF}' GROUP BY ALL)
 SELECT city, count(ts)::BIGINT AS working, count(*)::BIGINT AS total,
- round(min((epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(ts))/3.6e9::DOUBLE), 9) AS newest_age_hours FROM st LEFT JOIN latest USING (city, station) GROUP BY city""")
+ min((epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(ts))/3.6e9::DOUBLE) AS newest_age_hours FROM st LEFT JOIN latest USING (city, station) GROUP BY city""")
 def _(spark, sf):
     rows = readings(spark, sf)
     latest = stations.latest_per_sensor(rows, ["city", "station"], "ts", "pm25", _moment())
-    out = stations.freshness(rows.select("city", "station").distinct(), latest, KEYS, "station", "pm25")
-    return out.withColumn("newest_age_hours", F.round("newest_age_hours", 9))
+    return stations.freshness(rows.select("city", "station").distinct(), latest, KEYS, "station", "pm25")
 
 
 @query("station_consensus", f"""

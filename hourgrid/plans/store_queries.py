@@ -36,7 +36,7 @@ def _(spark, sf):
     paths = {}
     for kind, rows in (("readings", hourly(spark, sf)), ("weather", weather(spark, sf))):
         paths[kind] = fresh_path(spark, kind)
-        (rows.withColumn("date", F.to_date("ts")).repartition("city", "date")
+        (rows.withColumn("date", F.to_date("ts")).hint("rebalance", "city", "date")
          .write.partitionBy("city", "date").parquet(paths[kind]))
     return backfill.storage_verification({k: spark.read.parquet(p) for k, p in paths.items()}, KEYS)
 
@@ -63,7 +63,7 @@ SELECT city, ds, round(y, 9) AS aqi, month(ds)::INTEGER AS month FROM daily QUAL
 def _(spark, sf):
     path = fresh_path(spark, "baseline")
     rows = baseline.monthly_baseline(daily_orders(spark, sf), KEYS)
-    rows.repartition("city", "month").write.partitionBy("city", "month").parquet(path)
+    rows.hint("rebalance", "city", "month").write.partitionBy("city", "month").parquet(path)
     return spark.read.parquet(path).select("city", "ds", F.round("aqi", 9).alias("aqi"), "month")
 
 

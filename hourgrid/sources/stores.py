@@ -54,7 +54,7 @@ def upsert_days(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence
         merged = first_wins(dated, [*keys, ts], order)
     staged = fresh_path(spark, "staged-days")
     merged.write.mode("overwrite").parquet(staged)
-    (spark.read.parquet(staged).repartition(*partition).sortWithinPartitions(*partition, ts)
+    (spark.read.parquet(staged).hint("rebalance", *partition).sortWithinPartitions(*partition, ts)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition).parquet(path))
 
