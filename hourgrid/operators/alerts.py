@@ -49,33 +49,42 @@ def error_ratio(df: DataFrame, keys: Sequence[str], failed: Column, ts: str = "t
         "ratio", F.col("failed") / F.col("requests"))
 
 
+def bucket_counts(value: Column, bounds: Sequence[float]) -> list[Column]:
+    """One counter per histogram bucket, the last one for values above every bound."""
+    counters = []
+    for i in range(len(bounds) + 1):
+        above = F.lit(True) if i == 0 else value > bounds[i - 1]
+        counters.append(F.count_if(above & (value <= bounds[i]) if i < len(bounds) else above).alias(f"__b{i}"))
+    return counters
+
+
+def with_bucket_quantile(df: DataFrame, q: float, bounds: Sequence[float]) -> DataFrame:
+    """Replace the bucket counters by ``requests`` and the interpolated ``quantile``.
+
+    Values above the last bound report that bound.
+    """
+    counters = [F.col(f"__b{i}") for i in range(len(bounds) + 1)]
+    rank, below, result = F.col("requests") * q, F.lit(0), F.when(F.lit(False), 0.0)
+    for i, upper in enumerate(bounds):
+        lower = 0.0 if i == 0 else bounds[i - 1]
+        inside = lower + (upper - lower) * (rank - below) / counters[i]
+        below = below + counters[i]
+        result = result.when((below >= rank) & (counters[i] > 0), inside)
+    return (df.withColumn("requests", sum(counters[1:], counters[0]))
+            .withColumn("quantile", result.otherwise(float(bounds[-1])))
+            .drop(*[f"__b{i}" for i in range(len(counters))]))
+
+
 def histogram_quantile(df: DataFrame, keys: Sequence[str], value: str, ts: str = "ts",
                        q: float = 0.95, span: int = 300, step: int = 60,
                        bounds: Sequence[float] = tuple(LATENCY_BOUNDS)) -> DataFrame:
     """Quantile of a fixed-bound histogram over the trailing window, interpolated in its bucket.
 
-    Values above the last bound report that bound. A window holds one counter
-    per bucket, however many requests it covers.
+    A window holds one counter per bucket, however many requests it covers.
     """
-    def in_bucket(i: int) -> Column:
-        low = F.lit(True) if i == 0 else F.col(value) > bounds[i - 1]
-        return low & (F.col(value) <= bounds[i]) if i < len(bounds) else low
-
-    n = len(bounds) + 1
-    pane = panes(df, keys, ts, step, [F.count_if(in_bucket(i)).alias(f"__b{i}") for i in range(n)])
-    wide = trailing(pane, keys, step, span, [F.sum(f"__b{i}").alias(f"__b{i}") for i in range(n)])
-    total = sum((F.col(f"__b{i}") for i in range(1, n)), F.col("__b0"))
-    rank = F.col("requests") * q
-    result, below = None, F.lit(0)
-    for i, upper in enumerate(bounds):
-        lower = 0.0 if i == 0 else bounds[i - 1]
-        inside = lower + (upper - lower) * (rank - below) / F.col(f"__b{i}")
-        below = below + F.col(f"__b{i}")
-        condition = (below >= rank) & (F.col(f"__b{i}") > 0)
-        result = F.when(condition, inside) if result is None else result.when(condition, inside)
-    wide = wide.withColumn("requests", total)
-    return (wide.withColumn("quantile", result.otherwise(float(bounds[-1])))
-            .select(*keys, "eval_ts", "requests", "quantile"))
+    pane = panes(df, keys, ts, step, bucket_counts(F.col(value), bounds))
+    totals = [F.sum(f"__b{i}").alias(f"__b{i}") for i in range(len(bounds) + 1)]
+    return with_bucket_quantile(trailing(pane, keys, step, span, totals), q, bounds)
 
 
 def sustained(evaluations: DataFrame, keys: Sequence[str], firing: Column, hold: int,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hourgrid.functions.index import pm25_to_aqi
+from hourgrid.operators.alerts import LATENCY_BOUNDS
 from hourgrid.plans.bindings import HOURLY_CTE, KEYS, index_sql, readings, table, with_ctes
 from hourgrid.plans.catalog import query
 from hourgrid.plans.drift_queries import ANNUAL, AS_OF, DRIFT_NUMBERS, _drift_sql, _features
@@ -71,6 +72,30 @@ def _(spark, sf):
     return spark.read.parquet(out).withColumn("eval_ts", F.col("eval_ts").cast("timestamp_ntz"))
 
 
+def _latency_sql() -> str:
+    """The hourly panes of four-hour windows, ranked inside their histogram bucket."""
+    bounds = LATENCY_BOUNDS
+    counts = ", ".join(f"count(*) FILTER (WHERE value <= {b}::DOUBLE) AS c{i}" for i, b in enumerate(bounds))
+    cases, lower = [], "0::DOUBLE"
+    for i, b in enumerate(bounds):
+        below = f"c{i - 1}" if i else "0"
+        cases.append(f"WHEN c{i} >= n*0.95::DOUBLE AND c{i} > {below} THEN {lower} + ({b}::DOUBLE - {lower})*(n*0.95::DOUBLE - {below})/(c{i} - {below})")
+        lower = f"{b}::DOUBLE"
+    return f"""WITH p AS (SELECT epoch(date_trunc('hour', ts))::BIGINT AS h, * FROM events),
+s AS (SELECT make_timestamp((h + 3600*i)*1000000) AS eval_ts, event_type AS city, value FROM p, (SELECT unnest(range(1, 5)) AS i)),
+c AS (SELECT city, eval_ts, count(*) AS n, {counts} FROM s GROUP BY ALL)
+SELECT city, eval_ts, n::BIGINT AS requests, round(CASE {' '.join(cases)} ELSE {lower} END, 9) AS quantile FROM c WHERE eval_ts <= {CLOSED}"""
+
+
+@query("stream_latency_p95", _latency_sql())
+def _(spark, sf):
+    out, checkpoint = fresh_path(spark, "stream-latency"), fresh_path(spark, "checkpoint")
+    p95 = jobs.sliding_quantile(_stream(spark, sf), KEYS, "ts", "pm25", "4 hours", "1 hour")
+    _finish(jobs.append_to(p95, out, checkpoint))
+    return spark.read.parquet(out).select("city", F.col("eval_ts").cast("timestamp_ntz").alias("eval_ts"),
+                                          "requests", F.round("quantile", 9).alias("quantile"))
+
+
 @query("stream_sessions", """
 WITH marks AS (SELECT event_type AS city, ts, coalesce(ts - lag(ts) OVER (PARTITION BY event_type ORDER BY ts) > INTERVAL 3 HOUR, true) AS fresh FROM events),
 runs AS (SELECT *, sum(fresh::INTEGER) OVER (PARTITION BY city ORDER BY ts ROWS UNBOUNDED PRECEDING) AS run FROM marks)

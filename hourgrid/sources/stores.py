@@ -83,7 +83,7 @@ def write_report(report: DataFrame, folder: str, as_of: str) -> None:
         else F.col(c) for c in saved.columns])
     saved.write.mode("overwrite").json(f"{folder}/evaluation_latest.json")
     for name in (f"evaluation_{stamp}.csv", "evaluation_latest.csv"):
-        flat.write.mode("overwrite").option("header", True).csv(f"{folder}/{name}")
+        flat.write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{folder}/{name}")
 
 
 def write_snapshot(df: DataFrame, path: str, as_of: str) -> None:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from hourgrid.operators.alerts import LATENCY_BOUNDS, bucket_counts, with_bucket_quantile
 from hourgrid.operators.drift import drift_report, retrain_list
 from hourgrid.operators.rollup import mean_of
 from hourgrid.sources.stores import upsert_days
@@ -55,6 +56,15 @@ def sliding_counts(df: DataFrame, keys: Sequence[str], ts: str, failed: Column,
         *keys, F.col("__w.end").alias("eval_ts"), "requests", "failed")
 
 
+def sliding_quantile(df: DataFrame, keys: Sequence[str], ts: str, value: str, span: str, slide: str,
+                     q: float = 0.95, bounds: Sequence[float] = tuple(LATENCY_BOUNDS),
+                     lateness: str = LATENESS) -> DataFrame:
+    """Histogram quantile per sliding window; state is one counter per bucket."""
+    windowed = df.withWatermark(ts, lateness).groupBy(*keys, F.window(ts, span, slide).alias("__w"))
+    counted = windowed.agg(*bucket_counts(F.col(value), bounds)).withColumn("eval_ts", F.col("__w.end"))
+    return with_bucket_quantile(counted.drop("__w"), q, bounds)
+
+
 def heartbeat_sessions(df: DataFrame, keys: Sequence[str], ts: str, gap: str,
                        lateness: str = LATENESS) -> DataFrame:
     """Up-time sessions: a new one starts after a silence longer than ``gap``."""
