@@ -57,34 +57,41 @@ def fallback_value(series: DataFrame, live: DataFrame, last: DataFrame, mean: Da
 
 
 def as_of_join(left: DataFrame, right: DataFrame, keys: Sequence[str], ts: str,
-               columns: Sequence[str], bucket_hours: int = 24, salts: int = 8) -> DataFrame:
+               columns: Sequence[str], bucket_hours: int = 24, rows_per_task: int = 500_000) -> DataFrame:
     """Newest right-hand row at or before each left-hand row.
 
     Both sides are cut into time buckets; the value carried into a bucket comes
-    from a one-row-per-bucket summary of the right side. Within a bucket the
-    left rows are spread over ``salts`` groups that each see all right rows, so
-    neither a long series nor a hot key meets in one task.
+    from a one-row-per-bucket summary of the right side. A bucket with many left
+    rows is dealt out over as many salts as its count asks for, each with all
+    right rows of the bucket, so neither a long series nor a hot key meets in
+    one task.
     """
     value = F.struct(F.col(ts).alias("__rts"), *columns)
     none = F.lit(None).cast(right.select(value.alias("v")).schema["v"].dataType)
     bucket = F.floor(hour_number(F.col(ts)) / bucket_hours)
+    by = [*keys, "__b"]
     lookups = right.select(*keys, F.col(ts), bucket.alias("__b"), value.alias("__v"))
     probes = left.select(*keys, F.col(ts), bucket.alias("__b"), F.struct(*left.columns).alias("__left"))
 
-    newest = lookups.groupBy(*keys, "__b").agg(F.max("__v").alias("__edge"))
-    wanted = probes.select(*keys, "__b").distinct()
+    wanted = probes.groupBy(*by).agg(
+        F.ceil(F.count(F.lit(1)) / rows_per_task).cast("int").alias("__salts"))
+    newest = lookups.groupBy(*by).agg(F.max("__v").alias("__edge"))
     timeline = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = (wanted.join(newest, [*keys, "__b"], "full")
-             .withColumn("__carry", F.max("__edge").over(timeline)).drop("__edge"))
-
-    salt = F.pmod(F.xxhash64("__left"), F.lit(salts)).cast("int")
-    both = (probes.select("*", none.alias("__v"), salt.alias("__salt"))
-            .unionByName(lookups.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))),
-                         allowMissingColumns=True))
-    upto = Window.partitionBy(*keys, "__b", "__salt").orderBy(ts).rangeBetween(
+    buckets = (wanted.join(newest, by, "full")
+               .withColumn("__carry", F.max("__edge").over(timeline))
+               .filter(F.col("__salts").isNotNull()).drop("__edge"))
+
+    # the partition number spreads copies of one row; it is the same when a task runs again
+    dealt = F.pmod(F.xxhash64("__left", F.spark_partition_id()), F.col("__salts")).cast("int")
+    both = (probes.join(buckets, by).withColumn("__salt", dealt).withColumn("__v", none)
+            .select(*by, ts, "__salt", "__left", "__carry", "__v")
+            .unionByName(lookups.join(buckets.select(*by, "__salts"), by).select(
+                *by, ts, F.explode(F.sequence(F.lit(0), F.col("__salts") - 1)).alias("__salt"), "__v"),
+                allowMissingColumns=True))
+    upto = Window.partitionBy(*by, "__salt").orderBy(ts).rangeBetween(
         Window.unboundedPreceding, Window.currentRow)
-    found = (both.withColumn("__m", F.max("__v").over(upto)).filter(F.col("__left").isNotNull())
-             .join(carry, [*keys, "__b"], "left").withColumn("__m", F.coalesce("__m", "__carry")))
+    found = both.withColumn("__m", F.coalesce(F.max("__v").over(upto), F.col("__carry"))).filter(
+        F.col("__left").isNotNull())
     return found.select("__left.*", F.col("__m.__rts").alias(f"matched_{ts}"),
                         *[F.col(f"__m.{c}").alias(c) for c in columns])
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from hourgrid.functions.index import pm25_to_aqi
 from hourgrid.functions.timefns import floor_hour
 from hourgrid.operators.rollup import hourly_mean, mean_of
+from hourgrid.session import saved
 
 KEYS = ["city"]
 AS_OF = "2024-01-31 00:00:00"
@@ -42,13 +43,18 @@ def readings(spark: SparkSession, sf: str) -> DataFrame:
         F.col("value").alias("pm25"), "event_id")
 
 
-def hourly(spark: SparkSession, sf: str) -> DataFrame:
+def hourly_plan(spark: SparkSession, sf: str) -> DataFrame:
     """Hourly mean concentration per city and its index (one row per city and hour)."""
     rows = hourly_mean(readings(spark, sf), KEYS, "ts", "pm25", decimals=2)
     return rows.withColumn("aqi", pm25_to_aqi(F.col("pm25"))).drop("n")
 
 
-def weather(spark: SparkSession, sf: str) -> DataFrame:
+def hourly(spark: SparkSession, sf: str) -> DataFrame:
+    """The hourly readings as a table of their own, for plans that use them more than once."""
+    return saved(hourly_plan(spark, sf), "hourly")
+
+
+def weather_plan(spark: SparkSession, sf: str) -> DataFrame:
     """Weather per city and hour: the property k of every event, announced one hour ahead.
 
     So some hours with readings have no weather, and the other way round.
@@ -61,7 +67,11 @@ def weather(spark: SparkSession, sf: str) -> DataFrame:
         mean_of("k", 0).alias("temperature_2m"), F.max("k").cast("double").alias("wind_speed_10m"))
 
 
-def daily_orders(spark: SparkSession, sf: str) -> DataFrame:
+def weather(spark: SparkSession, sf: str) -> DataFrame:
+    return saved(weather_plan(spark, sf), "weather")
+
+
+def daily_plan(spark: SparkSession, sf: str) -> DataFrame:
     """A multi-year daily series per order priority: mean order value as a whole number."""
     rows = table(spark, sf, "orders").select(
         F.col("o_orderpriority").alias("city"), F.col("o_orderdate").alias("ds"), "o_totalprice")
@@ -69,6 +79,10 @@ def daily_orders(spark: SparkSession, sf: str) -> DataFrame:
         F.rint(mean_of("o_totalprice", 2)).alias("y"))
 
 
+def daily_orders(spark: SparkSession, sf: str) -> DataFrame:
+    return saved(daily_plan(spark, sf), "daily")
+
+
 # ---- the same bindings in SQL, as common table expressions ----------------
 
 INDEX_SQL = """(CASE WHEN {v} IS NULL THEN NULL WHEN {v} < 0 THEN 0

@@ -7,15 +7,16 @@ from pyspark.sql import functions as F
 from hourgrid.operators import baseline, drift
 from hourgrid.operators.quantiles import exact_quantiles
 from hourgrid.plans.bindings import (
-    DAILY_CTE, HOURLY_CTE, KEYS, WEATHER_CTE, daily_orders, hourly, index_sql, readings, table, weather,
-    with_ctes)
+    DAILY_CTE, HOURLY_CTE, KEYS, WEATHER_CTE, daily_orders, daily_plan, hourly_plan, index_sql, readings, table,
+    weather_plan, with_ctes)
 from hourgrid.plans.catalog import query
+from hourgrid.session import saved
 
 AS_OF = "2024-01-30 12:00:00"
 
 
 def _features(spark, sf):
-    return hourly(spark, sf).select("city", F.col("ts").alias("ds"), F.col("aqi").cast("double").alias("y"))
+    return hourly_plan(spark, sf).select("city", F.col("ts").alias("ds"), F.col("aqi").cast("double").alias("y"))
 
 
 def _rounded(df, names):
@@ -32,7 +33,8 @@ SELECT city, count(aqi)::BIGINT AS n_samples, round(avg(aqi), 9) AS aqi_mean, ro
  min(aqi)::DOUBLE AS aqi_min, max(aqi)::DOUBLE AS aqi_max, round(avg(wind_speed_10m), 9) AS wind_mean, round(avg(temperature_2m), 9) AS temp_mean
 FROM hourly LEFT JOIN weather USING (city, ts) GROUP BY city""")
 def _(spark, sf):
-    rows = _features(spark, sf).join(weather(spark, sf).withColumnRenamed("ts", "ds"), ["city", "ds"], "left")
+    rows = saved(_features(spark, sf).join(
+        weather_plan(spark, sf).withColumnRenamed("ts", "ds"), ["city", "ds"], "left"), "features")
     out = baseline.baseline_stats(rows, KEYS, weather_means=["wind_speed_10m", "temperature_2m"])
     return _rounded(out, [*STATS, "wind_mean", "temp_mean"])
 
@@ -50,7 +52,7 @@ def order_value_quantiles(spark, sf):
 @query("baseline_months", with_ctes(DAILY_CTE) + """
 SELECT city, month(ds)::INTEGER AS month, count(*)::BIGINT AS "rows", count(*) >= 100 AS has_baseline FROM daily GROUP BY ALL""")
 def _(spark, sf):
-    return baseline.month_counts(daily_orders(spark, sf), KEYS)
+    return baseline.month_counts(daily_plan(spark, sf), KEYS)
 
 
 @query("baseline_monthly", with_ctes(DAILY_CTE) + """
@@ -105,8 +107,10 @@ def _raw(spark, sf):
     return readings(spark, sf).select("city", "ts", pm25_to_aqi(F.col("pm25")).alias("aqi"))
 
 
-def _series(spark, sf):
-    return readings(spark, sf).select("city").distinct()
+def _inputs(spark, sf):
+    """Features as a table, and the series in it."""
+    features = saved(_features(spark, sf), "features")
+    return features, features.select("city").distinct()
 
 
 DRIFT_NUMBERS = ["p_value", "ks_stat", "baseline_mean", "recent_mean"]
@@ -114,14 +118,15 @@ DRIFT_NUMBERS = ["p_value", "ks_stat", "baseline_mean", "recent_mean"]
 
 @query("ks_drift", with_ctes(HOURLY_CTE, RECENT_SQL) + "," + _drift_sql(ANNUAL, "annual"))
 def ks_drift(spark, sf):
-    out = drift.drift_report(_features(spark, sf), _raw(spark, sf), _series(spark, sf), KEYS, "ts", "aqi", AS_OF)
+    features, series = _inputs(spark, sf)
+    out = drift.drift_report(features, _raw(spark, sf), series, KEYS, "ts", "aqi", AS_OF)
     return _rounded(out, DRIFT_NUMBERS)
 
 
 @query("ks_drift_seasonal", with_ctes(HOURLY_CTE, RECENT_SQL) + "," + _drift_sql(SEASONAL, "seasonal"))
 def _(spark, sf):
-    out = drift.drift_report(_features(spark, sf), _raw(spark, sf), _series(spark, sf), KEYS, "ts", "aqi", AS_OF,
-                             seasonal=True)
+    features, series = _inputs(spark, sf)
+    out = drift.drift_report(features, _raw(spark, sf), series, KEYS, "ts", "aqi", AS_OF, seasonal=True)
     return _rounded(out, DRIFT_NUMBERS)
 
 
@@ -132,11 +137,12 @@ GUARD_BASE = ANNUAL + " WHERE city <> 'error'"
 def _guarded(spark, sf):
     """One series without a baseline, one without recent rows, one with too few."""
     moment = F.lit(AS_OF).cast("timestamp_ntz")
-    base = baseline.baseline_for(_features(spark, sf).filter("city <> 'error'"), KEYS, None)
+    features, series = _inputs(spark, sf)
+    base = baseline.baseline_for(features.filter("city <> 'error'"), KEYS, None)
     recent = drift.recent_hourly(_raw(spark, sf), KEYS, "ts", "aqi", moment).filter(
         (F.col("city") != "click")
         & ((F.col("city") != "view") | (F.col("ts") >= F.lit("2024-01-30 00:00:00").cast("timestamp_ntz"))))
-    return drift.check_drift(base, recent, _series(spark, sf), KEYS, "annual", moment)
+    return drift.check_drift(base, recent, series, KEYS, "annual", moment)
 
 
 @query("drift_guardrails", with_ctes(HOURLY_CTE, RECENT_SQL, GUARD_RECENT) + "," + _drift_sql(GUARD_BASE, "annual", "recent2"))
@@ -154,5 +160,6 @@ def _shifted(spark, sf):
 @query("retrain_list", with_ctes(HOURLY_CTE, RECENT_SQL, "recent3 AS (SELECT city, ts, aqi + CASE WHEN city IN ('click', 'view') THEN 40 ELSE 0 END AS aqi FROM recent)")
        + "," + "result AS (WITH " + _drift_sql(ANNUAL, "annual", "recent3").strip() + ") SELECT city, recent_n, is_drifted FROM result WHERE is_drifted AND error IS NULL")
 def _(spark, sf):
-    out = drift.drift_report(_features(spark, sf), _shifted(spark, sf), _series(spark, sf), KEYS, "ts", "aqi", AS_OF)
+    features, series = _inputs(spark, sf)
+    out = drift.drift_report(features, _shifted(spark, sf), series, KEYS, "ts", "aqi", AS_OF)
     return drift.retrain_list(out).select("city", "recent_n", "is_drifted")

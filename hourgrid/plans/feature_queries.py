@@ -12,9 +12,10 @@ from hourgrid.operators.grid import directional_fill, grid_gaps, hourly_grid
 from hourgrid.operators.quality import (
     column_coverage, fill_with_series_mean, wind_unit_fix, with_missing_as_null)
 from hourgrid.plans.bindings import (
-    DAILY_CTE, GRID_CTE, HOURLY_CTE, KEYS, WEATHER_CTE, daily_orders, hourly, index_sql, label_sql,
-    readings, table, weather, with_ctes)
+    DAILY_CTE, GRID_CTE, HOURLY_CTE, KEYS, WEATHER_CTE, daily_plan, hourly, hourly_plan, index_sql,
+    label_sql, readings, table, weather, weather_plan, with_ctes)
 from hourgrid.plans.catalog import query
+from hourgrid.session import saved
 
 LAG_CTE = "filled AS (SELECT *, avg(aqi) OVER (PARTITION BY city) AS m,\n" + ",\n".join(
     f" lag(aqi, {h}) OVER w AS l{h}" for h in LAG_HOURS) + "\n FROM grid WINDOW w AS (PARTITION BY city ORDER BY ts))"
@@ -142,7 +143,7 @@ def hourly_features(spark, sf):
 SELECT h.city, h.ts, h.aqi, round(w.temperature_2m, 9) AS temperature_2m, w.wind_speed_10m
 FROM hourly h LEFT JOIN weather w USING (city, ts)""")
 def _(spark, sf):
-    joined = hourly(spark, sf).join(weather(spark, sf), ["city", "ts"], "left")
+    joined = hourly_plan(spark, sf).join(weather_plan(spark, sf), ["city", "ts"], "left")
     return joined.select("city", "ts", "aqi", F.round("temperature_2m", 9).alias("temperature_2m"),
                          "wind_speed_10m")
 
@@ -159,7 +160,7 @@ SELECT city, ts, round(coalesce(temperature_2m, avg(temperature_2m) OVER (PARTIT
 FROM grid LEFT JOIN weather USING (city, ts)""")
 def _(spark, sf):
     grid = hourly_grid(hourly(spark, sf), KEYS).select("city", "ts")
-    joined = grid.join(weather(spark, sf).drop("wind_speed_10m"), ["city", "ts"], "left")
+    joined = saved(grid.join(weather_plan(spark, sf).drop("wind_speed_10m"), ["city", "ts"], "left"), "joined")
     return _rounded(fill_with_series_mean(joined, KEYS, ["temperature_2m"]), ["temperature_2m"])
 
 
@@ -183,7 +184,7 @@ SELECT city, count(*)::BIGINT AS "rows", 'aqi' AS "column", count(aqi)::BIGINT A
 UNION ALL SELECT city, count(*)::BIGINT, 'temperature_2m', count(temperature_2m)::BIGINT, round(count(temperature_2m)*100.0::DOUBLE/count(*), 9) FROM joined GROUP BY city
 UNION ALL SELECT city, count(*)::BIGINT, 'surface_pressure', 0::BIGINT, 0.0::DOUBLE FROM joined GROUP BY city""")
 def _(spark, sf):
-    joined = hourly_grid(hourly(spark, sf), KEYS).join(weather(spark, sf), ["city", "ts"], "left")
+    joined = hourly_grid(hourly(spark, sf), KEYS).join(weather_plan(spark, sf), ["city", "ts"], "left")
     joined = with_missing_as_null(joined, ["surface_pressure"])
     return _rounded(column_coverage(joined, KEYS, ["aqi", "temperature_2m", "surface_pressure"]),
                     ["coverage_pct"])
@@ -212,12 +213,12 @@ def station_series_features(spark, sf):
     keys = ["station", "city"]
     rows = hourly_mean(readings(spark, sf), keys, "ts", "pm25", decimals=2)
     rows = rows.select(*keys, "ts", ix.pm25_to_aqi(F.col("pm25")).cast("double").alias("aqi"))
-    out = with_series_windows(rows, keys, "ts", "aqi", lags=[24], windows=[(24, "24h")])
+    out = with_series_windows(saved(rows, "station-hours"), keys, "ts", "aqi", lags=[24], windows=[(24, "24h")])
     return _rounded(out, ["aqi_lag_24h", "aqi_roll_mean_24h", "aqi_roll_std_24h"])
 
 
 @query("daily_series_calendar", with_ctes(DAILY_CTE) + f"""
 SELECT city, ds, round(y, 9) AS y, {CALENDAR_SQL.format(t='ds')}, {SEASON_SQL.format(t='ds')} FROM daily""")
 def _(spark, sf):
-    out = tf.with_cyclic(tf.with_calendar(tf.with_season_effects(daily_orders(spark, sf))))
+    out = tf.with_cyclic(tf.with_calendar(tf.with_season_effects(daily_plan(spark, sf))))
     return _rounded(out, ["y", *CYCLIC])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from hourgrid.functions import timefns as tf
 from hourgrid.operators import stations
 from hourgrid.plans.bindings import (
-    AS_OF, HOURLY_CTE, KEYS, hourly, index_sql, table, with_ctes)
+    AS_OF, HOURLY_CTE, KEYS, hourly_plan, index_sql, table, with_ctes)
 from hourgrid.plans.catalog import query
 from hourgrid.sources import feeds
 
@@ -42,7 +42,7 @@ def _(spark, sf):
 SELECT city, (ts - INTERVAL 330 MINUTE)::TIMESTAMP AS ts, aqi::DOUBLE AS temperature_2m, round(pm25, 9) AS wind_speed_10m,
  NULL::DOUBLE AS surface_pressure FROM hourly WHERE aqi <= 150""")
 def _(spark, sf):
-    hours = hourly(spark, sf).withColumn("day", F.to_date("ts"))
+    hours = hourly_plan(spark, sf).withColumn("day", F.to_date("ts"))
     one = F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm").alias("time"),
                    F.when(F.col("aqi") <= 150, F.col("aqi").cast("double")).alias("t"),
                    F.col("pm25").alias("w"))

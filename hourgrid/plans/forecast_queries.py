@@ -8,8 +8,10 @@ from hourgrid.functions.index import aqi_label, whole_index
 from hourgrid.operators import forecast, lookups, metrics, registry, regression
 from hourgrid.operators.features import feature_table
 from hourgrid.plans.bindings import (
-    DAILY_CTE, HOURLY_CTE, KEYS, WEATHER_CTE, daily_orders, hourly, label_sql, readings, weather, with_ctes)
+    DAILY_CTE, HOURLY_CTE, KEYS, WEATHER_CTE, daily_orders, hourly, label_sql, readings, table, weather,
+    weather_plan, with_ctes)
 from hourgrid.plans.catalog import query
+from hourgrid.session import saved
 
 AS_OF = "2024-01-25 12:30:00"
 
@@ -36,11 +38,15 @@ def _series(spark, sf):
     return metrics.split_by_time(rows, KEYS, test_days=7)
 
 
-def _naive(spark, sf):
+def _naive_plan(spark, sf):
     out = forecast.seasonal_naive(_series(spark, sf), KEYS)
     return _rounded(out, ["yhat", "yhat_lower", "yhat_upper"])
 
 
+def _naive(spark, sf):
+    return saved(_naive_plan(spark, sf), "naive")
+
+
 @query("train_test_split", with_ctes(HOURLY_CTE, SPLIT_CTE) + """
 SELECT city, ds, y, CASE WHEN count(*) FILTER (WHERE split = 'test') OVER (PARTITION BY city) < 24 THEN 'short' ELSE split END AS split FROM series""")
 def _(spark, sf):
@@ -50,7 +56,7 @@ def _(spark, sf):
 
 @query("seasonal_naive_forecast", NAIVE + "SELECT * FROM naive")
 def seasonal_naive_forecast(spark, sf):
-    return _naive(spark, sf)
+    return _naive_plan(spark, sf)
 
 
 METRICS_SQL = """avg(abs(y - yhat)) AS mae, sqrt(avg((y - yhat)*(y - yhat))) AS rmse, avg(abs((y - yhat)/(y + 1e-8::DOUBLE)))*100 AS mape_eps,
@@ -70,7 +76,7 @@ REPORT_NUMBERS = ["mae", "rmse", "mape_eps", "mape_clip", "coverage_95", "catego
 
 
 def _test(spark, sf):
-    return _naive(spark, sf).filter("split = 'test'")
+    return _naive_plan(spark, sf).filter("split = 'test'")
 
 
 @query("eval_report", NAIVE + ", " + REPORT_CTE + """
@@ -100,7 +106,7 @@ SELECT x.city, x.bin, round(width_low, 9) AS width_low, round(width_high, 9) AS
 FROM edges x LEFT JOIN w ON x.city = w.city AND w.width >= x.width_low AND (w.width < x.width_high OR (x.bin = 5 AND w.width <= x.width_high))
 GROUP BY ALL""")
 def calibration_bins(spark, sf):
-    rows = _test(spark, sf)
+    rows = _naive(spark, sf).filter("split = 'test'")
     # the same width in whole millionths on both engines, so that bin edges do not hang on the last bit
     width = F.round(F.col("yhat_upper") - F.col("yhat_lower"), 6)
     covered = F.col("y").between(F.col("yhat_lower"), F.col("yhat_upper"))
@@ -115,7 +121,7 @@ SELECT city, round(a.mae, 9) AS train_mae, round(a.rmse, 9) AS train_rmse, round
  round(b.mae - a.mae, 9) AS gap_mae, round(b.rmse - a.rmse, 9) AS gap_rmse, round(b.mape_eps - a.mape_eps, 9) AS gap_mape
 FROM (SELECT * FROM m WHERE split = 'train') a JOIN (SELECT * FROM m WHERE split = 'test') b USING (city)""")
 def _(spark, sf):
-    out = metrics.split_metrics(_naive(spark, sf), KEYS)
+    out = metrics.split_metrics(_naive_plan(spark, sf), KEYS)
     return _rounded(out, [c for c in out.columns if c != "city"])
 
 
@@ -164,8 +170,8 @@ def _versions(spark, sf):
     daily = daily_orders(spark, sf)
     before = daily.select("city", (F.col("ds") + F.expr("INTERVAL 1 DAY")).alias("ds"), F.col("y").alias("yhat"))
     version = F.floor(F.date_diff("ds", F.lit("1995-01-01").cast("date")) / 30).cast("int")
-    return (daily.join(before, ["city", "ds"]).groupBy("city", version.alias("version"))
-            .agg(F.avg(F.abs(F.col("y") - F.col("yhat"))).alias("mae")))
+    return saved(daily.join(before, ["city", "ds"]).groupBy("city", version.alias("version"))
+                 .agg(F.avg(F.abs(F.col("y") - F.col("yhat"))).alias("mae")), "versions")
 
 
 @query("champion_history", with_ctes(DAILY_CTE, VERSIONS_CTE) + """
@@ -185,7 +191,8 @@ def _(spark, sf):
 
 
 def _registered(spark, sf):
-    return daily_orders(spark, sf).select("city").union(readings(spark, sf).select("city")).distinct()
+    orders = table(spark, sf, "orders").select(F.col("o_orderpriority").alias("city"))
+    return orders.union(readings(spark, sf).select("city")).distinct()
 
 
 @query("missing_models", """
@@ -205,7 +212,7 @@ def _(spark, sf):
 SELECT city, ts, round(temperature_2m, 9) AS temperature_2m FROM (
  SELECT *, row_number() OVER (PARTITION BY city ORDER BY ts) AS r FROM weather WHERE ts >= TIMESTAMP '{AS_OF}') WHERE r <= 24""")
 def _(spark, sf):
-    out = forecast.next_hours(weather(spark, sf), KEYS, "ts", F.lit(AS_OF).cast("timestamp_ntz"))
+    out = forecast.next_hours(weather_plan(spark, sf), KEYS, "ts", F.lit(AS_OF).cast("timestamp_ntz"))
     return _rounded(out, ["temperature_2m"]).drop("wind_speed_10m")
 
 
@@ -229,7 +236,7 @@ def future_frame(spark, sf):
     hours, wx = hourly(spark, sf), weather(spark, sf)
     past, past_wx = hours.filter(F.col("ts") <= moment), wx.filter(F.col("ts") <= moment)
     out = forecast.future_frame(
-        readings(spark, sf).select("city").distinct(), KEYS, moment, 24, wx,
+        hours.select("city").distinct(), KEYS, moment, 24, wx,
         lookups.recent_mean(past_wx, KEYS, "ts", ["temperature_2m", "wind_speed_10m"]),
         lookups.last_known(past, KEYS, "ts", ["aqi"]).withColumnRenamed("aqi", "value"),
         lookups.recent_mean(past, KEYS, "ts", ["aqi"]).withColumnRenamed("aqi", "value"))
@@ -242,8 +249,9 @@ def ridge_forecast(spark, sf):
     """Additive seasonal regression with regressors: fitted on the older part, scored on the rest."""
     model = regression.SeasonalModel(regressors=(
         "wind_speed_10m", "temperature_2m", "aqi_lag_24h", "aqi_roll_mean_24h", "is_rush_hour"))
-    rows = metrics.split_by_time(feature_table(hourly(spark, sf), KEYS, weather=weather(spark, sf)), KEYS)
-    rows = rows.select("city", "ds", "y", "split", *model.regressors)
+    features = saved(feature_table(hourly(spark, sf), KEYS, weather=weather(spark, sf)).select(
+        "city", "ds", "y", *model.regressors), "features")
+    rows = metrics.split_by_time(features, KEYS)
     fitted = regression.fit(rows.filter("split = 'train'"), KEYS, model=model)
     scored = regression.predict(rows.filter("split = 'test'"), fitted, KEYS, model=model)
     return scored.select("city", "ds", "y", *[F.round(c, 6).alias(c) for c in ("yhat", "yhat_lower", "yhat_upper")],

@@ -9,7 +9,7 @@ from hourgrid.functions.index import pm25_to_aqi
 from hourgrid.operators import backfill, dedupe, quality, rollup
 from hourgrid.plans.bindings import (
     AS_OF, KEYS, READINGS_CTE, hourly, index_sql, readings, table, with_ctes, HOURLY_CTE, WEATHER_CTE,
-    weather)
+    weather_plan)
 from hourgrid.plans.catalog import query
 
 
@@ -209,10 +209,10 @@ def _(spark, sf):
     count = F.count(F.lit(1)).alias("value")
     parts = {
         "readings": hours.groupBy("city").agg(count),
-        "weather": weather(spark, sf).filter("wind_speed_10m > 90").groupBy("city").agg(count),
+        "weather": weather_plan(spark, sf).filter("wind_speed_10m > 90").groupBy("city").agg(count),
         "live_index": hours.filter("aqi > 300").groupBy("city").agg(F.max_by("aqi", "ts").alias("value")),
     }
-    return backfill.run_summary(readings(spark, sf).select("city").distinct(), parts, KEYS,
+    return backfill.run_summary(hours.select("city").distinct(), parts, KEYS,
                                 {"readings": 0, "weather": 0})
 
 

@@ -8,8 +8,9 @@ from hourgrid.dimensions import CITIES
 from hourgrid.operators import lookups, quality, regression, stations
 from hourgrid.functions.index import clip_index, pm25_to_aqi
 from hourgrid.plans.bindings import (
-    HOURLY_CTE, KEYS, WEATHER_CTE, hourly, index_sql, readings, table, weather, with_ctes)
+    HOURLY_CTE, KEYS, WEATHER_CTE, hourly, hourly_plan, index_sql, readings, table, weather, weather_plan, with_ctes)
 from hourgrid.plans.catalog import query
+from hourgrid.session import saved
 from hourgrid.sources.stores import split_range_union
 
 AS_OF = "2024-01-25 12:30:00"
@@ -22,7 +23,7 @@ def _moment():
 @query("last_known", with_ctes(HOURLY_CTE) + f"""
 SELECT city, max(ts) AS ts, arg_max(aqi, ts) AS aqi FROM hourly WHERE ts <= TIMESTAMP '{AS_OF}' GROUP BY city""")
 def _(spark, sf):
-    return lookups.last_known(hourly(spark, sf), KEYS, "ts", ["aqi"], _moment())
+    return lookups.last_known(hourly_plan(spark, sf), KEYS, "ts", ["aqi"], _moment())
 
 
 @query("latest_per_sensor", f"""
@@ -63,7 +64,7 @@ SELECT city, round(coalesce(live.v, last.v, mean.v, 100), 9) AS value,
 FROM series LEFT JOIN live USING (city) LEFT JOIN last USING (city) LEFT JOIN mean USING (city)""")
 def _(spark, sf):
     hours = hourly(spark, sf)
-    known = readings(spark, sf).select("city").distinct()
+    known = hours.select("city").distinct()
     others = table(spark, sf, "orders").select(F.col("o_orderpriority").alias("city")).distinct()
     live = lookups.last_known(hours.filter((F.col("ts") >= _moment()) & (F.col("aqi") >= 200)
                                            & F.col("city").isin("click", "view")), KEYS, "ts", ["aqi"])
@@ -192,7 +193,7 @@ def _(spark, sf):
 SELECT city, ts, round(coalesce(temperature_2m, avg(temperature_2m) OVER (PARTITION BY city), 0), 9) AS temperature_2m,
  0.0::DOUBLE AS humidity FROM hourly LEFT JOIN weather USING (city, ts)""")
 def _(spark, sf):
-    joined = hourly(spark, sf).join(weather(spark, sf), ["city", "ts"], "left")
+    joined = saved(hourly_plan(spark, sf).join(weather_plan(spark, sf), ["city", "ts"], "left"), "joined")
     out = regression.assemble_regressors(joined, KEYS, "ts", ["temperature_2m", "humidity"])
     return out.withColumn("temperature_2m", F.round("temperature_2m", 9))
 
@@ -203,7 +204,8 @@ m AS (SELECT city, avg(coalesce(temperature_2m, 0)) AS tm FROM j WHERE NOT test
 SELECT city, ts, round(coalesce(temperature_2m, tm, 0), 9) AS temperature_2m,
  round(least(greatest(coalesce(temperature_2m, tm, 0)*12 - 100, 0), 500), 9) AS clipped FROM j JOIN m USING (city) WHERE test""")
 def _(spark, sf):
-    joined = hourly(spark, sf).join(weather(spark, sf), ["city", "ts"], "left").select("city", "ts", "temperature_2m")
+    joined = saved(hourly_plan(spark, sf).join(weather_plan(spark, sf), ["city", "ts"], "left").select(
+        "city", "ts", "temperature_2m"), "joined")
     cut = F.lit("2024-01-23 00:00:00").cast("timestamp_ntz")
     filled = regression.fill_with_train_mean(joined.filter(F.col("ts") > cut), joined.filter(F.col("ts") <= cut),
                                              KEYS, ["temperature_2m"])
@@ -217,6 +219,6 @@ def _(spark, sf):
 SELECT 'temperature_2m' AS regressor, count(temperature_2m)::BIGINT AS non_null, count(temperature_2m) > 0 AS available FROM j
 UNION ALL SELECT 'temp_inversion', 0::BIGINT, false""")
 def _(spark, sf):
-    joined = hourly(spark, sf).join(weather(spark, sf), ["city", "ts"], "left")
+    joined = hourly_plan(spark, sf).join(weather_plan(spark, sf), ["city", "ts"], "left")
     joined = quality.with_missing_as_null(joined, ["temp_inversion"])
     return regression.regressor_availability(joined, ["temperature_2m", "temp_inversion"])

@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 from hourgrid.functions.timefns import city_key
 from hourgrid.operators import backfill, baseline, drift, metrics
 from hourgrid.plans.bindings import (
-    DAILY_CTE, HOURLY_CTE, KEYS, WEATHER_CTE, daily_orders, hourly, index_sql, table, weather,
-    with_ctes)
+    DAILY_CTE, HOURLY_CTE, KEYS, WEATHER_CTE, daily_orders, hourly, hourly_plan, index_sql, table,
+    weather_plan, with_ctes)
 from hourgrid.plans.catalog import query
 from hourgrid.plans.drift_queries import AS_OF as DRIFT_AS_OF
 from hourgrid.plans.drift_queries import RECENT_SQL, _raw
-from hourgrid.plans.forecast_queries import NAIVE, REPORT_CTE, _test
+from hourgrid.plans.forecast_queries import NAIVE, REPORT_CTE, _naive
 from hourgrid.plans.ingest_queries import UPSERT_SQL, upsert_sides
 from hourgrid.session import fresh_path
 from hourgrid.sources import history, stores
@@ -34,7 +34,7 @@ SELECT city, 'readings' AS kind, count(DISTINCT ts::DATE)::BIGINT AS days, min(t
 UNION ALL SELECT city, 'weather', count(DISTINCT ts::DATE)::BIGINT, min(ts)::DATE, max(ts)::DATE FROM weather GROUP BY city""")
 def _(spark, sf):
     paths = {}
-    for kind, rows in (("readings", hourly(spark, sf)), ("weather", weather(spark, sf))):
+    for kind, rows in (("readings", hourly_plan(spark, sf)), ("weather", weather_plan(spark, sf))):
         paths[kind] = fresh_path(spark, kind)
         (rows.withColumn("date", F.to_date("ts")).hint("rebalance", "city", "date")
          .write.partitionBy("city", "date").parquet(paths[kind]))
@@ -44,7 +44,7 @@ def _(spark, sf):
 @query("feature_store", with_ctes(HOURLY_CTE) + "SELECT city, ts, aqi::DOUBLE AS aqi, lower(city) AS city_key FROM hourly")
 def _(spark, sf):
     path = fresh_path(spark, "features")
-    rows = hourly(spark, sf).select("ts", F.col("aqi").cast("double").alias("aqi"), "city",
+    rows = hourly_plan(spark, sf).select("ts", F.col("aqi").cast("double").alias("aqi"), "city",
                                     city_key(F.col("city")).alias("city_key"))
     stores.write_features(rows, path, ["city_key"])
     return spark.read.parquet(path)
@@ -53,7 +53,7 @@ def _(spark, sf):
 @query("absent_weather", with_ctes(HOURLY_CTE) + "SELECT city, ts, aqi, " + ", ".join(
     f"NULL::DOUBLE AS {c}" for c in WEATHER_COLS) + " FROM hourly")
 def _(spark, sf):
-    rows = hourly(spark, sf).select("city", "ts", "aqi")
+    rows = hourly_plan(spark, sf).select("city", "ts", "aqi")
     wx = stores.read_weather_or_null(spark, fresh_path(spark, "no-weather"), rows, ["city", "ts"])
     return rows.join(wx, ["city", "ts"], "left")
 
@@ -95,7 +95,8 @@ SELECT city, test_rows, round(mae, 9) AS mae, round(coverage_95, 9) AS coverage_
 def _(spark, sf):
     """The nested evaluation report as JSON and CSV; the CSV is read back."""
     folder = fresh_path(spark, "reports")
-    stores.write_report(metrics.evaluation_report(_test(spark, sf), KEYS), folder, "2024-01-31 00:00:00")
+    scored = _naive(spark, sf).filter("split = 'test'")
+    stores.write_report(metrics.evaluation_report(scored, KEYS), folder, "2024-01-31 00:00:00")
     back = spark.read.option("header", True).option("escape", '"').csv(f"{folder}/evaluation_latest.csv")
     bins = F.json_array_length("calibration_bins")
     return back.select("city", F.col("test_rows").cast("bigint").alias("test_rows"),

@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from hourgrid.functions.index import pm25_to_aqi
 from hourgrid.operators.alerts import LATENCY_BOUNDS
-from hourgrid.plans.bindings import HOURLY_CTE, KEYS, index_sql, readings, table, with_ctes
+from hourgrid.plans.bindings import HOURLY_CTE, KEYS, index_sql, table, with_ctes
 from hourgrid.plans.catalog import query
-from hourgrid.plans.drift_queries import ANNUAL, AS_OF, DRIFT_NUMBERS, _drift_sql, _features
+from hourgrid.plans.drift_queries import ANNUAL, AS_OF, DRIFT_NUMBERS, _drift_sql, _inputs
 from hourgrid.session import fresh_path
 from hourgrid.streaming import jobs
 
@@ -127,6 +127,7 @@ recent AS (SELECT city, date_trunc('hour', ts)::TIMESTAMP AS ts, avg(aqi) AS aqi
 @query("stream_drift", with_ctes(HOURLY_CTE, FIRST_CTE) + "," + _drift_sql(ANNUAL, "annual"))
 def stream_drift(spark, sf):
     """Upsert the first reading of every hour, then check drift on the store's last seven days."""
+    features, series = _inputs(spark, sf)
     paths = {n: fresh_path(spark, n) for n in ("drift-store", "drift-results", "retrain", "checkpoint")}
     rows = _stream(spark, sf).select(
         "city", F.date_trunc("hour", "ts").alias("ts"), F.struct("ts", "event_id").alias("arrival"),
@@ -134,7 +135,7 @@ def stream_drift(spark, sf):
         "city", "ts", F.col("arrival.ts").alias("arrived"), F.col("arrival.event_id").alias("event_id"), "aqi")
     _finish(jobs.drift_after_batch(
         rows, paths["drift-store"], paths["drift-results"], paths["retrain"], paths["checkpoint"], KEYS,
-        "ts", "aqi", _features(spark, sf), readings(spark, sf).select("city").distinct(), AS_OF,
+        "ts", "aqi", features, series, AS_OF,
         ["arrived", "event_id"]))
     out = spark.read.parquet(paths["drift-results"]).drop("batch")
     return out.withColumns({n: F.round(n, 9) for n in DRIFT_NUMBERS})

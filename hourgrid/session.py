@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _local_dirs: dict[str, str] = {}
 
@@ -50,3 +50,15 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
     stamp = spark.sparkContext._jvm.java.util.UUID.randomUUID().toString()
     return f"{shared_dir(spark)}/{name}-{stamp}"
+
+
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """Write a derived table to the shared folder and go on from there.
+
+    For small tables that several branches of a plan use: what lies below them
+    is then read once, and a lost executor re-reads the table, not the raw rows.
+    """
+    spark = df.sparkSession
+    path = fresh_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -44,16 +44,20 @@ def upsert_days(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence
     written beside the store: a lost executor then never re-reads a day that is
     being replaced, and repeating the call after a failure gives the same store.
     """
-    dated = batch.withColumn("date", F.to_date(ts))
+    dated = first_wins(batch.withColumn("date", F.to_date(ts)), [*keys, ts], order).persist()
     if exists(spark, path):
-        stored = spark.read.parquet(path).withColumn("date", F.col("date").cast("date"))
+        # two dates reach the driver; they let the scan skip all other day folders
+        span = dated.agg(F.min("date").alias("low"), F.max("date").alias("high")).first()
+        stored = spark.read.parquet(path).withColumn("date", F.col("date").cast("date")).filter(
+            F.col("date").between(F.lit(span.low), F.lit(span.high)))
         touched = dated.select(*partition).distinct()
         merged = upsert_first_wins(stored.join(touched, list(partition), "left_semi"),
                                    dated, [*keys, ts], order)
     else:
-        merged = first_wins(dated, [*keys, ts], order)
+        merged = dated
     staged = fresh_path(spark, "staged-days")
     merged.write.mode("overwrite").parquet(staged)
+    dated.unpersist()
     (spark.read.parquet(staged).hint("rebalance", *partition).sortWithinPartitions(*partition, ts)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition).parquet(path))

@@ -16,15 +16,15 @@ def at(text):
     return F.lit(text).cast("timestamp_ntz")
 
 
-@pytest.mark.parametrize("bucket_hours, salts", [(1, 1), (24, 4), (100_000, 3)])
-def test_as_of_join_equals_pandas(spark, bucket_hours, salts):
+@pytest.mark.parametrize("bucket_hours, rows_per_task", [(1, 1), (24, 4), (100_000, 50), (100_000, 10_000)])
+def test_as_of_join_equals_pandas(spark, bucket_hours, rows_per_task):
     rng = np.random.default_rng(11)
     frame = lambda n, name: pd.DataFrame({
         "city": rng.choice(["a", "b"], n, p=[0.9, 0.1]),
         "ts": [T0 + timedelta(minutes=int(m)) for m in rng.choice(60 * 24 * 30, n, replace=False)], name: np.arange(n)})
     left, right = frame(400, "l"), frame(60, "r")
     to = lambda pdf: spark.createDataFrame(pdf).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
-    got = lookups.as_of_join(to(left), to(right), ["city"], "ts", ["r"], bucket_hours, salts).toPandas().sort_values("l")
+    got = lookups.as_of_join(to(left), to(right), ["city"], "ts", ["r"], bucket_hours, rows_per_task).toPandas().sort_values("l")
     want = pd.merge_asof(left.sort_values("ts"), right.sort_values("ts"), on="ts", by="city").sort_values("l")
     np.testing.assert_array_equal(got.r.to_numpy(float), want.r.to_numpy(float))
     assert got.matched_ts.notna().sum() == want.r.notna().sum() > 0
