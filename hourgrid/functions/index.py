@@ -11,16 +11,16 @@ from hourgrid.dimensions import (
     AQI_CATEGORIES, CATEGORY_BOUNDARIES, INDEX_CAP, PM25_BREAKPOINTS)
 
 
-def pm25_to_aqi(pm25: Column, gap: str = "reference") -> Column:
+def pm25_to_aqi(pm25: Column, gap: str = "cap") -> Column:
     """Piecewise-linear index of a concentration, rounded half to even.
 
     Below zero gives 0 and above the last band gives the cap. A value strictly
-    between two bands also gives the cap (``gap="reference"``); with
+    between two bands also gives the cap (``gap="cap"``); with
     ``gap="truncate"`` it is first cut to one decimal, which closes the gaps.
     """
-    if gap not in ("reference", "truncate"):
-        raise ValueError("gap must be 'reference' or 'truncate'")
-    v = pm25 if gap == "reference" else F.floor(pm25 * 10) / 10.0
+    if gap not in ("cap", "truncate"):
+        raise ValueError("gap must be 'cap' or 'truncate'")
+    v = pm25 if gap == "cap" else F.floor(pm25 * 10) / 10.0
     expr = F.when(pm25.isNull(), None).when(v < 0, 0)
     for c_lo, c_hi, i_lo, i_hi in PM25_BREAKPOINTS:
         line = (v - c_lo) * ((i_hi - i_lo) / (c_hi - c_lo)) + i_lo

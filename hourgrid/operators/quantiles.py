@@ -80,6 +80,8 @@ def _ranked_in_cells(counted: DataFrame, by: Sequence[str], probs: Sequence[floa
         for rank in wanted:
             holds = holds | ((rank >= F.col("__before")) & (rank < end))
         path = [*path, name]
-        cells = size.filter(holds).select(*path, "__lo", "__hi", "__total", "__before")
-        rows = rows.select(*path, "__v", "__n")
+        cells = size.filter(holds).select(*path, "__lo", "__hi", "__before")
+        # the total stays with the rows: each branch then asks the same of ``counted``,
+        # which is shuffled once and shared
+        rows = rows.select(*path, "__v", "__n", "__total")
     return _ranked(rows.join(cells, path), path)

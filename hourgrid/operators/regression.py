@@ -69,13 +69,13 @@ class SeasonalModel:
 
 def _scaling(train: DataFrame, keys: Sequence[str], ts: str, y: str,
              regressors: Sequence[str]) -> DataFrame:
-    """Per series: time range, target scale, regressor means and deviations."""
+    """Per series: rows, time range, target scale, regressor means and deviations."""
     seconds = F.unix_seconds(F.col(ts).cast("timestamp")).cast("double")
     stats = [s for r in regressors for s in (
         F.coalesce(F.avg(r), F.lit(0.0)).alias(f"__m_{r}"),
         F.coalesce(F.nullif(F.stddev_pop(r), F.lit(0.0)), F.lit(1.0)).alias(f"__s_{r}"))]
-    return train.groupBy(*keys).agg(
-        F.min(seconds).alias("__t0"), F.max(seconds).alias("__t1"),
+    return train.filter(F.col(y).isNotNull()).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("__rows"), F.min(seconds).alias("__t0"), F.max(seconds).alias("__t1"),
         F.greatest(F.max(F.abs(F.col(y))), F.lit(1e-9)).alias("__scale"), *stats)
 
 
@@ -151,23 +151,27 @@ def _solver(width: int, penalties: list[float]):
 
 
 def fit(train: DataFrame, keys: Sequence[str], ts: str = "ds", y: str = "y",
-        model: SeasonalModel = SeasonalModel()) -> DataFrame:
-    """One row per series: scaling values, ``coefficients`` and the residual ``sigma``."""
+        model: SeasonalModel = SeasonalModel(), many_series: bool = False) -> DataFrame:
+    """One row per series: scaling values, ``coefficients`` and the residual ``sigma``.
+
+    Rows stay where they are and each task reduces its share of every series.
+    With very many short series (``many_series``) they are first brought together
+    by key, so that a series has one partial matrix instead of one per task.
+    """
     by = list(keys)
     width = model.width
     scaling = _scaling(train, by, ts, y, model.regressors)
     rows = _design(train.filter(F.col(y).isNotNull()), scaling, by, ts, model).select(
         F.to_json(F.struct(*by)).alias("__key"), "__x",
         (F.col(y).cast("double") / F.col("__scale")).alias("__y"))
-    partial = rows.mapInArrow(
+    partial = (rows.repartition("__key") if many_series else rows).mapInArrow(
         _partial_gram(width), "__key string, __rows bigint, __gram array<double>")
     cells = partial.select("__key", F.posexplode("__gram").alias("__i", "__v"))
     summed = cells.groupBy("__key", "__i").agg(F.sum("__v").alias("__v"))
     whole = summed.groupBy("__key").agg(F.transform(
         F.sort_array(F.collect_list(F.struct("__i", "__v"))), lambda s: s["__v"]).alias("__gram"))
-    counts = train.filter(F.col(y).isNotNull()).groupBy(*by).agg(F.count(F.lit(1)).alias("__rows"))
     solve = _solver(width, [float(p) for p in model.penalties()])
-    named = scaling.join(counts, by).withColumn("__key", F.to_json(F.struct(*by)))
+    named = scaling.withColumn("__key", F.to_json(F.struct(*by)))
     return (named.join(whole, "__key").withColumn("__fit", solve("__gram", "__rows"))
             .withColumns({"coefficients": F.col("__fit.coefficients"), "sigma": F.col("__fit.sigma")})
             .drop("__fit", "__gram", "__key", "__rows"))

@@ -19,8 +19,6 @@ AS_OF = "2024-01-31 00:00:00"
 
 # Schemas of the tables in use: given, so that planning reads no file footers
 SCHEMAS = {
-    "region": "r_regionkey int, r_name string",
-    "nation": "n_nationkey int, n_name string, n_regionkey int",
     "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
     "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
     "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"

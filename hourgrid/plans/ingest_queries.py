@@ -247,11 +247,9 @@ def _(spark, sf):
 
 
 @query("key_strings", """
-SELECT DISTINCT n_name, replace(lower(n_name || ' ' || r_name), ' ', '_') AS city_key, lower(trim('  ' || r_name)) AS trimmed
-FROM nation JOIN region ON n_regionkey = r_regionkey""")
+SELECT c_custkey, replace(lower(c_name || ' ' || c_mktsegment), ' ', '_') AS city_key, lower(trim('  ' || c_mktsegment)) AS trimmed
+FROM customer""")
 def _(spark, sf):
-    joined = table(spark, sf, "nation").join(
-        table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    return joined.select(
-        "n_name", tf.city_key(F.concat_ws(" ", "n_name", "r_name")).alias("city_key"),
-        F.lower(F.trim(F.concat(F.lit("  "), "r_name"))).alias("trimmed")).distinct()
+    return table(spark, sf, "customer").select(
+        "c_custkey", tf.city_key(F.concat_ws(" ", "c_name", "c_mktsegment")).alias("city_key"),
+        F.lower(F.trim(F.concat(F.lit("  "), "c_mktsegment"))).alias("trimmed"))

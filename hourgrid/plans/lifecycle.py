@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from hourgrid.dimensions import REGRESSORS, WEATHER_COLS, cities
 from hourgrid.functions.timefns import floor_hour
 from hourgrid.operators import baseline, drift, forecast, lookups, metrics, registry, regression
+from hourgrid.operators.dedupe import first_wins
 from hourgrid.operators.features import feature_table
 from hourgrid.operators.quality import keep_present, wind_unit_fix
 from hourgrid.operators.rollup import city_hour_rollup
@@ -71,8 +72,6 @@ def ingest_history(spark: SparkSession, at: Layout, path: str) -> None:
 
 def hourly_readings(spark: SparkSession, at: Layout) -> DataFrame:
     """One reading per city and hour: live rows carry minutes, so the store may hold several."""
-    from hourgrid.operators.dedupe import first_wins
-
     rows = stores.read_store(spark, at.readings).filter(F.col("aqi").isNotNull())
     order = [F.col("arrived"), F.col("pm25")]
     exact = rows.select("city", floor_hour(F.col("ts")).alias("ts"), F.col("ts").alias("arrived"),
@@ -81,8 +80,6 @@ def hourly_readings(spark: SparkSession, at: Layout) -> DataFrame:
 
 
 def hourly_weather(spark: SparkSession, at: Layout) -> DataFrame:
-    from hourgrid.operators.dedupe import first_wins
-
     if not stores.exists(spark, at.weather):
         return stores.read_weather_or_null(spark, at.weather, hourly_readings(spark, at), ["city", "ts"])
     rows = stores.read_store(spark, at.weather)
@@ -175,7 +172,7 @@ def forecast_next(spark: SparkSession, at: Layout, as_of: str, horizon: int = 24
                                 [c for c in wx.columns if c in WEATHER_COLS])
     recent = lookups.recent_mean(past, KEYS, "ts", ["aqi"]).withColumnRenamed("aqi", "value")
     last = lookups.last_known(past, KEYS, "ts", ["aqi"]).withColumnRenamed("aqi", "value")
-    live = recent.limit(0) if live is None else live
+    live = recent.filter(F.lit(False)) if live is None else live
     current = lookups.fallback_value(champions.select("city"), live, last, recent, KEYS)
     frame = forecast.future_frame(champions.select("city"), KEYS, moment, horizon, wx, means, current, recent,
                                   model.regressors)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,8 +49,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
-    stamp = spark.sparkContext._jvm.java.util.UUID.randomUUID().toString()
-    return f"{shared_dir(spark)}/{name}-{stamp}"
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4()}"
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:

@@ -33,7 +33,7 @@ def read_weather_or_null(spark: SparkSession, path: str, like: DataFrame,
     except AnalysisException as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise
-    return like.select(*keys, *[F.lit(None).cast("double").alias(c) for c in WEATHER_COLS]).limit(0)
+    return like.select(*keys, *[F.lit(None).cast("double").alias(c) for c in WEATHER_COLS]).filter(F.lit(False))
 
 
 def upsert_days(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str], ts: str,
