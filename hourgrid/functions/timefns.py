@@ -73,6 +73,11 @@ def with_season_effects(df: DataFrame, ts: str = "ds") -> DataFrame:
     })
 
 
+def utc_wall(instant: Column) -> Column:
+    """An instant as a zone-less UTC time, whatever the session's zone is."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))
+
+
 def local_to_utc(ts: Column, zone: str = LOCAL_ZONE) -> Column:
     return F.convert_timezone(F.lit(zone), F.lit("UTC"), ts.cast("timestamp_ntz"))
 
@@ -99,7 +104,7 @@ def parse_offset_timestamp(text: Column, offset: Column, default: Column) -> Col
     """
     joined = F.concat(text, F.coalesce(offset, F.lit(DEFAULT_OFFSET)))
     parsed = F.try_to_timestamp(joined, F.lit("yyyy-MM-dd HH:mm:ssXXX"))
-    return F.coalesce(parsed.cast("timestamp_ntz"), default.cast("timestamp_ntz"))
+    return F.coalesce(utc_wall(parsed), default.cast("timestamp_ntz"))
 
 
 def city_key(city: Column) -> Column:

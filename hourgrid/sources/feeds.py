@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from hourgrid.dimensions import WEATHER_COLS
 from hourgrid.functions.index import pm25_to_aqi
-from hourgrid.functions.timefns import floor_hour, local_to_utc, parse_offset_timestamp
+from hourgrid.functions.timefns import floor_hour, local_to_utc, parse_offset_timestamp, utc_wall
 from hourgrid.operators.quality import physical_bounds, provenance, quality_filter
 from hourgrid.operators.rollup import mean_of
 from hourgrid.sources.schemas import LIVE_READING, MEASUREMENT_PAGE, SENSOR_PAGE, WEATHER_PAGE
@@ -26,7 +26,7 @@ def measurements(pages: DataFrame, keys: Sequence[str], payload: str) -> DataFra
         F.from_json(payload, MEASUREMENT_PAGE)["results"]).alias("r"))
     rows = records.select(
         *keys,
-        floor_hour(F.try_to_timestamp(F.col("r.period.datetimeTo.utc"))).alias("ts"),
+        floor_hour(utc_wall(F.try_to_timestamp(F.col("r.period.datetimeTo.utc")))).alias("ts"),
         F.col("r.value").alias("pm25"), F.col("r.summary.min").alias("pm25_min"),
         F.col("r.summary.max").alias("pm25_max"), F.col("r.summary.sd").alias("pm25_sd"),
         F.coalesce(F.col("r.coverage.percentCoverage"), F.lit(100.0)).alias("coverage_pct"),

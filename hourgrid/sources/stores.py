@@ -53,14 +53,15 @@ def upsert_days(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence
         touched = dated.select(*partition).distinct()
         merged = upsert_first_wins(stored.join(touched, list(partition), "left_semi"),
                                    dated, [*keys, ts], order)
+        staged = fresh_path(spark, "staged-days")
+        merged.write.mode("overwrite").parquet(staged)
+        result = spark.read.parquet(staged)
     else:
-        merged = dated
-    staged = fresh_path(spark, "staged-days")
-    merged.write.mode("overwrite").parquet(staged)
-    dated.unpersist()
-    (spark.read.parquet(staged).hint("rebalance", *partition).sortWithinPartitions(*partition, ts)
+        result = dated
+    (result.hint("rebalance", *partition).sortWithinPartitions(*partition, ts)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition).parquet(path))
+    dated.unpersist()
 
 
 def write_features(df: DataFrame, path: str, partition: Sequence[str] = ("city",)) -> None:

@@ -87,6 +87,16 @@ def test_parse_offset(spark, text, offset, expected):
     assert df.select(tf.parse_offset_timestamp(F.col("s"), F.col("z"), F.lit("2030-01-01 00:00:00"))).first()[0] == expected
 
 
+def test_parsing_does_not_depend_on_the_session_zone(spark):
+    df = spark.createDataFrame([("2024-01-01 12:00:00", "+05:30")], "s string, z string")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = df.select(tf.parse_offset_timestamp(F.col("s"), F.col("z"), F.lit("2030-01-01 00:00:00"))).first()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == datetime(2024, 1, 1, 6, 30)
+
+
 def test_hour_number_round_trip(rows):
     df = rows([("2024-02-29 17:00:00",), ("1969-12-31 23:00:00",)], "t string", ["t"])
     back = df.select("t", tf.hour_start(tf.hour_number(F.col("t"))).alias("b")).collect()
