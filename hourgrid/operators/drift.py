@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +15,9 @@ from hourgrid.dimensions import DRIFT_ALPHA, DRIFT_MIN_SAMPLES
 from hourgrid.functions.timefns import floor_hour, hour_number
 from hourgrid.operators.baseline import baseline_for
 
+# functions of this module travel to the workers by value: executors need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 EXACT_LIMIT = 10_000
 SAMPLE_SLICE_HOURS = 24 * 90
 

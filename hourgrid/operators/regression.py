@@ -10,18 +10,23 @@ on collected data.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hourgrid.dimensions import REGRESSORS
 from hourgrid.functions.index import clip_index
 
+# functions of this module travel to the workers by value: executors need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 Z_95 = 1.959963984540054
 
 
