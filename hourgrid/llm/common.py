@@ -32,18 +32,17 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def with_packs(rows: DataFrame, key: list[str], weight: str, pack_bytes: int) -> DataFrame:
-    """Deal rows to packs of about ``pack_bytes`` of the binary or string column ``weight``.
+def total_bytes(rows: DataFrame, column: str) -> int:
+    return int(rows.agg(F.sum(F.octet_length(column).cast("long"))).first()[0] or 0)
 
-    Adds ``pack``, a hash of ``key`` modulo the number of packs, which grows with the
-    input. Grouping by it makes groups of bounded size that hold whole rows.
-    """
-    return rows.withColumn("pack", F.pmod(F.xxhash64(*key), F.lit(pack_count(rows, weight, pack_bytes))))
 
+def with_packs(rows: DataFrame, key: list[str], packs: int) -> DataFrame:
+    """Deal rows to ``packs`` packs by a hash of ``key``, as column ``pack``.
 
-def pack_count(rows: DataFrame, weight: str, pack_bytes: int) -> int:
-    total = rows.agg(F.sum(F.octet_length(weight))).first()[0] or 0
-    return int(total // pack_bytes) + 1
+    With a number that grows with the input, grouping by it makes groups of bounded size
+    that hold whole rows.
+    """
+    return rows.withColumn("pack", F.pmod(F.xxhash64(*key), F.lit(packs)))
 
 
 # ---- numpy, inside tasks ---------------------------------------------------

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourgrid.llm import simhash
+from hourgrid.llm import simhash, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -39,3 +39,11 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its fingerprint and its class of near-duplicates."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "fingerprint", F.col("component").alias("component_id"))
+
+
+@query("op5_substring_dedup")
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the windows of 35 words that occur elsewhere."""
+    found = substrings.repeated_substrings(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed",
+                        F.sha2("kept_text", 256).alias("kept_sha256"))
