@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourgrid.llm import simhash, substrings
+from hourgrid.llm import decontaminate, simhash, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -47,3 +47,10 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substrings.repeated_substrings(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed",
                         F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op2_decontaminate")
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item that it holds, nearly or exactly."""
+    found = decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "start", "end", "edits", "windows")
