@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourgrid.llm import decontaminate, simhash, substrings
+from hourgrid.llm import decontaminate, simhash, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -54,3 +54,10 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document and benchmark item that it holds, nearly or exactly."""
     found = decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "start", "end", "edits", "windows")
+
+
+@query("op6_toxicity")
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's calibrated toxicity."""
+    found = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.withColumnRenamed("id", "doc_id")
