@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourgrid.llm import decontaminate, simhash, substrings, toxicity
+from hourgrid.llm import decontaminate, lines, simhash, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -61,3 +61,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's calibrated toxicity."""
     found = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return found.withColumnRenamed("id", "doc_id")
+
+
+@query("op10_line_dedup")
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines of templates that recur across documents."""
+    found = lines.drop_recurring_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_dropped", "text")
