@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourgrid.llm import decontaminate, lines, simhash, substrings, toxicity
+from hourgrid.llm import decontaminate, lines, mixing, simhash, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -68,3 +68,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines of templates that recur across documents."""
     found = lines.drop_recurring_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_lines", "n_dropped", "text")
+
+
+@query("op1_mixing")
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document go into the weighted mix."""
+    found = mixing.mix(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "source", "size", "source_size", "target", "copies", "taken")
