@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourgrid.llm import decontaminate, lines, mixing, simhash, substrings, toxicity
+from hourgrid.llm import decontaminate, lines, mixing, neighbours, pii, simhash, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -75,3 +75,16 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of every document go into the weighted mix."""
     found = mixing.mix(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "source", "size", "source_size", "target", "copies", "taken")
+
+
+@query("op4_nearest_neighbours")
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found of every twentieth vector."""
+    vecs = table(spark, sf_dir, "embeddings")
+    return neighbours.search(neighbours.build(vecs), vecs.filter("vec_id % 20 = 0"), k=20)
+
+
+@query("op9_pii")
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with pseudonyms for the personal numbers, dates and addresses in it."""
+    return pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), key="corpus-2024")
