@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourgrid.llm import decontaminate, lines, mixing, neighbours, pii, simhash, substrings, toxicity
+from hourgrid.llm import decontaminate, licenses, lines, lm_scores, mixing, neighbours, pii, simhash, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -88,3 +88,17 @@ def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with pseudonyms for the personal numbers, dates and addresses in it."""
     return pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), key="corpus-2024")
+
+
+@query("op8_lm_score")
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's cross-entropy difference to the documents labelled as of good quality."""
+    good = table(spark, sf_dir, "labels").filter("quality = 1")
+    return lm_scores.cross_entropy_difference(table(spark, sf_dir, "documents"), good).withColumnRenamed("id", "doc_id")
+
+
+@query("op3_license_scan")
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's license, with its source and language as directories."""
+    path = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.coalesce("lang", F.lit("none")), F.col("doc_id").cast("string"))
+    return licenses.scan(table(spark, sf_dir, "documents"), path=path).withColumnRenamed("id", "doc_id")
