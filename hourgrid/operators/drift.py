@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
@@ -18,7 +19,7 @@ from hourgrid.operators.baseline import baseline_for
 # functions of this module travel to the workers by value: executors need no copy of the package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-EXACT_LIMIT = 10_000
+P_METHODS = ("exact", "asymptotic")
 SAMPLE_SLICE_HOURS = 24 * 90
 
 
@@ -72,20 +73,19 @@ def equal_size_p(n: Column, h: Column) -> Column:
     """Exact two-sided p-value for two samples of ``n``; ``h`` is ``n * D``, a whole number.
 
     Alternating sum over lattice paths (Gnedenko and Korolyuk 1951, Hodges 1958);
-    every binomial ratio is a running product, so nothing overflows.
+    every binomial ratio goes on from the last one as a running product, so nothing
+    overflows and the cost is linear in ``n``.
     """
-    def ratio(m: Column) -> Column:
-        return F.aggregate(
-            F.sequence(F.lit(0).cast("bigint"), m - 1), F.lit(1.0),
-            lambda acc, j: acc * ((n - j).cast("double") / (n + 1 + j).cast("double")))
+    h = F.greatest(h, F.lit(1))
+    steps = F.sequence(F.lit(0).cast("bigint"), F.greatest(F.floor(n / h) * h - 1, F.lit(0)))
 
-    def add(acc: Column, k: Column) -> Column:
-        sign = F.when(k % 2 == 1, F.lit(1.0)).otherwise(F.lit(-1.0))
-        return acc + sign * ratio(k * h)
+    def step(acc: Column, j: Column) -> Column:
+        ratio = acc["ratio"] * ((n - j).cast("double") / (n + 1 + j).cast("double"))
+        term = F.when((j + 1) % h != 0, 0.0).when((j + 1) / h % 2 == 1, ratio).otherwise(-ratio)
+        return F.struct(ratio.alias("ratio"), (acc["total"] + term).alias("total"))
 
-    terms = F.sequence(F.lit(1).cast("bigint"), F.floor(n / F.greatest(h, F.lit(1))))
-    total = F.aggregate(terms, F.lit(0.0), add) * 2
-    return F.when(h <= 0, F.lit(1.0)).otherwise(F.least(F.lit(1.0), total))
+    start = F.struct(F.lit(1.0).alias("ratio"), F.lit(0.0).alias("total"))
+    return F.least(F.lit(1.0), F.aggregate(steps, start, step)["total"] * 2)
 
 
 def asymptotic_p(d: Column, n1: Column, n2: Column) -> Column:
@@ -100,43 +100,49 @@ def asymptotic_p(d: Column, n1: Column, n2: Column) -> Column:
 def _stay_probability(n1: int, n2: int, gap: int) -> float:
     """Chance that two pooled samples stay closer than ``gap / (n1 * n2)`` everywhere.
 
-    Walks the grid of cumulative counts (i, j); the weight i / (i + n2) of each
-    step turns path counts into probabilities.
+    Draws the pooled ranks one by one: ``stay[i + 1]`` is the chance that i of the ranks
+    so far fell to the first sample and no draw left the band. These are probabilities
+    throughout, so nothing under- or overflows at any size.
     """
-    row = [1.0 if j * n1 < gap else 0.0 for j in range(n2 + 1)]
-    for i in range(1, n1 + 1):
-        weight = i / (i + n2)
-        row[0] = weight * row[0] if i * n2 < gap else 0.0
-        for j in range(1, n2 + 1):
-            row[j] = weight * row[j] + row[j - 1] if abs(i * n2 - j * n1) < gap else 0.0
-    return row[n2]
+    total = n1 + n2
+    stay = np.zeros(n1 + 2)
+    stay[1] = 1.0
+    for k in range(1, total + 1):
+        low = max(0, k - n2, (k * n1 - gap) // total + 1)
+        high = min(n1, k, -((-k * n1 - gap) // total) - 1)
+        i = np.arange(low, high + 1)
+        new = (stay[low + 1:high + 2] * (n2 - k + 1 + i) + stay[low:high + 1] * (n1 - i + 1)) / (total - k + 1)
+        stay[low] = 0.0
+        stay[low + 1:high + 2] = new
+    return float(stay[n1 + 1])
 
 
 @F.pandas_udf(T.DoubleType())
 def unequal_size_p(n1: pd.Series, n2: pd.Series, gap: pd.Series) -> pd.Series:
     """Exact p-value for unequal sizes; one row per series, NULL where it does not apply."""
     return pd.Series([
-        None if pd.isna(a) or pd.isna(g) or a == b or max(a, b) > EXACT_LIMIT
+        None if pd.isna(a) or pd.isna(g) or a == b
         else 1.0 if g <= 0 else min(1.0, max(0.0, 1.0 - _stay_probability(int(a), int(b), int(g))))
         for a, b, g in zip(n1, n2, gap)], dtype="float64")
 
 
-def with_p_value(ks: DataFrame) -> DataFrame:
-    """Add ``p_value`` and ``p_method`` to rows with n1, n2, gap and ks_stat."""
-    n1, n2 = F.col("n1"), F.col("n2")
-    large = F.greatest(n1, n2) > EXACT_LIMIT
-    equal = n1 == n2
-    h = F.when(equal, F.floor(F.col("gap") / F.greatest(n1, F.lit(1))))
-    return (ks.withColumn("__unequal", unequal_size_p(n1, n2, F.col("gap")))
-            .withColumn("p_value", F.when(large, asymptotic_p(F.col("ks_stat"), n1, n2))
-                        .when(equal, equal_size_p(n1, h)).otherwise(F.col("__unequal")))
-            .withColumn("p_method", F.when(large, "asymptotic").otherwise("exact"))
-            .drop("__unequal"))
+def with_p_value(ks: DataFrame, method: str = "exact") -> DataFrame:
+    """Add ``p_value`` and ``p_method`` (the caller's ``method``) to rows with n1, n2, gap and ks_stat."""
+    if method not in P_METHODS:
+        raise ValueError(f"method must be one of {P_METHODS}")
+    n1, n2, gap = F.col("n1"), F.col("n2"), F.col("gap")
+    if method == "asymptotic":
+        p_value = asymptotic_p(F.col("ks_stat"), n1, n2)
+    else:
+        ks = ks.withColumn("__unequal", unequal_size_p(n1, n2, gap))
+        p_value = F.when(gap <= 0, F.lit(1.0)).when(
+            n1 == n2, equal_size_p(n1, F.floor(gap / F.greatest(n1, F.lit(1))))).otherwise(F.col("__unequal"))
+    return ks.withColumn("p_value", p_value).withColumn("p_method", F.lit(method)).drop("__unequal")
 
 
 def check_drift(baseline: DataFrame, recent: DataFrame, series: DataFrame, keys: Sequence[str],
                 baseline_type: str, as_of: Column, alpha: float = DRIFT_ALPHA,
-                min_samples: int = DRIFT_MIN_SAMPLES) -> DataFrame:
+                min_samples: int = DRIFT_MIN_SAMPLES, method: str = "exact") -> DataFrame:
     """One result row per series in ``series``; guard failures become ``error`` rows.
 
     ``baseline`` has (keys, ds, aqi), ``recent`` has (keys, ts, aqi), one row per
@@ -158,7 +164,7 @@ def check_drift(baseline: DataFrame, recent: DataFrame, series: DataFrame, keys:
     sample = hash_sample(baseline, valid, by, "ds", "__size")
     sides = sample.select(*by, "aqi", F.lit(1).alias("__side")).unionByName(
         recent.join(valid.select(*by), by, "left_semi").select(*by, "aqi", F.lit(2).alias("__side")))
-    tested = with_p_value(ks_statistic(sides, by, "aqi", "__side"))
+    tested = with_p_value(ks_statistic(sides, by, "aqi", "__side"), method)
     ok = F.col("error").isNull()
     return guarded.join(tested, by, "left").select(
         *by, F.coalesce("p_value", F.lit(1.0)).alias("p_value"),
@@ -173,13 +179,13 @@ def check_drift(baseline: DataFrame, recent: DataFrame, series: DataFrame, keys:
 
 def drift_report(features: DataFrame, raw: DataFrame, series: DataFrame, keys: Sequence[str],
                  ts: str, value: str, as_of: str, days: int = 7,
-                 seasonal: bool = False) -> DataFrame:
+                 seasonal: bool = False, method: str = "exact") -> DataFrame:
     """Baseline choice, recent window and test in one plan. ``as_of`` is ISO text."""
     moment = F.lit(as_of).cast("timestamp_ntz")
     month = int(as_of[5:7]) if seasonal else None
     return check_drift(baseline_for(features, keys, month),
                        recent_hourly(raw, keys, ts, value, moment, days),
-                       series, keys, "seasonal" if seasonal else "annual", moment)
+                       series, keys, "seasonal" if seasonal else "annual", moment, method=method)
 
 
 def retrain_list(results: DataFrame) -> DataFrame:

@@ -187,32 +187,34 @@ def _(spark, sf):
 
 @query("backfill_coverage", """
 WITH days AS (SELECT event_type AS city, datediff('day', date_trunc('day', min(ts)), date_trunc('day', max(ts)))::INTEGER AS days FROM events GROUP BY 1),
-n AS (SELECT event_type AS city, count(DISTINCT date_trunc('hour', ts))::BIGINT AS "rows" FROM events WHERE value >= 30 GROUP BY 1)
+n AS (SELECT event_type AS city, count(DISTINCT date_trunc('hour', ts))::BIGINT AS "rows" FROM events GROUP BY 1)
 SELECT city, days, coalesce("rows", 0) AS "rows", (days*24)::INTEGER AS expected_hours,
  CASE WHEN days > 0 THEN round(coalesce("rows", 0)*100.0::DOUBLE/(days*24), 9) END AS coverage_pct FROM days LEFT JOIN n USING (city)""")
 def _(spark, sf):
     rows = readings(spark, sf)
     days = rows.groupBy("city").agg(F.date_diff(F.max("ts"), F.min("ts")).alias("days"))
-    hours = rows.filter("pm25 >= 30").select("city", tf.floor_hour(F.col("ts")).alias("ts")).distinct()
+    hours = rows.select("city", tf.floor_hour(F.col("ts")).alias("ts")).distinct()
     out = backfill.backfill_coverage(days, hours.groupBy("city").agg(F.count("ts").alias("rows")), KEYS)
     return out.withColumn("coverage_pct", F.round("coverage_pct", 9))
 
 
 @query("ingest_summary", with_ctes(HOURLY_CTE, WEATHER_CTE) + """
 SELECT city, coalesce(r.n, 0) AS readings, coalesce(w.n, 0) AS weather, l.aqi AS live_index
-FROM (SELECT DISTINCT event_type AS city FROM events) c
+FROM (SELECT DISTINCT event_type AS city FROM events UNION SELECT DISTINCT o_orderpriority FROM orders) c
 LEFT JOIN (SELECT city, count(*)::BIGINT AS n FROM hourly GROUP BY 1) r USING (city)
-LEFT JOIN (SELECT city, count(*)::BIGINT AS n FROM weather WHERE wind_speed_10m > 90 GROUP BY 1) w USING (city)
-LEFT JOIN (SELECT city, arg_max(aqi, ts) AS aqi FROM hourly WHERE aqi > 300 GROUP BY 1) l USING (city)""")
+LEFT JOIN (SELECT city, count(*)::BIGINT AS n FROM weather GROUP BY 1) w USING (city)
+LEFT JOIN (SELECT city, arg_max(aqi, ts) AS aqi FROM hourly GROUP BY 1) l USING (city)""")
 def _(spark, sf):
+    """Order priorities are series that no feed has anything of."""
     hours = hourly(spark, sf)
+    others = table(spark, sf, "orders").select(F.col("o_orderpriority").alias("city")).distinct()
     count = F.count(F.lit(1)).alias("value")
     parts = {
         "readings": hours.groupBy("city").agg(count),
-        "weather": weather_plan(spark, sf).filter("wind_speed_10m > 90").groupBy("city").agg(count),
-        "live_index": hours.filter("aqi > 300").groupBy("city").agg(F.max_by("aqi", "ts").alias("value")),
+        "weather": weather_plan(spark, sf).groupBy("city").agg(count),
+        "live_index": hours.groupBy("city").agg(F.max_by("aqi", "ts").alias("value")),
     }
-    return backfill.run_summary(hours.select("city").distinct(), parts, KEYS,
+    return backfill.run_summary(hours.select("city").union(others).distinct(), parts, KEYS,
                                 {"readings": 0, "weather": 0})
 
 

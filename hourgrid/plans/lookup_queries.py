@@ -54,24 +54,25 @@ def _(spark, sf):
     return out.withColumn("aqi", F.round("aqi", 9))
 
 
-@query("fallback_chain", with_ctes(HOURLY_CTE, RECENT_DAYS_CTE) + f"""
-, series AS (SELECT DISTINCT event_type AS city FROM events UNION SELECT DISTINCT o_orderpriority FROM orders),
-live AS (SELECT city, arg_max(aqi, ts)::DOUBLE AS v FROM hourly WHERE ts >= TIMESTAMP '{AS_OF}' AND aqi >= 200 AND city IN ('click', 'view') GROUP BY city),
-last AS (SELECT city, arg_max(aqi, ts)::DOUBLE AS v FROM hourly WHERE ts <= TIMESTAMP '{AS_OF}' AND city <> 'signup' GROUP BY city),
-mean AS (SELECT city, avg(aqi) AS v FROM recent GROUP BY city)
-SELECT city, round(coalesce(live.v, last.v, mean.v, 100), 9) AS value,
+@query("fallback_chain", f"""
+WITH r AS (SELECT user_id AS station, ts, value FROM events),
+series AS (SELECT station FROM r UNION SELECT s_suppkey FROM supplier),
+live AS (SELECT station, arg_max(value, (ts, value)) AS v FROM r WHERE ts >= TIMESTAMP '{AS_OF}' GROUP BY station),
+last AS (SELECT station, arg_max(value, (ts, value)) AS v FROM r WHERE ts <= TIMESTAMP '{AS_OF}' GROUP BY station),
+days AS (SELECT DISTINCT station, date_trunc('day', ts) AS d FROM r),
+newest AS (SELECT station, d FROM days QUALIFY dense_rank() OVER (PARTITION BY station ORDER BY d DESC) <= 7),
+mean AS (SELECT r.station, avg(r.value) AS v FROM r JOIN newest n ON r.station = n.station AND date_trunc('day', r.ts) = n.d GROUP BY 1)
+SELECT station, round(coalesce(live.v, last.v, mean.v, 100), 9) AS value,
  CASE WHEN live.v IS NOT NULL THEN 'live' WHEN last.v IS NOT NULL THEN 'last_known' WHEN mean.v IS NOT NULL THEN 'recent_mean' ELSE 'default' END AS source
-FROM series LEFT JOIN live USING (city) LEFT JOIN last USING (city) LEFT JOIN mean USING (city)""")
-def _(spark, sf):
-    hours = hourly(spark, sf)
-    known = hours.select("city").distinct()
-    others = table(spark, sf, "orders").select(F.col("o_orderpriority").alias("city")).distinct()
-    live = lookups.last_known(hours.filter((F.col("ts") >= _moment()) & (F.col("aqi") >= 200)
-                                           & F.col("city").isin("click", "view")), KEYS, "ts", ["aqi"])
-    last = lookups.last_known(hours.filter("city <> 'signup'"), KEYS, "ts", ["aqi"], _moment())
-    mean = lookups.recent_mean(hours, KEYS, "ts", ["aqi"])
-    out = lookups.fallback_value(known.union(others), *[
-        d.withColumnRenamed("aqi", "value") for d in (live, last, mean)], KEYS)
+FROM series LEFT JOIN live USING (station) LEFT JOIN last USING (station) LEFT JOIN mean USING (station)""")
+def _(spark, sf):
+    """Stations by their own gaps: some are silent after the moment, some suppliers never report."""
+    rows = readings(spark, sf).select("station", "ts", F.col("pm25").alias("value"))
+    registered = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("station"))
+    live = lookups.last_known(rows.filter(F.col("ts") >= _moment()), ["station"], "ts", ["value"])
+    last = lookups.last_known(rows, ["station"], "ts", ["value"], _moment())
+    mean = lookups.recent_mean(rows, ["station"], "ts", ["value"])
+    out = lookups.fallback_value(rows.select("station").union(registered).distinct(), live, last, mean, ["station"])
     return out.withColumn("value", F.round("value", 9))
 
 

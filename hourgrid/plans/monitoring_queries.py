@@ -46,7 +46,7 @@ def _quantile_sql(q: float) -> str:
         cases.append(f"WHEN c{i} >= n*{q}::DOUBLE AND c{i} > {below} THEN {lower} + ({b}::DOUBLE - {lower})*(n*{q}::DOUBLE - {below})/(c{i} - {below})")
         lower = f"{b}::DOUBLE"
     return ("WITH " + PANES + f", h AS (SELECT eval_ts, count(*) AS n, {counts} FROM spread GROUP BY eval_ts) "
-            f"SELECT 'api' AS service, eval_ts, n::BIGINT AS requests, round(CASE {' '.join(cases)} ELSE {lower} END, 9) AS quantile FROM h")
+            f"SELECT 'api' AS service, eval_ts, n::BIGINT AS requests, round(CASE {' '.join(cases)} END, 9) AS quantile, (n - c{len(bounds) - 1})::BIGINT AS overflow FROM h")
 
 
 @query("latency_p95", _quantile_sql(0.95))

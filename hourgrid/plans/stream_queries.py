@@ -84,7 +84,7 @@ def _latency_sql() -> str:
     return f"""WITH p AS (SELECT epoch(date_trunc('hour', ts))::BIGINT AS h, * FROM events),
 s AS (SELECT make_timestamp((h + 3600*i)*1000000) AS eval_ts, event_type AS city, value FROM p, (SELECT unnest(range(1, 5)) AS i)),
 c AS (SELECT city, eval_ts, count(*) AS n, {counts} FROM s GROUP BY ALL)
-SELECT city, eval_ts, n::BIGINT AS requests, round(CASE {' '.join(cases)} ELSE {lower} END, 9) AS quantile FROM c WHERE eval_ts <= {CLOSED}"""
+SELECT city, eval_ts, n::BIGINT AS requests, round(CASE {' '.join(cases)} END, 9) AS quantile, (n - c{len(bounds) - 1})::BIGINT AS overflow FROM c WHERE eval_ts <= {CLOSED}"""
 
 
 @query("stream_latency_p95", _latency_sql())
@@ -93,7 +93,7 @@ def _(spark, sf):
     p95 = jobs.sliding_quantile(_stream(spark, sf), KEYS, "ts", "pm25", "4 hours", "1 hour")
     _finish(jobs.append_to(p95, out, checkpoint))
     return spark.read.parquet(out).select("city", F.col("eval_ts").cast("timestamp_ntz").alias("eval_ts"),
-                                          "requests", F.round("quantile", 9).alias("quantile"))
+                                          "requests", F.round("quantile", 9).alias("quantile"), "overflow")
 
 
 @query("stream_sessions", """

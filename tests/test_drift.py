@@ -1,5 +1,6 @@
 """KS statistic, exact p-values, guards and quantiles."""
 
+import time
 from itertools import combinations
 from math import comb
 
@@ -64,13 +65,29 @@ def test_symmetric_and_invariant_to_monotone_maps(spark):
         assert (other.ks_stat, other.p_value) == (plain.ks_stat, plain.p_value)
 
 
-def test_large_samples_use_the_limit(spark):
-    ones = spark.range(12_000).select(F.lit("s").alias("city"), (F.col("id") % 500).cast("double").alias("v"), F.lit(1).alias("side"))
-    twos = spark.range(12_000).select(F.lit("s").alias("city"), (F.col("id") % 500 + 6).cast("double").alias("v"), F.lit(2).alias("side"))
-    got = drift.with_p_value(drift.ks_statistic(ones.union(twos), ["city"], "v", "side")).first()
-    lam = got.ks_stat * (12_000 * 12_000 / 24_000) ** 0.5
-    want = 2 * sum((-1) ** (k - 1) * np.exp(-2 * k * k * lam * lam) for k in range(1, 101))
-    assert got.p_method == "asymptotic" and got.p_value == pytest.approx(want, rel=1e-9)
+def sides(spark, n1, n2, shift):
+    one, two = (spark.range(n).select(F.lit("s").alias("city"), ((F.col("id") % 500) + d).cast("double").alias("v"), F.lit(side).alias("side"))
+                for n, d, side in ((n1, 0, 1), (n2, shift, 2)))
+    return drift.ks_statistic(one.union(two), ["city"], "v", "side")
+
+
+def test_method_is_the_callers(spark):
+    """The limit distribution only where it is asked for, at any size."""
+    for n in (50, 12_000):
+        got = drift.with_p_value(sides(spark, n, n, 6), "asymptotic").first()
+        lam = got.ks_stat * (n / 2) ** 0.5
+        want = 1.0 if lam < 0.2 else 2 * sum((-1) ** (k - 1) * np.exp(-2 * k * k * lam * lam) for k in range(1, 101))
+        assert got.p_method == "asymptotic" and got.p_value == pytest.approx(min(1, want), rel=1e-9)
+    with pytest.raises(ValueError):
+        drift.with_p_value(sides(spark, 5, 5, 1), "auto")
+
+
+@pytest.mark.parametrize("n1,n2", [(20_000, 19_500), (20_000, 20_000)])
+def test_large_samples_are_exact(spark, n1, n2):
+    start = time.time()
+    exact, limit = (drift.with_p_value(sides(spark, n1, n2, 6), m).first() for m in drift.P_METHODS)
+    assert exact.p_method == "exact" and exact.p_value == pytest.approx(limit.p_value, rel=0.05)
+    assert 1e-3 < exact.p_value < 0.5 and time.time() - start < 60
 
 
 def hours(start, n):
