@@ -83,31 +83,37 @@ def build_index(items: list[tuple[object, str | None]], q: int = Q, budget: floa
     return Index(found, names, flat[order], pattern, place, q)
 
 
-def align(pattern: str, text: str, low: int, high: int) -> tuple[int, int]:
-    """(edits, end): the best occurrence of the pattern with its diagonals within low..high.
+def points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<i4")
 
-    The occurrence may start and end anywhere; diagonals are places in the text minus
-    places in the pattern.
+
+def align(patterns: np.ndarray, texts: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(edits, end) of the best occurrence of each pattern within its band of diagonals.
+
+    ``patterns`` has a row of m characters for each pair, ``texts`` the m + width - 1
+    characters that its band of ``width`` diagonals runs over. Occurrences start and end
+    anywhere in the band; ``end`` counts from the start of the row of ``texts``. Pairs
+    that need more than ``most`` edits get ``most + 1``; they are left as soon as that is
+    certain.
     """
-    width, far = high - low + 1, len(pattern) + 1
-    p = np.frombuffer(pattern.encode("utf-32-le", "surrogatepass"), "<u4")
-    t = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
-    at = np.arange(low, high + 1)
-    steps = np.arange(width)
-    row = np.where((at >= 0) & (at <= len(t)), 0, far)
-    padded = np.concatenate([np.zeros(max(0, -low), "<u4"), t, np.zeros(max(0, high + len(p) - len(t) + 1), "<u4")])
-    shift = low + max(0, -low)
-    for i, c in enumerate(p):
-        there = padded[shift + i:shift + i + width]
-        ends = at + i + 1
-        new = row + (there != c)
-        new = np.where((ends >= 1) & (ends <= len(t)), new, far)
-        new[:-1] = np.minimum(new[:-1], row[1:] + 1)
-        new = np.where((ends >= 0) & (ends <= len(t)), new, far)
-        row = np.minimum(np.minimum.accumulate(new - steps) + steps, far)
-        row = np.where((ends >= 0) & (ends <= len(t)), row, far)
-    best = int(row.argmin())
-    return int(row[best]), low + best + len(p)
+    n, m = patterns.shape
+    width = texts.shape[1] - m + 1
+    edits, ends = np.full(n, most + 1), np.zeros(n, np.int64)
+    steps, left, row = np.arange(width, dtype=np.int32), np.arange(n), np.zeros((n, width), np.int32)
+    for i in range(m):
+        new = row + (texts[left, i:i + width] != patterns[left, i, None])
+        np.minimum(new[:, :-1], row[:, 1:] + 1, out=new[:, :-1])
+        row = np.minimum.accumulate(new - steps, axis=1) + steps
+        if i % 16 == 15 or i == m - 1:
+            fine = row.min(axis=1) <= most
+            left, row = left[fine], row[fine]
+            if not len(left):
+                break
+    if len(left):
+        best = row.argmin(axis=1)
+        edits[left] = row[np.arange(len(left)), best]
+        ends[left] = best + m
+    return edits, ends
 
 
 def bands(index: Index, text: str, bitmap: np.ndarray) -> Iterator[tuple[int, int, int]]:
@@ -132,20 +138,39 @@ def bands(index: Index, text: str, bitmap: np.ndarray) -> Iterator[tuple[int, in
 
 
 def regions(index: Index, text: str, bitmap: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
-    """(pattern, start, end, edits) of the verified occurrences in a normalised text."""
+    """(pattern, start, end, edits) of the verified occurrences in a normalised text.
+
+    Pairs of equal pattern length and budget are aligned together, a bounded number at a time.
+    """
+    chars = points(text)
+    groups: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
     for one, first, last in bands(index, text, bitmap):
         pattern, _, k, _ = index.patterns[one]
         from_, to = max(0, first - k), min(len(text), last + len(pattern) + k + 1)
-        region = text[from_:to]
-        exact = region.find(pattern)
+        exact = text.find(pattern, from_, to)
         if exact >= 0:
-            yield one, from_ + exact, from_ + exact + len(pattern), 0
-            continue
-        edits, end = align(pattern, region, first - k - from_, last + k - from_)
-        if edits <= k:  # the start is the end of the same alignment backwards
-            head = region[:end][::-1]
-            _, back = align(pattern[::-1], head, -k, k)
-            yield one, from_ + end - back, from_ + end, edits
+            yield one, exact, exact + len(pattern), 0
+        else:
+            groups[len(pattern), k].append((one, first - k))
+    for (m, k), pairs in groups.items():
+        size = m + 2 * (2 * k + 1) + 2 * k - 1
+        for at in range(0, len(pairs), 256):
+            part = pairs[at:at + 256]
+            patterns = np.stack([points(index.patterns[one][0]) for one, _ in part])
+            starts = np.array([low for _, low in part])
+            places = starts[:, None] + np.arange(size)
+            inside = (places >= 0) & (places < len(chars))
+            texts = np.where(inside, chars[np.clip(places, 0, len(chars) - 1)], -1)
+            edits, ends = align(patterns, texts, k)
+            fine = np.flatnonzero(edits <= k)
+            if len(fine):  # the start is the end of the same alignment backwards, from the end on
+                back_places = (starts + ends)[fine, None] - 1 + k - np.arange(m + 2 * k)
+                inside = (back_places >= 0) & (back_places < len(chars))
+                back_texts = np.where(inside, chars[np.clip(back_places, 0, len(chars) - 1)], -1)
+                _, back = align(patterns[fine, ::-1], back_texts, m)
+                for j, b in zip(fine.tolist(), back.tolist()):
+                    end = int(starts[j] + ends[j])
+                    yield part[j][0], max(0, end + k - b), min(len(text), end), int(edits[j])
 
 
 def pieces(texts: list[str], overlap: int) -> Iterator[tuple[str, list[int], list[tuple[int, int]]]]:
