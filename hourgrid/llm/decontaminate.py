@@ -231,15 +231,41 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text).alias("text")).distinct()
     kind = (f"id {rows.schema['id'].dataType.simpleString()}, item {items.schema['item'].dataType.simpleString()}, "
             "start long, end long, edits int, windows int")
-    blocks = total_bytes(items, "text") // block_bytes + 1
     found = None
-    for block in range(blocks):
-        own = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block)
-        part = rows.mapInArrow(_finder(build_index([tuple(r) for r in own.collect()], q, budget, window)), kind)
+    for index in _indexes(items, q, budget, window, block_bytes):
+        part = rows.mapInArrow(_finder(index), kind)
         found = part if found is None else found.unionByName(part)
     return found
 
 
+def without_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
+                  item_text: str = "text", q: int = Q, budget: float = BUDGET, window: int = WINDOW,
+                  block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows and columns of ``docs`` whose text holds no item, as ``leaks`` finds them; no shuffle."""
+    items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text).alias("text")).distinct()
+    for index in _indexes(items, q, budget, window, block_bytes):
+        docs = docs.mapInArrow(_filter(index, docs.columns.index(text_col)), docs.schema)
+    return docs
+
+
+def _indexes(items: DataFrame, q: int, budget: float, window: int, block_bytes: int) -> Iterator[Index]:
+    """Indexes over blocks of the items, each of bounded size."""
+    blocks = total_bytes(items, "text") // block_bytes + 1
+    for block in range(blocks):
+        own = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block)
+        yield build_index([tuple(r) for r in own.collect()], q, budget, window)
+
+
+def _filter(index: Index, text: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = matches(index, [normal(t) for t in batch.column(text).to_pylist()]) if index.patterns else {}
+            held = {t for t, _ in found}
+            yield batch.filter(pa.array([i not in held for i in range(batch.num_rows)], pa.bool_()))
+
+    return run
+
+
 def _finder(index: Index):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -12,7 +12,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +21,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hourgrid.llm.common import travels_by_value
 from hourgrid.session import saved
@@ -140,8 +141,6 @@ def learn_lexicon(sample: DataFrame, size: int = LEXICON, texts: int = LEXICON_T
 
 def with_features(rows: DataFrame, lexicon: dict[str, float], keep: list[str]) -> DataFrame:
     """The columns ``keep`` and the array ``x`` of features of the column ``text``."""
-    kept = rows.select(*keep)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = np.array([features(t, lexicon) for t in batch.column("text").to_pylist()], np.float64)
@@ -149,15 +148,17 @@ def with_features(rows: DataFrame, lexicon: dict[str, float], keep: list[str]) -
             lists = pa.ListArray.from_arrays(offsets, pa.array(x.reshape(-1), pa.float64()))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), lists], [*keep, "x"])
 
-    kinds = ", ".join(f"{c} {t}" for c, t in kept.dtypes)
-    return rows.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, f"{kinds}, x array<double>")
+    out = T.StructType([*rows.select(*keep).schema.fields, T.StructField("x", T.ArrayType(T.DoubleType()))])
+    return rows.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, out)
 
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_id: str = "doc_id", label_col: str = "toxic", fit_rows: int = FIT_ROWS, folds: int = 5,
-          trees: int = 30, depth: int = 3) -> DataFrame:
+          trees: int = 30, depth: int = 3, keep: Sequence[str] = ()) -> DataFrame:
     """(id, held_out, score, predicted): every row's calibrated probability of label 1.
 
+    The columns ``keep`` follow within the struct ``row``, whatever their names.
+
     Rows whose crc32 of the id as text is divisible by ``folds`` are held out: their
     labels are never read. Of the others at most ``fit_rows`` are used; a fifth of those
     calibrates the trees. Labels, ids and all columns but the text are no inputs of a score.
@@ -167,15 +168,18 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     an id the largest counts, null labels none. If the usable labels are all equal, that
     label is the score; without any the score is 0. No rows give no rows.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    carried = ["row"] if keep else []
+    row = [F.struct(*(F.col(f"`{c}`") for c in keep)).alias("row")] if keep else []
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *row)
     outer = F.coalesce(F.crc32(F.col("id").cast("string")) % folds == 0, F.lit(False))
     known = labels.select(F.col(label_id).alias("id"), F.col(label_col).cast("int").alias("y"))
-    sample = saved(sample_labelled(rows, known.filter(~outer), fit_rows), "toxicity-sample")
+    sample = saved(sample_labelled(rows.select("id", "text"), known.filter(~outer), fit_rows), "toxicity-sample")
     classes = [r.y for r in sample.select("y").distinct().collect()]
     held = rows.withColumn("held_out", outer)
     if len(classes) < 2:
         constant = float(bool(classes and classes[0]))
-        return held.select("id", "held_out", F.lit(constant).alias("score"), F.lit(int(constant >= 0.5)).alias("predicted"))
+        return held.select("id", "held_out", F.lit(constant).alias("score"), F.lit(int(constant >= 0.5)).alias("predicted"),
+                           *carried)
     calibrates = F.pmod(F.xxhash64(F.lit(7), "id"), F.lit(5)) == 0
     lexicon = learn_lexicon(sample.filter(~calibrates))
     seen = with_features(sample, lexicon, ["id", "y"]).select(
@@ -187,7 +191,7 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     raw = vector_to_array("probability")[1].alias("raw")
     steps = IsotonicRegression(featuresCol="raw", labelCol="label").fit(
         model.transform(seen.filter("calibrates").coalesce(4)).select(raw, "label"))
-    vectors = with_features(held, lexicon, ["id", "held_out"]).select("id", "held_out", array_to_vector("x").alias("features"))
-    scored = steps.transform(model.transform(vectors).select("id", "held_out", raw))
+    vectors = with_features(held, lexicon, ["id", "held_out", *carried]).select("id", "held_out", *carried, array_to_vector("x").alias("features"))
+    scored = steps.transform(model.transform(vectors).select("id", "held_out", *carried, raw))
     value = F.least(F.greatest(F.coalesce(F.col("prediction"), F.lit(0.0)), F.lit(0.0)), F.lit(1.0))
-    return scored.select("id", "held_out", value.alias("score"), (value >= 0.5).cast("int").alias("predicted"))
+    return scored.select("id", "held_out", value.alias("score"), (value >= 0.5).cast("int").alias("predicted"), *carried)
