@@ -9,15 +9,18 @@ from pyspark.sql import functions as F
 
 
 def first_wins(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """One row per key combination: the smallest by ``order``.
+    """One row per key combination: the smallest by ``order``, nulls after all values.
+
+    Of rows that tie the one with a value in the first column in which another has none.
 
     Written as an aggregate rather than a ranked window: every map task already
     reduces its copies to one row per key, so a key with very many copies does
     not travel through the shuffle or meet in one task.
     """
     rest = [c for c in df.columns if c not in keys]
+    sortable = [x for i, o in enumerate(order) for x in (o.isNull().alias(f"__n{i}"), o.alias(f"__o{i}"))]
     ranked = df.select(*keys, F.struct(
-        *[o.alias(f"__o{i}") for i, o in enumerate(order)], *rest).alias("__row"))
+        *sortable, *[F.col(c).isNull().alias(f"__r{i}") for i, c in enumerate(rest)], *rest).alias("__row"))
     best = ranked.groupBy(*keys).agg(F.min("__row").alias("__row"))
     return best.select(*[F.col(c) if c in keys else F.col(f"__row.{c}").alias(c)
                          for c in df.columns])

@@ -70,9 +70,10 @@ def ingest_history(spark: SparkSession, at: Layout, path: str) -> None:
     stores.upsert_days(spark, at.weather, wx, KEYS, "ts", [F.col("temperature_2m")])
 
 
-def hourly_readings(spark: SparkSession, at: Layout) -> DataFrame:
+def hourly_readings(spark: SparkSession, at: Layout, until: str | None = None) -> DataFrame:
     """One reading per city and hour: live rows carry minutes, so the store may hold several."""
     rows = stores.read_store(spark, at.readings).filter(F.col("aqi").isNotNull())
+    rows = rows if until is None else stores.within(rows, None, _moment(until))
     order = [F.col("arrived"), F.col("pm25")]
     exact = rows.select("city", floor_hour(F.col("ts")).alias("ts"), F.col("ts").alias("arrived"),
                         F.col("pm25").cast("double").alias("pm25"), F.col("aqi").cast("int").alias("aqi"))
@@ -103,7 +104,7 @@ def build_features(spark: SparkSession, at: Layout) -> None:
 
 def check_drift(spark: SparkSession, at: Layout, as_of: str, seasonal: bool = False, days: int = 7) -> DataFrame:
     """Drift rows of all registered cities, saved with the recent window they looked at."""
-    raw = stores.read_store(spark, at.readings)
+    raw = stores.within(stores.read_store(spark, at.readings), _moment(as_of) - F.expr(f"INTERVAL {days} DAYS"), _moment(as_of))
     recent = drift.recent_hourly(raw, KEYS, "ts", "aqi", _moment(as_of), days)
     stores.write_snapshot(recent, at.recent, as_of)
     results = drift.drift_report(spark.read.parquet(at.features), raw, cities(spark).select("city"), KEYS,
@@ -166,7 +167,7 @@ def forecast_next(spark: SparkSession, at: Layout, as_of: str, horizon: int = 24
     features = spark.read.parquet(at.features)
     model, moment = _model(features, regressors), _moment(as_of)
     champions = champion_models(spark, at)
-    past = hourly_readings(spark, at).filter(F.col("ts") <= moment)
+    past = hourly_readings(spark, at, until=as_of).filter(F.col("ts") <= moment)
     wx = hourly_weather(spark, at)
     means = lookups.recent_mean(wx.filter(F.col("ts") <= moment), KEYS, "ts",
                                 [c for c in wx.columns if c in WEATHER_COLS])

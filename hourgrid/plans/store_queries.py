@@ -19,12 +19,20 @@ from hourgrid.sources import history, stores
 from hourgrid.dimensions import WEATHER_COLS
 
 
-@query("store_upsert", UPSERT_SQL)
+CITY_CODES = {"click": "007", "view": "1e3", "error": "2024-01-01", "signup": "0x1F"}
+
+
+@query("store_upsert", "SELECT CASE city " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in CITY_CODES.items())
+       + f" ELSE city END AS city, ts, event_id, value FROM ({UPSERT_SQL})")
 def store_upsert(spark, sf):
-    """Two overlapping batches merged into a day-partitioned store, read back."""
+    """Two overlapping batches merged into a day-partitioned store, one of them twice, read back.
+
+    The cities have codes that look like numbers and dates; they stay text.
+    """
     path = fresh_path(spark, "readings")
-    for batch in upsert_sides(spark, sf):
-        stores.upsert_days(spark, path, batch, ["city"], "ts", [F.col("event_id")])
+    stored, batch = (side.replace(CITY_CODES, subset=["city"]) for side in upsert_sides(spark, sf))
+    for side in (stored, batch, batch):
+        stores.upsert_days(spark, path, side, ["city"], "ts", [F.col("event_id")])
     rows = stores.read_store(spark, path)
     return rows.select("city", "ts", "event_id", F.round("value", 6).alias("value"))
 
@@ -107,8 +115,9 @@ def _(spark, sf):
 
 HISTORY_SQL = f"""rows0 AS (SELECT CASE event_type WHEN 'error' THEN ' Calcutta' WHEN 'click' THEN 'NEW DELHI ' WHEN 'view' THEN 'mumbai' WHEN 'signup' THEN 'Bangalore' ELSE 'Atlantis' END AS raw,
   CASE WHEN value > 300 THEN NULL ELSE date_trunc('hour', ts)::TIMESTAMP END AS ts, value,
-  CASE WHEN (props->>'$.k')::BIGINT < 5 THEN NULL WHEN (props->>'$.k')::BIGINT > 95 THEN 5000 ELSE value END AS pm25 FROM events),
-named AS (SELECT CASE raw WHEN ' Calcutta' THEN 'Kolkata' WHEN 'NEW DELHI ' THEN 'Delhi' WHEN 'mumbai' THEN 'Mumbai' WHEN 'Bangalore' THEN 'Bengaluru' END AS city, ts, pm25, value
+  CASE WHEN (props->>'$.k')::BIGINT < 5 THEN NULL WHEN (props->>'$.k')::BIGINT > 95 THEN 5000 ELSE value END AS pm25,
+  CASE WHEN event_id % 2 = 0 THEN value END AS temp, lpad(event_id::VARCHAR, 12, '0') AS seq FROM events),
+named AS (SELECT CASE raw WHEN ' Calcutta' THEN 'Kolkata' WHEN 'NEW DELHI ' THEN 'Delhi' WHEN 'mumbai' THEN 'Mumbai' WHEN 'Bangalore' THEN 'Bengaluru' END AS city, ts, pm25, value, temp, seq
  FROM rows0 WHERE raw <> 'Atlantis' AND ts IS NOT NULL)"""
 
 
@@ -123,7 +132,8 @@ def _landed_csv(spark, sf):
         F.when(value > 300, "yesterday").otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("Datetime"),
         city.alias("City"),
         F.when(k < 5, "n/a").when(k > 95, "5000").otherwise(value.cast("string")).alias("PM2_5_ugm3"),
-        value.cast("string").alias("Temp_2m_C"), (value * 3).cast("string").alias("Wind_Speed_10m_kmh"),
+        F.when(F.col("event_id") % 2 == 0, value.cast("string")).otherwise("?").alias("Temp_2m_C"),
+        F.lpad(F.col("event_id").cast("string"), 12, "0").alias("Seq"), (value * 3).cast("string").alias("Wind_Speed_10m_kmh"),
         F.lit("180").alias("Wind_Dir_10m"), F.lit("").alias("Humidity_Percent"),
         F.lit("0").alias("Precipitation_mm"), F.lit("bad").alias("Pressure_MSL_hPa"),
         F.lit("Winter").alias("Season"))
@@ -133,14 +143,16 @@ def _landed_csv(spark, sf):
     return history.read_history(spark, path)
 
 
-@query("history_readings", "WITH " + HISTORY_SQL + f""", good AS (SELECT city, ts, min(pm25) AS pm25 FROM named WHERE pm25 BETWEEN 0 AND 999 GROUP BY ALL)
+@query("history_readings", "WITH " + HISTORY_SQL + f""", good AS (SELECT city, ts, arg_min(pm25, seq) AS pm25 FROM named WHERE pm25 BETWEEN 0 AND 999 GROUP BY ALL)
 SELECT city, ts AS timestamp, pm25, 0.0::DOUBLE AS pm25_sd, 100.0::DOUBLE AS coverage_pct, {index_sql('pm25')} AS aqi, 0::BIGINT AS location_id FROM good""")
 def _(spark, sf):
-    return history.readings(_landed_csv(spark, sf)).drop("pm25_min", "pm25_max")
+    return history.readings(_landed_csv(spark, sf), ["Seq"]).drop("pm25_min", "pm25_max")
 
 
-@query("history_weather", "WITH " + HISTORY_SQL + """
-SELECT city, ts AS timestamp, min(value) AS temperature_2m, round(min(value)*3/3.6::DOUBLE, 6) AS wind_speed_10m, 180.0::DOUBLE AS wind_direction_10m,
- NULL::DOUBLE AS relative_humidity_2m, 0.0::DOUBLE AS precipitation, NULL::DOUBLE AS surface_pressure, 'Winter' AS season FROM named GROUP BY ALL""")
+@query("history_weather", "WITH " + HISTORY_SQL + """, one AS (
+SELECT * FROM named QUALIFY row_number() OVER (PARTITION BY city, ts ORDER BY temp IS NULL, seq) = 1)
+SELECT city, ts AS timestamp, temp AS temperature_2m, round(value*3/3.6::DOUBLE, 6) AS wind_speed_10m, 180.0::DOUBLE AS wind_direction_10m,
+ NULL::DOUBLE AS relative_humidity_2m, 0.0::DOUBLE AS precipitation, NULL::DOUBLE AS surface_pressure, 'Winter' AS season FROM one""")
 def _(spark, sf):
-    return history.weather(_landed_csv(spark, sf)).withColumn("wind_speed_10m", F.round("wind_speed_10m", 6))
+    """Every second temperature does not parse: the first row of an hour that has one wins."""
+    return history.weather(_landed_csv(spark, sf), ["Seq"]).withColumn("wind_speed_10m", F.round("wind_speed_10m", 6))

@@ -18,8 +18,13 @@ from hourgrid.operators.quality import (
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with a header, all columns as text; missing required columns only warn."""
+    """CSV with a header, all columns as text, and ``ingest_seq``: a row's file and place in it.
+
+    Missing required columns only warn.
+    """
     df = spark.read.csv(path, header=True, inferSchema=False, mode="PERMISSIVE")
+    df = df.withColumn("ingest_seq", F.struct("_metadata.file_path", "_metadata.file_block_start",
+                                              F.monotonically_increasing_id().alias("row")))
     absent = missing_columns(df, HISTORY_REQUIRED)
     if absent:
         warnings.warn(f"missing expected columns: {absent}", stacklevel=2)
@@ -32,11 +37,8 @@ def _stamped(df: DataFrame) -> DataFrame:
     return stamped.withColumn("timestamp", floor_hour(F.col("Datetime"))).drop("Datetime")
 
 
-def readings(df: DataFrame, order: Sequence[str] = ("PM2_5_ugm3",)) -> DataFrame:
-    """Clean readings, one per city and hour, with provenance columns and the index.
-
-    The source has no row order on a cluster, so ``order`` names the tie-break.
-    """
+def readings(df: DataFrame, order: Sequence[str] = ("ingest_seq",)) -> DataFrame:
+    """Clean readings, the first of each city and hour in order, with provenance columns and the index."""
     rows = coerce(_stamped(df), numbers=["PM2_5_ugm3"], required=["PM2_5_ugm3"])
     rows = provenance(physical_bounds(rows, "PM2_5_ugm3"), "PM2_5_ugm3", "history")
     rows = rows.withColumn("aqi", pm25_to_aqi(F.col("pm25")))
@@ -45,12 +47,15 @@ def readings(df: DataFrame, order: Sequence[str] = ("PM2_5_ugm3",)) -> DataFrame
                       "aqi", "city", "location_id")
 
 
-def weather(df: DataFrame, order: Sequence[str] = ("Temp_2m_C",)) -> DataFrame:
-    """Weather columns with internal names; wind in m/s; optional extras where present."""
+def weather(df: DataFrame, order: Sequence[str] = ("ingest_seq",)) -> DataFrame:
+    """Weather columns with internal names; wind in m/s; optional extras where present.
+
+    Of each city and hour the first row in order that has a temperature, else the first.
+    """
     rows = with_missing_as_null(_stamped(df), list(WEATHER_RENAMES), "string")
     rows = coerce(rows, numbers=list(WEATHER_RENAMES)).withColumn(
         "Wind_Speed_10m_kmh", kmh_to_ms(F.col("Wind_Speed_10m_kmh")))
-    one = first_wins(rows, ["city", "timestamp"], [F.col(c) for c in order])
+    one = first_wins(rows, ["city", "timestamp"], [F.col("Temp_2m_C").isNull(), *(F.col(c) for c in order)])
     extras = [c for c in BONUS_RENAMES if c in one.columns]
     return one.withColumnsRenamed({**WEATHER_RENAMES, **BONUS_RENAMES}).select(
         "timestamp", "city", *WEATHER_COLS, *[BONUS_RENAMES[c] for c in extras])

@@ -11,57 +11,112 @@ from pyspark.sql import types as T
 
 from hourgrid.dimensions import WEATHER_COLS
 from hourgrid.operators.dedupe import first_wins, upsert_first_wins
-from hourgrid.session import fresh_path
+
+
+#: Beside a store lies a folder with its schema, the batch being merged and the days about to replace others.
+SIDE = ".store"
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+    try:
+        return bool(spark.read.schema("x int").parquet(path).columns)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+
+
+def _typed(schema: T.StructType, partition: Sequence[str]) -> T.StructType:
+    """The schema with ``date`` as a date and all other partition columns as text."""
+    return T.StructType([
+        T.StructField(f.name, T.DateType() if f.name == "date" else T.StringType())
+        if f.name in partition else f for f in schema.fields])
 
 
-def read_store(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """A day-partitioned store; with a schema nothing is inferred and missing columns are NULL."""
-    reader = spark.read.option("mergeSchema", "true") if schema is None else spark.read.schema(schema)
-    return reader.parquet(path)
+def store_schema(spark: SparkSession, path: str, partition: Sequence[str] = ("city", "date")) -> T.StructType:
+    """The schema a store was written with; of a store written by others, that of its files.
+
+    Partition values are never guessed from their looks: a city "007" stays "007".
+    """
+    if exists(spark, f"{path}{SIDE}/schema"):
+        return spark.read.parquet(f"{path}{SIDE}/schema").schema
+    return _typed(spark.read.option("mergeSchema", "true").parquet(path).schema, partition)
+
+
+def read_store(spark: SparkSession, path: str, schema: T.StructType | None = None,
+               partition: Sequence[str] = ("city", "date")) -> DataFrame:
+    """A day-partitioned store; columns that some files lack are NULL there."""
+    return spark.read.schema(schema or store_schema(spark, path, partition)).parquet(path)
+
+
+def within(rows: DataFrame, since: Column | None, until: Column) -> DataFrame:
+    """The days of a store up to a moment (and from another on), as a filter on its folders."""
+    rows = rows.filter(F.col("date") <= F.to_date(until))
+    return rows if since is None else rows.filter(F.col("date") >= F.to_date(since))
 
 
 def read_weather_or_null(spark: SparkSession, path: str, like: DataFrame,
                          keys: Sequence[str]) -> DataFrame:
     """The weather store, or (no store yet) no rows with the right types."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
+    if exists(spark, path):
+        return read_store(spark, path)
     return like.select(*keys, *[F.lit(None).cast("double").alias(c) for c in WEATHER_COLS]).filter(F.lit(False))
 
 
+def _state(spark: SparkSession, path: str, value: str | None = None) -> str | None:
+    """Set or read what a store is about to do: "swap" while staged days replace stored ones."""
+    where = f"{path}{SIDE}/state"
+    if value is not None:
+        spark.range(1).select(F.lit(value).alias("state")).write.mode("overwrite").parquet(where)
+        return value
+    row = spark.read.schema("state string").parquet(where).first() if exists(spark, where) else None
+    return row and row.state
+
+
+def _swap(spark: SparkSession, path: str, partition: Sequence[str], ts: str) -> None:
+    """Replace the days that are staged; may be repeated any number of times."""
+    schema = spark.read.parquet(f"{path}{SIDE}/schema").schema
+    staged = spark.read.schema(schema).parquet(f"{path}{SIDE}/staged")
+    (staged.hint("rebalance", *partition).sortWithinPartitions(*partition, ts)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition).parquet(path))
+    _state(spark, path, "done")
+    staged.filter(F.lit(False)).write.mode("overwrite").parquet(f"{path}{SIDE}/batch")
+
+
 def upsert_days(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str], ts: str,
                 order: Sequence[Column], partition: Sequence[str] = ("city", "date")) -> None:
-    """First-wins merge of a batch into a day-partitioned store.
+    """First-wins merge of a batch into a day-partitioned store, by one writer at a time.
 
-    Only days the batch touches are read and replaced. The merged days are first
-    written beside the store: a lost executor then never re-reads a day that is
-    being replaced, and repeating the call after a failure gives the same store.
+    Only days that the batch touches are read and replaced. The merged days are staged
+    beside the store in full before any day is replaced, and the store's state says so:
+    if the swap is cut short, at any point, the next call first repeats it from the
+    staged days. So repeating a failed call gives the same store.
     """
-    dated = first_wins(batch.withColumn("date", F.to_date(ts)), [*keys, ts], order).persist()
+    if _state(spark, path) == "swap":
+        _swap(spark, path, partition, ts)
+    side = f"{path}{SIDE}"
+    one = first_wins(batch.withColumn("date", F.to_date(ts)), [*keys, ts], order)
+    one = one.select(*(F.col(f.name).cast(f.dataType) for f in _typed(one.schema, partition).fields))
+    one.write.mode("overwrite").parquet(f"{side}/batch")
+    dated = spark.read.schema(one.schema).parquet(f"{side}/batch")
+    merged = dated
     if exists(spark, path):
-        # two dates reach the driver; they let the scan skip all other day folders
-        span = dated.agg(F.min("date").alias("low"), F.max("date").alias("high")).first()
-        stored = spark.read.parquet(path).withColumn("date", F.col("date").cast("date")).filter(
-            F.col("date").between(F.lit(span.low), F.lit(span.high)))
+        # a row for each calendar day of the batch reaches the driver, to name the folders to read
+        days = [r.date for r in dated.select("date").distinct().collect()]
+        stored = read_store(spark, path, partition=partition).filter(F.col("date").isin(days))
         touched = dated.select(*partition).distinct()
-        merged = upsert_first_wins(stored.join(touched, list(partition), "left_semi"),
-                                   dated, [*keys, ts], order)
-        staged = fresh_path(spark, "staged-days")
-        merged.write.mode("overwrite").parquet(staged)
-        result = spark.read.parquet(staged)
-    else:
-        result = dated
-    (result.hint("rebalance", *partition).sortWithinPartitions(*partition, ts)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition).parquet(path))
-    dated.unpersist()
+        merged = upsert_first_wins(stored.join(touched, list(partition), "left_semi"), dated, [*keys, ts], order)
+    merged.write.mode("overwrite").parquet(f"{side}/staged")
+    schema = merged.schema if not exists(spark, path) else _wider(store_schema(spark, path, partition), merged.schema)
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{side}/schema")
+    _state(spark, path, "swap")
+    _swap(spark, path, partition, ts)
+
+
+def _wider(known: T.StructType, new: T.StructType) -> T.StructType:
+    names = set(known.names)
+    return T.StructType([*known.fields, *(f for f in new.fields if f.name not in names)])
 
 
 def write_features(df: DataFrame, path: str, partition: Sequence[str] = ("city",)) -> None:

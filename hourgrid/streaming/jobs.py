@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from hourgrid.operators.alerts import LATENCY_BOUNDS, bucket_counts, with_bucket_quantile
 from hourgrid.operators.drift import drift_report, retrain_list
 from hourgrid.operators.rollup import mean_of
-from hourgrid.sources.stores import upsert_days
+from hourgrid.sources.stores import read_store, upsert_days, within
 
 LATENESS = "2 hours"
 
@@ -125,7 +125,9 @@ def drift_after_batch(df: DataFrame, store: str, drift: str, retrain: str, check
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         upsert_days(spark, store, batch, keys, ts, [F.col(c) for c in order])
-        checked = drift_report(features, spark.read.parquet(store), series, keys, ts, value, as_of, days)
+        moment = F.lit(as_of).cast("timestamp_ntz")
+        stored = within(read_store(spark, store), moment - F.expr(f"INTERVAL {days} DAYS"), moment)
+        checked = drift_report(features, stored, series, keys, ts, value, as_of, days)
         target = f"{drift}/batch={batch_id}"
         checked.write.mode("overwrite").parquet(target)
         retrain_list(spark.read.parquet(target)).select(*keys).write.mode("overwrite").parquet(

@@ -126,6 +126,13 @@ def test_feature_table(hourly, spark):
     assert no_weather.count() == len(got)
 
 
+def test_first_wins_prefers_values(spark):
+    df = spark.createDataFrame([("a", 1, None, "x"), ("a", 1, 21.5, None), ("b", None, 3.0, "y"), ("b", 2, 4.0, "z")],
+                               "city string, seq int, v double, w string")
+    got = {r.city: r.v for r in first_wins(df, ["city"], [F.col("seq")]).collect()}
+    assert got == {"a": 21.5, "b": 4.0}
+
+
 def test_first_wins_and_upsert(rows):
     data = [("a", "2024-01-01 00:00:00", 2, 20.0), ("a", "2024-01-01 00:00:00", 1, 10.0), ("b", "2024-01-01 00:00:00", 3, 30.0)]
     schema = "city string, ts string, seq int, v double"

@@ -111,6 +111,46 @@ def test_store_upsert_is_first_wins_and_idempotent(spark, rows, tmp_path):
     assert (tmp_path / "store" / "city=a" / "date=2024-01-02").is_dir()
 
 
+def test_store_keys_stay_text(spark, rows, tmp_path):
+    path = str(tmp_path / "store")
+    batch = rows([(c, "2024-01-01 00:00:00", 1.0) for c in ("007", "1e3", "2024-01-01", "true", "7")],
+                 "city string, ts string, v double", ["ts"])
+    for _ in range(2):
+        stores.upsert_days(spark, path, batch, ["city"], "ts", [F.col("v")])
+    assert sorted(r.city for r in stores.read_store(spark, path).collect()) == ["007", "1e3", "2024-01-01", "7", "true"]
+
+
+def test_store_survives_a_cut_short_swap(spark, rows, tmp_path):
+    """The days are staged, then a day's folder vanishes before its new files are in place."""
+    import shutil
+
+    path, schema = str(tmp_path / "store"), "city string, ts string, v double"
+    stores.upsert_days(spark, path, rows([("a", "2024-01-01 00:00:00", 1.0), ("a", "2024-01-02 00:00:00", 2.0)], schema, ["ts"]),
+                       ["city"], "ts", [F.col("v")])
+    batch = rows([("a", "2024-01-02 05:00:00", 5.0)], schema, ["ts"])
+    whole = stores._swap
+    try:
+        stores._swap = lambda *_: (_ for _ in ()).throw(RuntimeError("killed"))
+        with pytest.raises(RuntimeError):
+            stores.upsert_days(spark, path, batch, ["city"], "ts", [F.col("v")])
+    finally:
+        stores._swap = whole
+    shutil.rmtree(f"{path}/city=a/date=2024-01-02")
+    stores.upsert_days(spark, path, batch, ["city"], "ts", [F.col("v")])
+    assert sorted(r.v for r in stores.read_store(spark, path).collect()) == [1.0, 2.0, 5.0]
+
+
+def test_store_reads_only_touched_days(spark, rows, tmp_path):
+    path, schema = str(tmp_path / "store"), "city string, ts string, v double"
+    days = [("a", f"2024-01-{d:02} 00:00:00", float(d)) for d in range(1, 10)]
+    stores.upsert_days(spark, path, rows(days, schema, ["ts"]), ["city"], "ts", [F.col("v")])
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "store").rglob("*.parquet")}
+    stores.upsert_days(spark, path, rows([("a", "2024-01-01 07:00:00", 0.5), ("a", "2024-01-09 07:00:00", 0.5)], schema, ["ts"]),
+                       ["city"], "ts", [F.col("v")])
+    after = {p: p.stat().st_mtime_ns for p in (tmp_path / "store").rglob("*.parquet")}
+    assert sum(before.get(p) == m for p, m in after.items()) == 7 and len(after) == 9
+
+
 def test_store_scan_prunes_days_and_columns(spark, rows, tmp_path):
     path = str(tmp_path / "store")
     stores.upsert_days(spark, path, rows([("a", "2024-01-01 00:00:00", 1.0), ("a", "2024-01-02 00:00:00", 2.0)],
