@@ -9,6 +9,7 @@ on collected data.
 
 from __future__ import annotations
 
+import json
 import math
 import sys
 from collections.abc import Iterator, Sequence
@@ -50,6 +51,16 @@ class SeasonalModel:
         return (2 + self.changepoints + 2 * sum(order for _, order in self.seasonalities)
                 + len(self.regressors))
 
+    def shape(self) -> str:
+        """All that the meaning of the coefficients depends on, as text."""
+        return json.dumps([[[float(p), n] for p, n in self.seasonalities], self.changepoints,
+                           self.changepoint_range, list(self.regressors)])
+
+    @classmethod
+    def of_shape(cls, shape: str) -> SeasonalModel:
+        seasonalities, changepoints, reach, regressors = json.loads(shape)
+        return cls(tuple((p, n) for p, n in seasonalities), changepoints, reach, regressors=tuple(regressors))
+
     def penalties(self) -> np.ndarray:
         """Ridge weights: none on level and slope, ``1 / prior**2`` elsewhere."""
         seasonal = 2 * sum(order for _, order in self.seasonalities) + len(self.regressors)
@@ -113,14 +124,15 @@ def _partial_gram(width: int):
             x = np.asarray(batch.column(1).flatten()).reshape(-1, width)
             z = np.column_stack([x, batch.column(2).to_numpy(zero_copy_only=False)])
             codes, names = pd.factorize(batch.column(0).to_pandas())
-            for code, name in enumerate(names):
-                part = z[codes == code]
+            order = np.argsort(codes, kind="stable")
+            cuts = np.flatnonzero(np.diff(codes[order])) + 1
+            for part, name in zip(np.split(z[order], cuts), names):
                 gram = part.T @ part
                 sums[name] = sums[name] + gram if name in sums else gram
                 rows[name] = rows.get(name, 0) + len(part)
-            if len(sums) >= 256:
-                yield _gram_batch(sums, rows, size)
-                sums, rows = {}, {}
+                if len(sums) >= 256:
+                    yield _gram_batch(sums, rows, size)
+                    sums, rows = {}, {}
         if sums:
             yield _gram_batch(sums, rows, size)
 
@@ -155,36 +167,46 @@ def _solver(width: int, penalties: list[float]):
     return solve
 
 
-def fit(train: DataFrame, keys: Sequence[str], ts: str = "ds", y: str = "y",
-        model: SeasonalModel = SeasonalModel(), many_series: bool = False) -> DataFrame:
-    """One row per series: scaling values, ``coefficients`` and the residual ``sigma``.
+def gram_cells(train: DataFrame, scaling: DataFrame, keys: Sequence[str], ts: str, y: str,
+               model: SeasonalModel) -> DataFrame:
+    """(__key, __i, __v): the upper triangle of ``[x y]' [x y]`` of every series, cell by cell.
 
-    Rows stay where they are and each task reduces its share of every series.
-    With very many short series (``many_series``) they are first brought together
-    by key, so that a series has one partial matrix instead of one per task.
+    Rows stay where they are; each task reduces its share of every series.
     """
     by = list(keys)
-    width = model.width
-    scaling = _scaling(train, by, ts, y, model.regressors)
     rows = _design(train.filter(F.col(y).isNotNull()), scaling, by, ts, model).select(
         F.to_json(F.struct(*by)).alias("__key"), "__x",
         (F.col(y).cast("double") / F.col("__scale")).alias("__y"))
-    partial = (rows.repartition("__key") if many_series else rows).mapInArrow(
-        _partial_gram(width), "__key string, __rows bigint, __gram array<double>")
+    partial = rows.mapInArrow(_partial_gram(model.width), "__key string, __rows bigint, __gram array<double>")
     cells = partial.select("__key", F.posexplode("__gram").alias("__i", "__v"))
-    summed = cells.groupBy("__key", "__i").agg(F.sum("__v").alias("__v"))
-    whole = summed.groupBy("__key").agg(F.transform(
+    return cells.groupBy("__key", "__i").agg(F.sum("__v").alias("__v"))
+
+
+def fit(train: DataFrame, keys: Sequence[str], ts: str = "ds", y: str = "y",
+        model: SeasonalModel = SeasonalModel()) -> DataFrame:
+    """One row per series: scaling values, ``coefficients``, the residual ``sigma`` and the ``shape``."""
+    by = list(keys)
+    scaling = _scaling(train, by, ts, y, model.regressors)
+    whole = gram_cells(train, scaling, by, ts, y, model).groupBy("__key").agg(F.transform(
         F.sort_array(F.collect_list(F.struct("__i", "__v"))), lambda s: s["__v"]).alias("__gram"))
-    solve = _solver(width, [float(p) for p in model.penalties()])
+    solve = _solver(model.width, [float(p) for p in model.penalties()])
     named = scaling.withColumn("__key", F.to_json(F.struct(*by)))
     return (named.join(whole, "__key").withColumn("__fit", solve("__gram", "__rows"))
-            .withColumns({"coefficients": F.col("__fit.coefficients"), "sigma": F.col("__fit.sigma")})
+            .withColumns({"coefficients": F.col("__fit.coefficients"), "sigma": F.col("__fit.sigma"),
+                          "shape": F.lit(model.shape())})
             .drop("__fit", "__gram", "__key", "__rows"))
 
 
 def predict(df: DataFrame, fitted: DataFrame, keys: Sequence[str], ts: str = "ds",
             model: SeasonalModel = SeasonalModel(), z: float = Z_95) -> DataFrame:
-    """Add yhat, yhat_lower, yhat_upper; a native dot product with the joined coefficients."""
+    """Add yhat, yhat_lower, yhat_upper; a native dot product with the joined coefficients.
+
+    Fails on rows of ``fitted`` that were fitted with a model of another shape.
+    """
+    if "shape" in fitted.columns:
+        same = F.col("shape") == model.shape()
+        fitted = fitted.withColumn("coefficients", F.when(same, F.col("coefficients")).otherwise(F.raise_error(
+            F.concat(F.lit("fitted with another shape: "), F.coalesce("shape", F.lit("none")))))).drop("shape")
     rows = _design(df, fitted, list(keys), ts, model)
     dot = F.aggregate(F.zip_with("__x", "coefficients", lambda a, b: a * b), F.lit(0.0),
                       lambda acc, v: acc + v)

@@ -268,3 +268,61 @@ def ridge_daily_orders(spark, sf):
     scored = regression.predict(rows, fitted, KEYS, model=model)
     return _rounded(metrics.split_metrics(scored, KEYS), ["train_mae", "test_mae"]).select(
         "city", "train_mae", "test_mae")
+
+
+THOUSANDS = """d AS (SELECT a.city, a.ds, a.y/1000 AS y, epoch(a.ds)::DOUBLE AS e, b.n::DOUBLE AS n FROM daily a
+ JOIN (SELECT o_orderpriority AS city, o_orderdate AS ds, count(*) AS n FROM orders GROUP BY ALL) b ON a.city = b.city AND a.ds = b.ds),
+r AS (SELECT city, min(e) AS t0, max(e) AS t1, max(abs(y)) AS scale, avg(n) AS m, coalesce(nullif(stddev_pop(n), 0), 1) AS s,
+  count(*)::DOUBLE AS rows FROM d GROUP BY city),
+x AS (SELECT d.*, r.scale, r.rows, (e - t0)/greatest(t1 - t0, 1) AS t, (n - m)/s AS z FROM d JOIN r USING (city))"""
+
+
+def _thousands(spark, sf):
+    """Daily order values in thousands, which keeps forecasts inside the index range, and the number of orders."""
+    counts = table(spark, sf, "orders").groupBy(
+        F.col("o_orderpriority").alias("city"), F.col("o_orderdate").alias("ds")).agg(F.count("*").cast("double").alias("n"))
+    return daily_orders(spark, sf).withColumn("y", F.col("y") / 1000).join(counts, ["city", "ds"])
+
+
+def _fitted(rows, model):
+    out = regression.predict(rows, regression.fit(rows, KEYS, model=model), KEYS, model=model)
+    return out.select("city", "ds", *[F.round(c, 6).alias(c) for c in ("yhat", "yhat_lower", "yhat_upper")])
+
+
+BAND = ", ".join(f"round(least(greatest({v}, 0), 500), 6) AS {n}" for n, v in (
+    ("yhat", "p"), ("yhat_lower", f"p - {regression.Z_95}::DOUBLE*sg"), ("yhat_upper", f"p + {regression.Z_95}::DOUBLE*sg")))
+
+
+@query("ridge_trend", with_ctes(DAILY_CTE, THOUSANDS) + f"""
+, f AS (SELECT city, regr_slope(y, t) AS b, regr_intercept(y, t) AS a FROM x GROUP BY city),
+g AS (SELECT x.city, ds, a + b*t AS p, sqrt(avg((y - a - b*t)*(y - a - b*t)) OVER (PARTITION BY x.city)) AS sg FROM x JOIN f ON x.city = f.city)
+SELECT city, ds, {BAND} FROM g""")
+def ridge_trend(spark, sf):
+    """Level and slope alone carry no penalty: a plain line."""
+    return _fitted(_thousands(spark, sf), regression.SeasonalModel(seasonalities=(), changepoints=0, regressors=()))
+
+
+@query("ridge_one_regressor", with_ctes(DAILY_CTE, THOUSANDS) + f"""
+, c AS (SELECT city, avg(t) AS mt, avg(z) AS mz, avg(y/scale) AS my, rows*var_pop(t) AS tt, rows*covar_pop(t, z) AS tz, rows*var_pop(z) + 0.01 AS zz,
+  rows*covar_pop(t, y/scale) AS ty, rows*covar_pop(z, y/scale) AS zy FROM x GROUP BY city, rows),
+f AS (SELECT *, (ty*zz - zy*tz)/(tt*zz - tz*tz) AS b, (zy*tt - ty*tz)/(tt*zz - tz*tz) AS w FROM c),
+g AS (SELECT x.city, ds, y, scale*(my - b*mt - w*mz + b*t + w*z) AS p FROM x JOIN f ON x.city = f.city),
+h AS (SELECT *, sqrt(avg((y - p)*(y - p)) OVER (PARTITION BY city)) AS sg FROM g)
+SELECT city, ds, {BAND} FROM h""")
+def ridge_one_regressor(spark, sf):
+    """A penalised regressor beside the line: the two-by-two system of the centred sums."""
+    return _fitted(_thousands(spark, sf), regression.SeasonalModel(seasonalities=(), changepoints=0, regressors=("n",)))
+
+
+GRAM = ["1::DOUBLE", "t", "sin(e/86400*(2*pi()/7))", "cos(e/86400*(2*pi()/7))", "y/scale"]
+
+
+@query("ridge_gram", with_ctes(DAILY_CTE, THOUSANDS) + "SELECT city, i::INTEGER AS cell, round(v, 6) AS value FROM (SELECT city, unnest(range(15)) AS i, unnest([" + ", ".join(
+    f"sum({a}*{b})" for i, a in enumerate(GRAM) for b in GRAM[i:]) + "]) AS v FROM x GROUP BY city)")
+def ridge_gram(spark, sf):
+    """The summed sufficient statistics of a weekly cycle, cell by cell."""
+    model = regression.SeasonalModel(seasonalities=((7.0, 1),), changepoints=0, regressors=())
+    rows = _thousands(spark, sf)
+    cells = regression.gram_cells(rows, regression._scaling(rows, KEYS, "ds", "y", ()), KEYS, "ds", "y", model)
+    return cells.select(F.get_json_object("__key", "$.city").alias("city"), F.col("__i").alias("cell"),
+                        F.round("__v", 6).alias("value"))

@@ -6,13 +6,13 @@ at once. A step can be repeated: stores merge first-wins or are replaced.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourgrid.dimensions import REGRESSORS, WEATHER_COLS, cities
+from hourgrid.dimensions import BONUS_COLS, REGRESSORS, WEATHER_COLS, cities
 from hourgrid.functions.timefns import floor_hour
 from hourgrid.operators import baseline, drift, forecast, lookups, metrics, registry, regression
 from hourgrid.operators.dedupe import first_wins
@@ -22,6 +22,8 @@ from hourgrid.operators.rollup import city_hour_rollup
 from hourgrid.sources import feeds, history, stores
 
 KEYS = ["city"]
+#: What a model may use, where the features have values for it
+CANDIDATES = (*REGRESSORS, *BONUS_COLS)
 
 
 @dataclass(frozen=True)
@@ -84,7 +86,9 @@ def hourly_weather(spark: SparkSession, at: Layout) -> DataFrame:
     if not stores.exists(spark, at.weather):
         return stores.read_weather_or_null(spark, at.weather, hourly_readings(spark, at), ["city", "ts"])
     rows = stores.read_store(spark, at.weather)
-    rows = keep_present(rows.withColumn("ts", floor_hour(F.col("ts"))), ["city", "ts", *WEATHER_COLS])
+    rows = keep_present(rows.withColumn("ts", floor_hour(F.col("ts"))), ["city", "ts", *WEATHER_COLS, "temp_inversion"])
+    if "temp_inversion" in rows.columns:  # crop burning and festivals follow from the calendar
+        rows = rows.withColumn("temp_inversion", F.col("temp_inversion").try_cast("double"))
     present = [c for c in rows.columns if c in WEATHER_COLS]
     if "wind_speed_10m" in present:
         rows = wind_unit_fix(rows, KEYS)
@@ -114,11 +118,27 @@ def check_drift(spark: SparkSession, at: Layout, as_of: str, seasonal: bool = Fa
 
 
 def _model(features: DataFrame, regressors: Sequence[str]) -> regression.SeasonalModel:
-    return regression.SeasonalModel(regressors=tuple(r for r in regressors if r in features.columns))
+    """The model with the candidates that have any value; one row a candidate reaches the driver."""
+    present = [r for r in regressors if r in features.columns]
+    found = regression.regressor_availability(features, present).filter("available").collect() if present else []
+    usable = {r.regressor for r in found}
+    return regression.SeasonalModel(regressors=tuple(r for r in present if r in usable))
+
+
+def _predicted(champions: DataFrame, frame: Callable[[regression.SeasonalModel], DataFrame]) -> DataFrame:
+    """Forecasts by champions of any shape: each scores the frame made for its own shape."""
+    parts = [regression.predict(frame(model), champions.filter(F.col("shape") == shape), KEYS, model=model).select(
+                 "city", "ds", "yhat", "yhat_lower", "yhat_upper")
+             for shape in sorted(r.shape for r in champions.select("shape").distinct().collect())
+             for model in [regression.SeasonalModel.of_shape(shape)]]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 def train(spark: SparkSession, at: Layout, version: int, trained_at: str, only: DataFrame | None = None,
-          test_days: int = 7, regressors: Sequence[str] = tuple(REGRESSORS)) -> DataFrame:
+          test_days: int = 7, regressors: Sequence[str] = CANDIDATES) -> DataFrame:
     """Fit all cities (or those in ``only``), score them, and promote where the error fell.
 
     Models and scores lie under their version: training a version again replaces it.
@@ -142,30 +162,28 @@ def train(spark: SparkSession, at: Layout, version: int, trained_at: str, only:
 def champion_models(spark: SparkSession, at: Layout) -> DataFrame:
     """The fitted parameters of each city's champion."""
     found = registry.champion_history(spark.read.parquet(at.versions), KEYS).filter("status = 'champion'")
-    return spark.read.parquet(at.models).join(found.select("city", "version"), ["city", "version"], "left_semi").drop("version")
+    models = spark.read.option("mergeSchema", "true").parquet(at.models)  # shapes differ between versions
+    return models.join(found.select("city", "version"), ["city", "version"], "left_semi").drop("version")
 
 
-def evaluate(spark: SparkSession, at: Layout, as_of: str, test_days: int = 30,
-             regressors: Sequence[str] = tuple(REGRESSORS)) -> DataFrame:
+def evaluate(spark: SparkSession, at: Layout, as_of: str, test_days: int = 30) -> DataFrame:
     """Champion models on the last days; written as JSON and CSV reports."""
     features = spark.read.parquet(at.features)
-    model = _model(features, regressors)
     test = metrics.split_by_time(features, KEYS, test_days=test_days, min_test_rows=24).filter("split = 'test'")
-    frame = regression.assemble_regressors(test, KEYS, "ds", model.regressors)
-    scored = regression.predict(frame, champion_models(spark, at), KEYS, model=model)
+    scored = _predicted(champion_models(spark, at), lambda model: regression.assemble_regressors(
+        test, KEYS, "ds", model.regressors))
     report = metrics.evaluation_report(scored.join(test.select("city", "ds", "y"), ["city", "ds"]), KEYS)
     stores.write_report(report, at.reports, as_of)
     return spark.read.schema(report.schema).json(f"{at.reports}/evaluation_latest.json")
 
 
 def forecast_next(spark: SparkSession, at: Layout, as_of: str, horizon: int = 24,
-                  live: DataFrame | None = None, regressors: Sequence[str] = tuple(REGRESSORS)) -> DataFrame:
+                  live: DataFrame | None = None) -> DataFrame:
     """The next hours of every city that has a champion.
 
     ``live`` (city, value) is the current index where a live source answered.
     """
-    features = spark.read.parquet(at.features)
-    model, moment = _model(features, regressors), _moment(as_of)
+    moment = _moment(as_of)
     champions = champion_models(spark, at)
     past = hourly_readings(spark, at, until=as_of).filter(F.col("ts") <= moment)
     wx = hourly_weather(spark, at)
@@ -175,6 +193,6 @@ def forecast_next(spark: SparkSession, at: Layout, as_of: str, horizon: int = 24
     last = lookups.last_known(past, KEYS, "ts", ["aqi"]).withColumnRenamed("aqi", "value")
     live = recent.filter(F.lit(False)) if live is None else live
     current = lookups.fallback_value(champions.select("city"), live, last, recent, KEYS)
-    frame = forecast.future_frame(champions.select("city"), KEYS, moment, horizon, wx, means, current, recent,
-                                  model.regressors)
-    return forecast.forecast_output(regression.predict(frame, champions, KEYS, model=model), KEYS)
+    scored = _predicted(champions, lambda model: forecast.future_frame(
+        champions.select("city"), KEYS, moment, horizon, wx, means, current, recent, model.regressors))
+    return forecast.forecast_output(scored, KEYS)

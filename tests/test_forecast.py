@@ -106,10 +106,10 @@ def test_fit_equals_normal_equations(spark, trained):
     model, df = trained
     train = df.filter("split = 'train'")
     fitted = {r.city: r for r in regression.fit(train, ["city"], model=model).collect()}
-    together = {r.city: r for r in regression.fit(train, ["city"], model=model, many_series=True).collect()}
-    assert set(fitted) == set(together) == {"a", "b"}
-    for city in fitted:
-        np.testing.assert_allclose(together[city].coefficients, fitted[city].coefficients, rtol=1e-8, atol=1e-10)
+    assert set(fitted) == {"a", "b"} and regression.SeasonalModel.of_shape(fitted["a"].shape).shape() == model.shape()
+    other = regression.SeasonalModel(seasonalities=model.seasonalities, changepoints=model.changepoints, regressors=())
+    with pytest.raises(Exception, match="another shape"):
+        regression.predict(df, regression.fit(train, ["city"], model=model), ["city"], model=other).collect()
     pdf = train.toPandas()
     for city, part in pdf.groupby("city"):
         sec = part.ds.astype("datetime64[s]").astype("int64").to_numpy().astype(float)

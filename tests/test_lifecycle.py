@@ -50,9 +50,18 @@ def test_whole_way(spark, landed, tmp_path):
     assert len(drifted) == 5 and all(r.error is None and 0 <= r.p_value <= 1 and r.recent_n >= 24 for r in drifted)
 
     life.train(spark, at, 1, AS_OF, test_days=10)
-    history = life.train(spark, at, 2, AS_OF, only=spark.createDataFrame([("Delhi",)], "city string"), test_days=5).collect()
+    history = life.train(spark, at, 2, AS_OF, only=spark.createDataFrame([("Delhi",)], "city string"), test_days=5,
+                         regressors=("temperature_2m", "crop_burning", "surface_pressure")).collect()
     assert sorted((r.city, r.version) for r in history) == sorted([(c, 1) for c in NAMES.values()] + [("Delhi", 2)])
     assert life.champion_models(spark, at).count() == 5
+    shapes = {v: spark.read.parquet(f"{at.models}/version={v}").first().shape for v in (1, 2)}
+    assert '"crop_burning", "festival_period"' in shapes[1] and "humidity" not in shapes[1]  # humidity has no values
+    assert '["temperature_2m", "crop_burning"]' in shapes[2]
+    # as if the newer model were Delhi's champion: two shapes side by side
+    (spark.read.parquet(f"{at.versions}/version=2").withColumn("mae", F.lit(0.0)).withColumn("test_mae", F.lit(0.0))
+     .write.parquet(str(tmp_path / "better")))
+    spark.read.parquet(str(tmp_path / "better")).write.mode("overwrite").parquet(f"{at.versions}/version=2")
+    assert life.champion_models(spark, at).select("shape").distinct().count() == 2
 
     report = life.evaluate(spark, at, AS_OF, test_days=10).collect()
     assert len(report) == 5 and all(len(r.calibration_bins) == 5 and r.mae > 0 and r.test_rows >= 24 for r in report)
