@@ -1,13 +1,17 @@
+import shutil
+
 import pytest
 
 from hourgrid.session import local_session
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session("tests", cores="8", shuffle=4)
+def spark(tmp_path_factory):
+    shared = tmp_path_factory.mktemp("shared")
+    session = local_session("tests", cores="8", shuffle=4, spark__checkpoint__dir=str(shared))
     yield session
     session.stop()
+    shutil.rmtree(shared, ignore_errors=True)
 
 
 @pytest.fixture
