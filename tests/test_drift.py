@@ -128,7 +128,7 @@ def test_monthly_baseline_falls_back(spark):
     assert {r.month: r.has_baseline for r in month_counts(df, ["city"]).collect()} == {1: True, 2: False}
 
 
-@pytest.mark.parametrize("bins", [1, 4, 1024])
+@pytest.mark.parametrize("bins", [2, 4, 1024])
 def test_quantiles_equal_numpy(spark, bins):
     rng = np.random.default_rng(5)
     groups = {"wide": rng.lognormal(0, 5, 3000), "ties": rng.integers(0, 5, 2000).astype(float),
