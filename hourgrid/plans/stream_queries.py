@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from hourgrid.dimensions import ALERT_RULES
 from hourgrid.functions.index import pm25_to_aqi
 from hourgrid.operators.alerts import LATENCY_BOUNDS
 from hourgrid.plans.bindings import HOURLY_CTE, KEYS, index_sql, table, with_ctes
 from hourgrid.plans.catalog import query
 from hourgrid.plans.drift_queries import ANNUAL, AS_OF, DRIFT_NUMBERS, _drift_sql, _inputs
+from hourgrid.plans.monitoring_queries import PANES
 from hourgrid.session import fresh_path
+from hourgrid.sources.stores import read_store
 from hourgrid.streaming import jobs
 
 
@@ -97,45 +100,88 @@ def _(spark, sf):
 
 
 @query("stream_sessions", """
-WITH marks AS (SELECT event_type AS city, ts, coalesce(ts - lag(ts) OVER (PARTITION BY event_type ORDER BY ts) > INTERVAL 3 HOUR, true) AS fresh FROM events),
-runs AS (SELECT *, sum(fresh::INTEGER) OVER (PARTITION BY city ORDER BY ts ROWS UNBOUNDED PRECEDING) AS run FROM marks)
-SELECT city, min(ts) AS up_since, max(ts) AS last_seen, count(*)::BIGINT AS beats FROM runs GROUP BY city, run
+WITH marks AS (SELECT event_type AS city, user_id AS station, ts,
+ coalesce(ts - lag(ts) OVER (PARTITION BY event_type, user_id ORDER BY ts) > INTERVAL 3 HOUR, true) AS fresh FROM events),
+runs AS (SELECT *, sum(fresh::INTEGER) OVER (PARTITION BY city, station ORDER BY ts ROWS UNBOUNDED PRECEDING) AS run FROM marks)
+SELECT city, station, min(ts) AS up_since, max(ts) AS last_seen, count(*)::BIGINT AS beats FROM runs GROUP BY city, station, run
 HAVING max(ts) + INTERVAL 3 HOUR <= (SELECT max(ts) - INTERVAL 2 HOUR FROM events)""")
 def _(spark, sf):
     out, checkpoint = fresh_path(spark, "stream-sessions"), fresh_path(spark, "checkpoint")
-    _finish(jobs.append_to(jobs.heartbeat_sessions(_stream(spark, sf), KEYS, "ts", "3 hours"), out, checkpoint))
+    _finish(jobs.append_to(jobs.heartbeat_sessions(_stream(spark, sf), ["city", "station"], "ts", "3 hours"), out, checkpoint))
     return spark.read.parquet(out).withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("up_since", "last_seen")})
 
 
-@query("stream_upsert", """
-SELECT city, ts, event_id, value FROM (SELECT event_type AS city, date_trunc('hour', ts)::TIMESTAMP AS ts, event_id, value,
- row_number() OVER (PARTITION BY event_type, date_trunc('hour', ts) ORDER BY event_id) AS r FROM events) WHERE r = 1""")
+LATE = "2024-01-10 00:00:00"
+
+
+@query("stream_late_rows", f"""
+SELECT event_type AS city, date_trunc('hour', ts)::TIMESTAMP AS ts, count(*)::BIGINT AS n FROM events
+WHERE ts >= TIMESTAMP '{LATE}' AND date_trunc('hour', ts) + INTERVAL 1 HOUR <= {CLOSED} GROUP BY ALL""")
+def stream_late_rows(spark, sf):
+    """The rows before a day arrive after all others, behind the watermark: they change nothing."""
+    out, checkpoint, landed = (fresh_path(spark, n) for n in ("stream-late", "checkpoint", "landed"))
+    events = table(spark, sf, "events").select(F.col("event_type").alias("city"), "ts", F.col("value").alias("pm25"))
+    late = F.col("ts") < F.lit(LATE).cast("timestamp_ntz")
+    for part in (events.filter(~late), events.filter(late)):
+        part.write.mode("append").parquet(landed)
+        rows = jobs.event_time(jobs.read_landed(spark, landed, events.schema), "ts")
+        _finish(jobs.append_to(jobs.hourly_mean(rows, KEYS, "ts", "pm25", decimals=2), out, checkpoint))
+    return spark.read.parquet(out).select("city", F.col("ts").cast("timestamp_ntz").alias("ts"), "n")
+
+
+THRESHOLD, SPAN, HOLD = ALERT_RULES["HighErrorRate"]
+
+
+@query("stream_alerts", "WITH " + PANES + f""",
+ratio AS (SELECT eval_ts, count(*) FILTER (WHERE event_type = 'error')::DOUBLE/count(*) AS ratio FROM spread GROUP BY eval_ts),
+firing AS (SELECT eval_ts, epoch(eval_ts)::BIGINT // 60 - row_number() OVER (ORDER BY eval_ts) AS i FROM ratio
+ WHERE ratio > {THRESHOLD} AND eval_ts <= {CLOSED})
+SELECT min(eval_ts) AS active_since, max(eval_ts) AS active_until, count(*)::BIGINT AS evaluations,
+ epoch(max(eval_ts)) - epoch(min(eval_ts)) >= {HOLD} AS fired FROM firing GROUP BY i""")
+def stream_alerts(spark, sf):
+    """The error-ratio rule at its own window and hold, over the closed minutes."""
+    log, out, checkpoint = (fresh_path(spark, n) for n in ("evaluations", "alerts", "checkpoint"))
+    counts = jobs.sliding_counts(_stream(spark, sf).withColumn("service", F.lit("api")), ["service"], "ts",
+                                 F.col("city") == "error", f"{SPAN} seconds", "1 minute")
+    firing = F.col("failed") / F.col("requests") > THRESHOLD
+    _finish(jobs.alerts_after_batch(counts, log, out, checkpoint, ["service"], firing, HOLD))
+    found = spark.read.parquet(out)
+    last = found.agg(F.max("batch")).first()[0]
+    return found.filter(F.col("batch") == last).drop("batch", "service")
+
+
+MEANS_CTE = f"""sh AS (SELECT event_type AS city, user_id AS station, date_trunc('hour', ts)::TIMESTAMP AS ts,
+  sum(round(value*100)::BIGINT)::DOUBLE/(count(value)*100)::DOUBLE AS pm25 FROM events GROUP BY ALL),
+means AS (SELECT city, ts, round(avg(pm25), 6) AS pm25, count(*)::BIGINT AS stations FROM sh WHERE ts + INTERVAL 1 HOUR <= {CLOSED} GROUP BY ALL)"""
+
+
+def _city_hours(spark, sf):
+    means = jobs.city_hour_mean(_stream(spark, sf), KEYS, "station", "ts", "pm25", decimals=2)
+    return means.withColumn("pm25", F.round("pm25", 6))
+
+
+@query("stream_upsert", "WITH " + MEANS_CTE + " SELECT city, ts, pm25, stations FROM means")
 def stream_upsert(spark, sf):
+    """The means of every closed hour's station means, merged into a day-partitioned store."""
     out, checkpoint = fresh_path(spark, "stream-store"), fresh_path(spark, "checkpoint")
-    rows = _stream(spark, sf).select("city", F.date_trunc("hour", "ts").alias("ts"), "event_id",
-                                     F.col("pm25").alias("value"))
-    _finish(jobs.upsert_to_days(rows, out, checkpoint, KEYS, "ts", ["event_id"]))
-    return spark.read.parquet(out).select("city", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_id", "value")
+    _finish(jobs.upsert_to_days(_city_hours(spark, sf), out, checkpoint, KEYS, "ts", ["pm25"]))
+    return read_store(spark, out).select("city", F.col("ts").cast("timestamp_ntz").alias("ts"), "pm25", "stations")
 
 
-FIRST_CTE = f"""firsts AS (SELECT city, ts, {index_sql('value')} AS aqi FROM (
- SELECT event_type AS city, ts, value, row_number() OVER (PARTITION BY event_type, date_trunc('hour', ts) ORDER BY ts, event_id) AS r FROM events) WHERE r = 1),
-recent AS (SELECT city, date_trunc('hour', ts)::TIMESTAMP AS ts, avg(aqi) AS aqi FROM firsts
- WHERE date_trunc('hour', ts) >= TIMESTAMP '{AS_OF}' - INTERVAL 7 DAY AND date_trunc('hour', ts) <= TIMESTAMP '{AS_OF}' GROUP BY ALL)"""
+NEWEST = "(SELECT max(ts) FROM means)"
+STREAM_RECENT_CTE = MEANS_CTE + f""",
+recent AS (SELECT city, ts, {index_sql('pm25')}::DOUBLE AS aqi FROM means WHERE ts >= {NEWEST} - INTERVAL 7 DAY)"""
 
 
-@query("stream_drift", with_ctes(HOURLY_CTE, FIRST_CTE) + "," + _drift_sql(ANNUAL, "annual"))
+@query("stream_drift", with_ctes(HOURLY_CTE, STREAM_RECENT_CTE) + "," + _drift_sql(ANNUAL, "annual").replace(
+    f"TIMESTAMP '{AS_OF}'", NEWEST))
 def stream_drift(spark, sf):
-    """Upsert the first reading of every hour, then check drift on the store's last seven days."""
+    """Upsert every closed hour's mean, then check drift on the store's seven days up to the newest of them."""
     features, series = _inputs(spark, sf)
     paths = {n: fresh_path(spark, n) for n in ("drift-store", "drift-results", "retrain", "checkpoint")}
-    rows = _stream(spark, sf).select(
-        "city", F.date_trunc("hour", "ts").alias("ts"), F.struct("ts", "event_id").alias("arrival"),
-        pm25_to_aqi(F.col("pm25")).alias("aqi")).select(
-        "city", "ts", F.col("arrival.ts").alias("arrived"), F.col("arrival.event_id").alias("event_id"), "aqi")
+    rows = _city_hours(spark, sf).select("city", "ts", pm25_to_aqi(F.col("pm25")).alias("aqi"))
     _finish(jobs.drift_after_batch(
         rows, paths["drift-store"], paths["drift-results"], paths["retrain"], paths["checkpoint"], KEYS,
-        "ts", "aqi", features, series, AS_OF,
-        ["arrived", "event_id"]))
+        "ts", "aqi", features, series, ["aqi"]))
     out = spark.read.parquet(paths["drift-results"]).drop("batch")
     return out.withColumns({n: F.round(n, 9) for n in DRIFT_NUMBERS})

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from hourgrid.operators.alerts import LATENCY_BOUNDS, bucket_counts, with_bucket_quantile
+from hourgrid.operators.alerts import LATENCY_BOUNDS, bucket_counts, sustained, with_bucket_quantile
 from hourgrid.operators.drift import drift_report, retrain_list
 from hourgrid.operators.rollup import mean_of
 from hourgrid.sources.stores import read_store, upsert_days, within
@@ -48,6 +48,16 @@ def hourly_mean(df: DataFrame, keys: Sequence[str], ts: str, value: str, latenes
         *keys, F.col("__w.start").alias(ts), value, "n")
 
 
+def city_hour_mean(df: DataFrame, keys: Sequence[str], station: str, ts: str, value: str,
+                   lateness: str = LATENESS, decimals: int | None = None) -> DataFrame:
+    """Mean of the station means per key and hour; an hour is emitted once the watermark has passed it."""
+    stations = df.withWatermark(ts, lateness).groupBy(*keys, station, F.window(ts, "1 hour").alias("__w")).agg(
+        mean_of(value, decimals).alias(value)).select(*keys, value, F.window_time("__w").alias("__t"))
+    return stations.groupBy(*keys, F.window("__t", "1 hour").alias("__h")).agg(
+        F.avg(value).alias(value), F.count(value).alias("stations")).select(
+        *keys, F.col("__h.start").alias(ts), value, "stations")
+
+
 def sliding_counts(df: DataFrame, keys: Sequence[str], ts: str, failed: Column, span: str,
                    slide: str, lateness: str = LATENESS) -> DataFrame:
     """Requests and failures per sliding window, for rate and error-ratio rules."""
@@ -115,22 +125,44 @@ def upsert_to_days(df: DataFrame, path: str, checkpoint: str, keys: Sequence[str
 
 def drift_after_batch(df: DataFrame, store: str, drift: str, retrain: str, checkpoint: str,
                       keys: Sequence[str], ts: str, value: str, features: DataFrame,
-                      series: DataFrame, as_of: str, order: Sequence[str],
+                      series: DataFrame, order: Sequence[str], as_of: str | None = None,
                       days: int = 7) -> StreamingQuery:
     """Upsert a micro-batch, then check drift on the trailing days of the store.
 
-    Results and retrain requests land under their batch number, so a repeated
+    The check looks back from the newest row of its batch, so it moves with the
+    stream, or from a fixed ``as_of``. Batches without rows leave nothing. Results and retrain requests land under their batch number, so a repeated
     batch replaces its own output.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        newest = batch.agg(F.date_format(F.max(ts), "yyyy-MM-dd HH:mm:ss")).first()[0]
+        if newest is None:
+            return
         upsert_days(spark, store, batch, keys, ts, [F.col(c) for c in order])
-        moment = F.lit(as_of).cast("timestamp_ntz")
+        moment = F.lit(as_of or newest).cast("timestamp_ntz")
         stored = within(read_store(spark, store), moment - F.expr(f"INTERVAL {days} DAYS"), moment)
-        checked = drift_report(features, stored, series, keys, ts, value, as_of, days)
+        checked = drift_report(features, stored, series, keys, ts, value, as_of or newest, days)
         target = f"{drift}/batch={batch_id}"
         checked.write.mode("overwrite").parquet(target)
         retrain_list(spark.read.parquet(target)).select(*keys).write.mode("overwrite").parquet(
             f"{retrain}/batch={batch_id}")
 
     return for_each(df, handle, checkpoint)
+
+
+def alerts_after_batch(evaluations: DataFrame, log: str, alerts: str, checkpoint: str, keys: Sequence[str],
+                       firing: Column, hold: int, step: int = 60) -> StreamingQuery:
+    """Keep closed evaluations of a rule, and after each batch the runs in which it fires.
+
+    A run holds over batches, as it is found in the log of all evaluations (a row per
+    key and step). Both tables lie under their batch number, so a repeated batch replaces
+    its own output.
+    """
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch.withColumn("eval_ts", F.col("eval_ts").cast("timestamp_ntz")).write.mode("overwrite").parquet(
+            f"{log}/batch={batch_id}")
+        known = spark.read.parquet(log).filter(F.col("batch") <= batch_id).drop("batch")
+        sustained(known, keys, firing, hold, step).write.mode("overwrite").parquet(f"{alerts}/batch={batch_id}")
+
+    return for_each(evaluations, handle, checkpoint)
