@@ -6,22 +6,39 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hourgrid.dimensions import BACKFILL_CHUNK_DAYS, MAX_BACKFILL_DAYS
 
 
 def validate_requests(requests: DataFrame, start: str = "date_from", end: str = "date_to",
-                      as_of: Column | None = None, max_days: int = MAX_BACKFILL_DAYS) -> DataFrame:
-    """Add ``days``, ``valid`` and ``reason``; a missing end means ``as_of``."""
-    stop = F.col(end) if as_of is None else F.coalesce(F.col(end), as_of)
+                      as_of: Column | None = None, max_days: int = MAX_BACKFILL_DAYS,
+                      known: DataFrame | None = None, key: str = "city") -> DataFrame:
+    """Add ``days``, ``valid`` and ``reason``; a missing end means ``as_of``.
+
+    Dates may be text (year-month-day), which comes out parsed. With ``known`` (a column
+    ``key``) requests for anything else are invalid too.
+    """
+    bad = {}
+    for name in (start, end):
+        if isinstance(requests.schema[name].dataType, T.StringType):
+            parsed = F.try_to_timestamp(name, F.lit("yyyy-MM-dd")).cast("timestamp_ntz")
+            requests = requests.withColumn(f"__{name}", F.col(name)).withColumn(name, parsed)
+            bad[name] = F.col(f"__{name}").isNotNull() & F.col(name).isNull()
+    stop = F.col(end) if as_of is None else F.when(~bad.get(end, F.lit(False)), F.coalesce(F.col(end), as_of))
     days = F.floor((F.unix_seconds(stop.cast("timestamp"))
                     - F.unix_seconds(F.col(start).cast("timestamp"))) / 86400).cast("int")
-    reason = (F.when(F.col(start).isNull(), "date_from is required")
-              .when(F.col(start) >= stop, "date_from must be before date_to")
+    reason = F.when(F.col(f"__{start}" if start in bad else start).isNull(), f"{start} is required")
+    for name, wrong in bad.items():
+        reason = reason.when(wrong, F.format_string(f"Invalid {name} format: '%s'. Expected: YYYY-MM-DD", F.col(f"__{name}")))
+    reason = (reason.when(F.col(start) >= stop, f"{start} must be before {end}")
               .when(days > max_days, F.format_string(
                   "date range too large: %d days (max %d)", days, F.lit(max_days))))
-    return (requests.withColumn(end, stop).withColumn("days", days).withColumn("reason", reason)
-            .withColumn("valid", F.col("reason").isNull()))
+    if known is not None:
+        requests = requests.join(known.select(F.col(key).alias("__key")).distinct(), F.col(key) == F.col("__key"), "left")
+        reason = reason.when(F.col("__key").isNull(), F.concat(F.lit(f"unknown {key}: "), F.coalesce(F.col(key), F.lit("none"))))
+    return (requests.withColumn("days", days).withColumn("reason", reason).withColumn(end, stop)
+            .withColumn("valid", F.col("reason").isNull()).drop("__key", *(f"__{n}" for n in bad)))
 
 
 def chunk_requests(requests: DataFrame, start: str = "date_from", end: str = "date_to",

@@ -58,15 +58,20 @@ def stations_in_boxes(places: DataFrame, stations: DataFrame, delta: float = 0.5
 
 
 def latest_per_sensor(readings: DataFrame, keys: Sequence[str], ts: str, value: str,
-                      as_of: Column, days: int = 7) -> DataFrame:
-    """Newest reading per sensor within the trailing days, with its age in hours and index."""
+                      as_of: Column, days: int = 7, coverage: str | None = None) -> DataFrame:
+    """Newest reading per sensor within the trailing days, with its age in hours and index.
+
+    With ``coverage`` (a column) also that of the reading, 0 where it is unknown.
+    """
     inside = readings.filter((F.col(ts) >= as_of - F.expr(f"INTERVAL {days} DAYS"))
                              & (F.col(ts) <= as_of))
-    newest = inside.groupBy(*keys).agg(F.max(F.struct(ts, value)).alias("__r"))
+    extra = [coverage] if coverage else []
+    newest = inside.groupBy(*keys).agg(F.max(F.struct(ts, value, *extra)).alias("__r"))
     age = (F.unix_micros(as_of.cast("timestamp"))
            - F.unix_micros(F.col(f"__r.{ts}").cast("timestamp"))) / 3.6e9
     return newest.select(*keys, F.col(f"__r.{ts}").alias(ts), F.col(f"__r.{value}").alias(value),
-                         age.alias("age_hours"), pm25_to_aqi(F.col(f"__r.{value}")).alias("aqi"))
+                         age.alias("age_hours"), pm25_to_aqi(F.col(f"__r.{value}")).alias("aqi"),
+                         *[F.coalesce(F.col(f"__r.{c}").cast("double"), F.lit(0.0)).alias(c) for c in extra])
 
 
 def freshness(stations: DataFrame, latest: DataFrame, keys: Sequence[str], station: str,

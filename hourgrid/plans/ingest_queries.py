@@ -149,27 +149,45 @@ def _(spark, sf):
     return fresh.withColumn("value", F.round("value", 6))
 
 
-REQUESTS_SQL = """requests AS (
+REQUESTS_SQL = """texts AS (
  SELECT o_orderkey AS request, o_orderpriority AS city,
-  CASE WHEN o_orderpriority <> '4-NOT SPECIFIED' OR o_totalprice > 50000 THEN o_orderdate END AS date_from,
-  coalesce(CASE WHEN o_orderstatus <> 'O' THEN o_orderdate + INTERVAL 1 DAY * (floor(o_totalprice/600)::INTEGER - 20) END,
-   TIMESTAMP '2001-09-01 00:00:00') AS date_to FROM orders),
+  CASE WHEN o_orderpriority <> '4-NOT SPECIFIED' OR o_totalprice > 50000 THEN
+   CASE WHEN o_orderkey % 50 = 0 THEN strftime(o_orderdate, '%d.%m.%Y') ELSE strftime(o_orderdate, '%Y-%m-%d') END END AS from_text,
+  CASE WHEN o_orderstatus <> 'O' THEN o_orderdate + INTERVAL 1 DAY * (floor(o_totalprice/600)::INTEGER - 20) END AS stop, o_orderkey FROM orders),
+more AS (SELECT *, CASE WHEN o_orderkey % 70 = 0 THEN strftime(stop, '%d.%m.%Y') ELSE strftime(stop, '%Y-%m-%d') END AS to_text FROM texts),
+requests AS (SELECT *, try_strptime(from_text, '%Y-%m-%d')::TIMESTAMP AS date_from,
+  CASE WHEN to_text IS NULL THEN TIMESTAMP '2001-09-01 00:00:00' ELSE try_strptime(to_text, '%Y-%m-%d')::TIMESTAMP END AS date_to FROM more),
 validated AS (
- SELECT *, floor(epoch(date_to - date_from)/86400)::INTEGER AS days,
-  CASE WHEN date_from IS NULL THEN 'date_from is required' WHEN date_from >= date_to THEN 'date_from must be before date_to'
+ SELECT request, city, date_from, date_to, floor(epoch(date_to - date_from)/86400)::INTEGER AS days,
+  CASE WHEN from_text IS NULL THEN 'date_from is required'
+   WHEN date_from IS NULL THEN 'Invalid date_from format: ''' || from_text || '''. Expected: YYYY-MM-DD'
+   WHEN date_to IS NULL THEN 'Invalid date_to format: ''' || to_text || '''. Expected: YYYY-MM-DD'
+   WHEN date_from >= date_to THEN 'date_from must be before date_to'
    WHEN floor(epoch(date_to - date_from)/86400) > 730 THEN 'date range too large: ' || floor(epoch(date_to - date_from)/86400)::INTEGER || ' days (max 730)'
+   WHEN city NOT IN (SELECT event_type FROM events UNION ALL SELECT o_orderpriority FROM orders WHERE o_orderpriority < '5') THEN 'unknown city: ' || city
   END AS reason FROM requests)"""
 
 
 def _requests(spark, sf):
-    """Backfill requests derived from the orders; some are invalid, some have no end."""
+    """Backfill requests derived from the orders, dates as text.
+
+    Some dates are missing or not in the right form, some ranges are invalid, some have
+    no end, and one priority is no known city.
+    """
     day = F.expr("make_dt_interval(cast(floor(o_totalprice / 600) as int) - 20)")
-    rows = table(spark, sf, "orders").select(
+
+    def text(column, every):
+        return F.when(F.col("o_orderkey") % every == 0, F.date_format(column, "dd.MM.yyyy")).otherwise(
+            F.date_format(column, "yyyy-MM-dd"))
+
+    orders = table(spark, sf, "orders")
+    rows = orders.select(
         F.col("o_orderkey").alias("request"), F.col("o_orderpriority").alias("city"),
         F.when((F.col("o_orderpriority") != "4-NOT SPECIFIED") | (F.col("o_totalprice") > 50000),
-               F.col("o_orderdate")).alias("date_from"),
-        F.when(F.col("o_orderstatus") != "O", F.col("o_orderdate") + day).alias("date_to"))
-    return backfill.validate_requests(rows, as_of=F.lit("2001-09-01 00:00:00").cast("timestamp_ntz"))
+               text(F.col("o_orderdate"), 50)).alias("date_from"),
+        F.when(F.col("o_orderstatus") != "O", text(F.col("o_orderdate") + day, 70)).alias("date_to"))
+    known = readings(spark, sf).select("city").union(orders.filter("o_orderpriority < '5'").select("o_orderpriority"))
+    return backfill.validate_requests(rows, as_of=F.lit("2001-09-01 00:00:00").cast("timestamp_ntz"), known=known)
 
 
 @query("backfill_validation", "WITH " + REQUESTS_SQL + " SELECT *, reason IS NULL AS valid FROM validated")

@@ -28,10 +28,15 @@ def _(spark, sf):
 
 @query("latest_per_sensor", f"""
 SELECT user_id AS station, max(ts) AS ts, arg_max(value, (ts, value)) AS pm25,
- (epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(max(ts)))/3.6e9::DOUBLE AS age_hours, {index_sql('arg_max(value, (ts, value))')} AS aqi
-FROM events WHERE ts >= TIMESTAMP '{AS_OF}' - INTERVAL 7 DAY AND ts <= TIMESTAMP '{AS_OF}' GROUP BY 1""")
-def _(spark, sf):
-    return stations.latest_per_sensor(readings(spark, sf), ["station"], "ts", "pm25", _moment())
+ (epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(max(ts)))/3.6e9::DOUBLE AS age_hours, {index_sql('arg_max(value, (ts, value))')} AS aqi,
+ greatest(arg_max(coalesce(k, -1), (ts, value, coalesce(k, -1))), 0)::DOUBLE AS coverage_pct
+FROM (SELECT *, nullif((props->>'$.k')::BIGINT, 0) AS k FROM events) WHERE ts >= TIMESTAMP '{AS_OF}' - INTERVAL 7 DAY AND ts <= TIMESTAMP '{AS_OF}' GROUP BY 1""")
+def _(spark, sf):
+    """A reading's coverage is the property k of its event; 0 stands for unknown."""
+    rows = table(spark, sf, "events").select(
+        F.col("user_id").alias("station"), "ts", F.col("value").alias("pm25"),
+        F.nullif(F.get_json_object("props", "$.k").try_cast("bigint"), F.lit(0)).alias("coverage_pct"))
+    return stations.latest_per_sensor(rows, ["station"], "ts", "pm25", _moment(), coverage="coverage_pct")
 
 
 @query("as_of_weather", with_ctes(WEATHER_CTE) + """
