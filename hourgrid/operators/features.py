@@ -56,7 +56,7 @@ def with_series_windows(df: DataFrame, keys: Sequence[str], ts: str, value: str,
                         lags: Sequence[int] = tuple(LAG_HOURS),
                         windows: Sequence[tuple[int, str]] = tuple(ROLLING_WINDOWS),
                         include_current: bool = True, prefix: str = "aqi",
-                        bucket_hours: int = BUCKET_HOURS) -> DataFrame:
+                        bucket_hours: int = BUCKET_HOURS, bounds: DataFrame | None = None) -> DataFrame:
     """Lags and rolling mean/std/max as on a complete hourly grid, without making the grid.
 
     ``df`` has one row per key and hour and no NULL values. Frames are ranges
@@ -73,7 +73,7 @@ def with_series_windows(df: DataFrame, keys: Sequence[str], ts: str, value: str,
     hourly rows, whatever the number of features.
     """
     reach = max([*lags, *[h for h, _ in windows]], default=0)
-    bounds = series_bounds(df, keys, ts, value)
+    bounds = series_bounds(df, keys, ts, value) if bounds is None else bounds
     on_grid = df.join(bounds, list(keys)).filter(F.col(ts) <= F.col("__end"))
     halo = with_halo(on_grid, ts, reach, bucket_hours)
     order = Window.partitionBy(*keys, "__b").orderBy("__h")
@@ -121,14 +121,14 @@ def feature_table(hourly: DataFrame, keys: Sequence[str], ts: str = "ts", value:
     gives NULL weather columns). Weather gaps get the series mean.
     """
     observed = hourly.filter(F.col(value).isNotNull()).withColumn(value, F.col(value).cast("double"))
+    bounds = series_bounds(observed, keys, ts, value)
     rows = with_series_windows(observed, keys, ts, value, lags, windows, include_current,
-                               bucket_hours=bucket_hours)
+                               bucket_hours=bucket_hours, bounds=bounds)
     if weather is None:
         rows = with_missing_as_null(rows, WEATHER_COLS)
     else:
         columns = [c for c in weather.columns if c not in (*keys, ts)]
         numeric = [c for c in columns if c in WEATHER_COLS]
-        bounds = series_bounds(observed, keys, ts, value)
         means = weather_on_grid(weather, bounds, keys, ts, numeric)
         rows = (rows.join(weather, [*keys, ts], "left").join(means, list(keys), "left")
                 .withColumns({c: F.coalesce(c, f"__w_{c}") for c in numeric})

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hourgrid.dimensions import BONUS_COLS, REGRESSORS, WEATHER_COLS, cities
 from hourgrid.functions.timefns import floor_hour
@@ -33,7 +34,7 @@ class Layout:
     root: str
 
     def __getattr__(self, name: str) -> str:
-        if name not in {"readings", "weather", "features", "baseline", "stats", "drift", "recent",
+        if name not in {"readings", "weather", "features", "baseline", "annual", "stats", "drift", "recent",
                         "models", "versions", "reports"}:
             raise AttributeError(name)
         return f"{self.root}/{name}"
@@ -102,17 +103,30 @@ def build_features(spark: SparkSession, at: Layout) -> None:
     features = spark.read.parquet(at.features)
     rows = baseline.monthly_baseline(features, KEYS)
     rows.hint("rebalance", "city", "month").write.mode("overwrite").partitionBy("city", "month").parquet(at.baseline)
+    (features.filter(F.col("y").isNotNull()).select("city", "ds", F.col("y").cast("double").alias("aqi"))
+     .hint("rebalance", "city").write.mode("overwrite").partitionBy("city").parquet(at.annual))
     weather = [c for c in ("wind_speed_10m", "temperature_2m") if c in features.columns]
     stores.write_json(baseline.baseline_stats(features, KEYS, weather_means=weather), at.stats)
 
 
+def stored_baseline(spark: SparkSession, at: Layout, month: int | None = None) -> DataFrame:
+    """Rows to compare against: those of ``month`` where a city has a baseline for it, else all."""
+    annual = stores.read_store(spark, at.annual, T.StructType.fromDDL("ds timestamp_ntz, aqi double, city string"))
+    if month is None:
+        return annual
+    monthly = stores.read_store(spark, at.baseline, T.StructType.fromDDL(
+        "ds timestamp_ntz, aqi double, city string, month int")).filter(F.col("month") == month).drop("month")
+    return annual.join(monthly.select("city").distinct(), "city", "left_anti").unionByName(monthly)
+
+
 def check_drift(spark: SparkSession, at: Layout, as_of: str, seasonal: bool = False, days: int = 7) -> DataFrame:
-    """Drift rows of all registered cities, saved with the recent window they looked at."""
-    raw = stores.within(stores.read_store(spark, at.readings), _moment(as_of) - F.expr(f"INTERVAL {days} DAYS"), _moment(as_of))
-    recent = drift.recent_hourly(raw, KEYS, "ts", "aqi", _moment(as_of), days)
+    """Drift rows of all registered cities against the stored baselines, saved with the recent window."""
+    moment = _moment(as_of)
+    raw = stores.within(stores.read_store(spark, at.readings), moment - F.expr(f"INTERVAL {days} DAYS"), moment)
+    recent = drift.recent_hourly(raw, KEYS, "ts", "aqi", moment, days)
     stores.write_snapshot(recent, at.recent, as_of)
-    results = drift.drift_report(spark.read.parquet(at.features), raw, cities(spark).select("city"), KEYS,
-                                 "ts", "aqi", as_of, days, seasonal)
+    base = stored_baseline(spark, at, int(as_of[5:7]) if seasonal else None)
+    results = drift.check_drift(base, recent, cities(spark).select("city"), KEYS, "seasonal" if seasonal else "annual", moment)
     results.write.mode("overwrite").parquet(at.drift)
     return spark.read.parquet(at.drift)
 
