@@ -1,6 +1,6 @@
 """Cross-entropy difference of documents under a target and a background n-gram model.
 
-Both are bigram models over words with one shared vocabulary (the ``VOCABULARY``
+Both are bigram models over words with one shared vocabulary (up to ``VOCABULARY`` of the
 commonest words of all documents; others are one unknown word), the same order and the
 same smoothing: P(w | v) = (c(v, w) + m * P(w)) / (c(v) + m) and P(w) = (c(w) + 1) /
 (n + size of the vocabulary). The background is counted on all documents, the target on
@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourgrid.llm.common import by_bucket, text_bytes, total_bytes, travels_by_value
+from hourgrid.session import saved
 
 travels_by_value(__name__)
 
@@ -35,7 +36,9 @@ BUCKET_BYTES = 12 << 20
 
 
 def vocabulary(texts: DataFrame, size: int = VOCABULARY) -> list[bytes]:
-    """The commonest lower-case words of the column ``text``, ties in byte order."""
+    """The commonest lower-case words of the column ``text``: all that occur as often as some count
+    which at most ``size`` words reach, so that ties stay together. Only these reach the driver.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: Counter = Counter()
@@ -45,7 +48,18 @@ def vocabulary(texts: DataFrame, size: int = VOCABULARY) -> list[bytes]:
                                              ["word", "n"])
 
     counts = texts.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [bytes(r.word) for r in counts.orderBy(F.desc("n"), "word").limit(size).collect()]
+    counts = saved(counts, "vocabulary")
+    # of the commonest counts, how many words have them: no more rows than words wanted
+    often = counts.groupBy("n").agg(F.count("*").alias("words")).orderBy(F.desc("n")).limit(size + 1).collect()
+    room, least = size, None
+    for row in often:
+        room -= row.words
+        if room < 0:
+            break
+        least = row.n
+    if least is None:
+        return []
+    return sorted(bytes(r.word) for r in counts.filter(F.col("n") >= least).select("word").collect())
 
 
 class Grams:

@@ -41,7 +41,21 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "fingerprint", F.col("component").alias("component_id"))
 
 
-@query("op5_substring_dedup")
+SPACE = r"[\x20\x09-\x0D]+"
+
+SUBSTRING_SQL = f"""
+WITH w AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '{SPACE}'), lambda x: x <> '') AS ws FROM documents),
+runs AS (SELECT doc_id, i, array_to_string(ws[i:i + 34], ' ') AS run FROM (
+ SELECT doc_id, ws, unnest(range(1, len(ws) - 33)) AS i FROM w WHERE len(ws) >= 35)),
+twice AS (SELECT run FROM runs GROUP BY run HAVING count(*) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS pos FROM runs SEMI JOIN twice USING (run)),
+words AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS pos FROM w),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY pos) AS text FROM words ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id)
+SELECT w.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id"""
+
+
+@query("op5_substring_dedup", SUBSTRING_SQL)
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the windows of 35 words that occur elsewhere."""
     found = substrings.repeated_substrings(table(spark, sf_dir, "documents"))
@@ -63,7 +77,31 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
-@query("op10_line_dedup")
+LINES_SQL = f"""
+WITH raw AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS pos FROM raw),
+t AS (SELECT doc_id, line, pos, list_transform(list_filter(string_split_regex(line, '{SPACE}'), lambda x: x <> ''),
+  lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) AS ws FROM l),
+forms AS (SELECT ws, len(ws) AS size, ws[1:{lines.DEPTH}] AS lead, count(DISTINCT doc_id) AS n FROM t WHERE len(ws) > 0 GROUP BY ws),
+leaves AS (SELECT size, lead FROM forms GROUP BY ALL HAVING count(*) > 1 AND sum(n) >= {lines.MIN_DOCS}),
+mixed AS (SELECT forms.* FROM forms SEMI JOIN leaves USING (size, lead)),
+places AS (SELECT size, lead, pos, token, sum(n) AS n FROM (
+ SELECT size, lead, n, unnest(ws) AS token, unnest(range(1, size + 1)) AS pos FROM mixed) GROUP BY ALL),
+common AS (SELECT size, lead, pos, token FROM places QUALIFY row_number() OVER (PARTITION BY size, lead, pos ORDER BY n DESC, encode(token) DESC) = 1),
+close AS (SELECT m.ws, m.size, m.lead FROM (SELECT ws, size, lead, unnest(ws) AS token, unnest(range(1, size + 1)) AS pos FROM mixed) m
+ JOIN common c ON m.size = c.size AND m.lead = c.lead AND m.pos = c.pos GROUP BY m.ws, m.size, m.lead
+ HAVING count(*) FILTER (WHERE m.token = c.token) >= {lines.SIMILARITY}::DOUBLE*m.size),
+recurring AS (SELECT size, lead FROM close JOIN t USING (ws) GROUP BY size, lead HAVING count(DISTINCT doc_id) >= {lines.MIN_DOCS}),
+gone AS (SELECT ws FROM forms WHERE n >= {lines.MIN_DOCS} UNION SELECT ws FROM close SEMI JOIN recurring USING (size, lead)),
+marked AS (SELECT t.*, g.ws IS NOT NULL AS hit FROM t LEFT JOIN gone g ON t.ws = g.ws),
+whole AS (SELECT doc_id, count(*) FILTER (WHERE len(ws) > 0) AS n_lines, count(*) FILTER (WHERE hit) AS hits,
+  coalesce(sum(len(ws)) FILTER (WHERE hit), 0) <= {lines.MAX_SHARE}::DOUBLE*sum(len(ws)) AS drops,
+  string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT hit) AS kept FROM marked GROUP BY doc_id)
+SELECT r.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, CASE WHEN drops THEN hits ELSE 0 END::BIGINT AS n_dropped,
+ CASE WHEN drops AND hits > 0 THEN kept ELSE r.text END AS text FROM raw r LEFT JOIN whole w ON r.doc_id = w.doc_id"""
+
+
+@query("op10_line_dedup", LINES_SQL)
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines of templates that recur across documents."""
     found = lines.drop_recurring_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -90,11 +128,45 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), key="corpus-2024")
 
 
-@query("op8_lm_score")
+_M = f"{lm_scores.SMOOTHING}::DOUBLE"
+
+
+def _loss(model: str) -> str:
+    """Bits of a bigram: smoothed by the unigram, which is smoothed over the vocabulary."""
+    return (f"-log2((coalesce({model}2.c, 0) + {_M}*(coalesce({model}1.c, 0) + 1)/({model}n.n + size.v))"
+            f"/(coalesce({model}0.c, 0) + {_M}))")
+
+
+LM_SQL = f"""
+WITH w AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '{SPACE}'), lambda x: x <> '') AS ws FROM documents),
+counts AS (SELECT word, count(*) AS n FROM (SELECT unnest(ws) AS word FROM w) GROUP BY word),
+often AS (SELECT n, sum(count(*)) OVER (ORDER BY n DESC) AS words FROM counts GROUP BY n),
+vocabulary AS (SELECT word FROM counts WHERE n IN (SELECT n FROM often WHERE words <= {lm_scores.VOCABULARY})),
+size AS (SELECT count(*) + 2 AS v FROM vocabulary),
+tokens AS (SELECT doc_id, pos, CASE WHEN v.word IS NOT NULL THEN 'w' || v.word ELSE 'u' END AS token FROM (
+  SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS pos FROM w) t LEFT JOIN vocabulary v USING (word)
+ UNION ALL SELECT doc_id, 0, 's' FROM w UNION ALL SELECT doc_id, len(ws) + 1, 'e' FROM w),
+pairs AS (SELECT a.doc_id, a.token AS v, b.token AS w, a.doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) AS good
+ FROM tokens a JOIN tokens b ON a.doc_id = b.doc_id AND b.pos = a.pos + 1),
+b2 AS (SELECT v, w, count(*) AS c FROM pairs GROUP BY ALL), b1 AS (SELECT w, count(*) AS c FROM pairs GROUP BY ALL),
+b0 AS (SELECT v, count(*) AS c FROM pairs GROUP BY ALL), bn AS (SELECT count(*) AS n FROM pairs),
+t2 AS (SELECT v, w, count(*) AS c FROM pairs WHERE good GROUP BY ALL), t1 AS (SELECT w, count(*) AS c FROM pairs WHERE good GROUP BY ALL),
+t0 AS (SELECT v, count(*) AS c FROM pairs WHERE good GROUP BY ALL), tn AS (SELECT count(*) AS n FROM pairs WHERE good),
+bits AS (SELECT p.doc_id, {_loss('t')} AS t, {_loss('b')} AS b FROM pairs p CROSS JOIN size CROSS JOIN bn CROSS JOIN tn
+ LEFT JOIN b2 ON b2.v = p.v AND b2.w = p.w LEFT JOIN b1 ON b1.w = p.w LEFT JOIN b0 ON b0.v = p.v
+ LEFT JOIN t2 ON t2.v = p.v AND t2.w = p.w LEFT JOIN t1 ON t1.w = p.w LEFT JOIN t0 ON t0.v = p.v)
+SELECT doc_id, (count(*) - 1)::BIGINT AS n_words, round(avg(t), 6) AS target_loss, round(avg(b), 6) AS background_loss,
+ round(avg(t) - avg(b), 6) AS score FROM bits GROUP BY doc_id"""
+
+
+@query("op8_lm_score", LM_SQL)
 def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's cross-entropy difference to the documents labelled as of good quality."""
     good = table(spark, sf_dir, "labels").filter("quality = 1")
-    return lm_scores.cross_entropy_difference(table(spark, sf_dir, "documents"), good).withColumnRenamed("id", "doc_id")
+    found = lm_scores.cross_entropy_difference(table(spark, sf_dir, "documents"), good)
+    return found.select(F.col("id").alias("doc_id"), "n_words",
+                        *(F.round(c, 6).alias(c) for c in ("target_loss", "background_loss", "score")))
 
 
 @query("op3_license_scan")

@@ -13,7 +13,12 @@ SF = "/root/testdata/sf0.01"
 def brute(data, target, size, m=lm_scores.SMOOTHING):
     lists = [(t or "").encode().lower().split() for _, t in data]
     counts = Counter(w for x in lists for w in x)
-    known = {w for w, _ in sorted(counts.items(), key=lambda i: (-i[1], i[0]))[:size]}
+    known = set()
+    for n in sorted(set(counts.values()), reverse=True):  # words of a count come in together, while there is room
+        new = {w for w, c in counts.items() if c == n}
+        if len(known) + len(new) > size:
+            break
+        known |= new
     texts = [["<s>", *(w if w in known else "<unk>" for w in x), "</s>"] for x in lists]
     models = []
     for use in ([i in target for i, _ in data], [True] * len(data)):
