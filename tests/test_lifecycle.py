@@ -5,9 +5,7 @@ from pyspark.sql import functions as F
 
 from hourgrid.functions import sql as sql_functions
 from hourgrid.functions.index import pm25_to_aqi
-from hourgrid.operators import drift
 from hourgrid.plans import lifecycle as life
-from hourgrid.sources import stores
 
 AS_OF = "2024-01-30 12:00:00"
 NAMES = {"error": "Delhi", "click": "Mumbai", "view": "Kolkata", "signup": "Chennai", "purchase": "Bengaluru"}
@@ -76,26 +74,6 @@ def test_whole_way(spark, landed, tmp_path):
     assert {r.timestamp for r in out if r.city == "Delhi"} == {f"2024-01-{30 + (12 + h) // 24}T{(12 + h) % 24:02d}:00:00" for h in range(24)}
 
 
-def test_drift_reads_the_stored_baselines(spark, tmp_path):
-    """By month where a city has enough rows of it, else all; as a check on the features themselves."""
-    at = life.Layout(str(tmp_path))
-    hours = spark.sql("SELECT explode(sequence(TIMESTAMP_NTZ'2023-12-28 00:00:00', TIMESTAMP_NTZ'2024-01-30 11:00:00', INTERVAL 1 HOUR)) AS ts")
-    rows = hours.selectExpr("'Delhi' AS city", "ts", "cast(100 + hour(ts) + 3 * month(ts) AS int) AS aqi").union(
-        hours.filter("ts >= '2024-01-27'").selectExpr("'Mumbai'", "ts", "cast(50 + hour(ts) AS int)"))
-    stores.upsert_days(spark, at.readings, rows.withColumn("pm25", F.col("aqi").cast("double")), ["city"], "ts", [F.col("aqi")])
-    life.build_features(spark, at)
-    features, raw = spark.read.parquet(at.features), stores.read_store(spark, at.readings)
-    assert spark.read.parquet(at.annual).count() == features.count()
-    for seasonal in (False, True):
-        got = {r.city: r for r in life.check_drift(spark, at, AS_OF, seasonal=seasonal).collect()}
-        want = drift.drift_report(features, raw, spark.createDataFrame([("Delhi",), ("Mumbai",)], "city string"), ["city"],
-                                  "ts", "aqi", AS_OF, seasonal=seasonal).collect()
-        for r in want:
-            for name in ("p_value", "ks_stat", "baseline_mean", "recent_mean", "recent_n", "error"):
-                assert got[r.city][name] == (pytest.approx(r[name]) if isinstance(r[name], float) else r[name])
-        assert got["Chennai"].error == "Baseline not found" and got["Delhi"].recent_n == 24 * 7
-
-
 def test_history_and_live_share_the_store(spark, tmp_path):
     at = life.Layout(str(tmp_path / "root"))
     (tmp_path / "h.csv").write_text(
