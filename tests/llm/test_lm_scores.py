@@ -69,3 +69,15 @@ def test_edge_cases(spark):
     check(spark, data, [], size=3)
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert lm_scores.cross_entropy_difference(empty, empty).count() == 0
+
+
+def test_every_word_is_known(spark):
+    """More words than any fixed vocabulary holds, all of one count: each keeps its own n-grams."""
+    data = [(i, " ".join(f"w{i}x{j}" for j in range(500))) for i in range(80)] + [(80, "W1x1 w1x2")]
+    want = brute(data, {1}, 10 ** 9)
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    got = lm_scores.cross_entropy_difference(docs, docs.filter("doc_id = 1"), pack_bytes=1 << 16, bucket_bytes=1 << 16).collect()
+    assert len(got) == len(want)
+    for r in got:
+        n, t, b = want[r.id]
+        assert r.n_words == n and (r.target_loss, r.background_loss, r.score) == pytest.approx((t, b, t - b), abs=1e-9)
