@@ -4,8 +4,10 @@ As in log parsing, a line first goes to a node by its number of tokens, then by
 first ``DEPTH`` tokens; tokens with digits count as variable fields ("<*>") everywhere.
 Within such a leaf the most frequent token of every place makes the leaf's template;
 lines that agree with it in ``SIMILARITY`` of the places are its members, the other
-places are variable fields. A leaf's members together, and every masked line by itself,
-are templates. Lines of templates that recur in ``MIN_DOCS`` documents are dropped.
+places are variable fields. Where that template does not recur, it may mix several: the
+line most like it then picks the lines that make the template. The members of one that
+recurs are taken out and the leaf's other lines make the next, until none recurs. A
+template's members together, and every masked line by itself, are templates. Lines of templates that recur in ``MIN_DOCS`` documents are dropped.
 
 Masked lines are counted per pack of documents before any shuffle, so a line that every
 document has reaches its key as a row for each batch and pack. Only leaves that can
@@ -135,15 +137,49 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
 
 def _members(parts: DataFrame, min_docs: int, similarity: float) -> DataFrame:
-    """(leaf, line) of the masked lines whose leaf's template recurs: (leaf, line, doc, tokens) in."""
-    lines = parts.groupBy("leaf", "line").agg(F.count("*").alias("n"), F.first("tokens").alias("tokens"))
+    """(leaf, line) of the masked lines of all of a leaf's templates that recur: (leaf, line, doc, tokens) in.
+
+    A round finds at most one template a leaf; only leaves where it recurs have another.
+    """
+    found = None
+    while True:
+        lines = saved(parts.groupBy("leaf", "line").agg(F.count("*").alias("n"), F.first("tokens").alias("tokens")), "lines-leaves")
+        alike = _alike(lines, _template(lines))
+        first = saved(_recurring(parts, _close(alike, similarity), min_docs), "lines-members")
+        # of leaves without: the line most like the template, and the template of the lines like that one
+        others = alike.join(first.select("leaf").distinct(), "leaf", "left_anti")
+        seeds = others.groupBy("leaf").agg(F.max_by("line", F.struct("same", "n", "line")).alias("line"))
+        seeds = lines.join(seeds, ["leaf", "line"]).select("leaf", F.posexplode("tokens").alias("at", "common"))
+        voters = lines.join(_close(_alike(lines, seeds), similarity), ["leaf", "line"])
+        second = _recurring(parts, _close(_alike(lines, _template(voters)), similarity), min_docs)
+        new = saved(first.unionByName(second), "lines-members")
+        found = new if found is None else found.unionByName(new)
+        if new.isEmpty():
+            return found
+        parts = saved(parts.join(new.select("leaf").distinct(), "leaf", "left_semi").join(new, ["leaf", "line"], "left_anti"),
+                      "lines-left")
+
+
+def _template(lines: DataFrame) -> DataFrame:
+    """(leaf, at, common): the most frequent token of every place."""
     places = lines.select("leaf", "n", F.posexplode("tokens").alias("at", "token")).groupBy("leaf", "at", "token").agg(
         F.sum("n").alias("n"))
-    common = places.groupBy("leaf", "at").agg(F.max_by("token", F.struct("n", "token")).alias("common"))
-    placed = lines.select("leaf", "line", F.size("tokens").alias("size"), F.posexplode("tokens").alias("at", "token"))
-    alike = placed.join(common, ["leaf", "at"]).groupBy("leaf", "line", "size").agg(
+    return places.groupBy("leaf", "at").agg(F.max_by("token", F.struct("n", "token")).alias("common"))
+
+
+def _alike(lines: DataFrame, template: DataFrame) -> DataFrame:
+    """(leaf, line, n, size, same): in how many places a line agrees with its leaf's template."""
+    placed = lines.select("leaf", "line", "n", F.size("tokens").alias("size"), F.posexplode("tokens").alias("at", "token"))
+    return placed.join(template, ["leaf", "at"]).groupBy("leaf", "line", "n", "size").agg(
         F.sum((F.col("token") == F.col("common")).cast("int")).alias("same"))
-    close = alike.filter(F.col("same") >= similarity * F.col("size")).select("leaf", "line")
+
+
+def _close(alike: DataFrame, similarity: float) -> DataFrame:
+    return alike.filter(F.col("same") >= similarity * F.col("size")).select("leaf", "line")
+
+
+def _recurring(parts: DataFrame, close: DataFrame, min_docs: int) -> DataFrame:
+    """The lines of ``close`` whose leaf has them in enough documents."""
     docs = parts.select("leaf", "line", "doc").join(close, ["leaf", "line"]).groupBy("leaf").agg(
         F.count_distinct("doc").alias("docs")).filter(F.col("docs") >= min_docs).select("leaf")
     return close.join(docs, "leaf").select("leaf", "line")

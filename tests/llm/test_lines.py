@@ -81,3 +81,19 @@ def test_other_columns_stay(spark):
     got = lines.drop_recurring_lines(df)
     assert got.columns == ["lang", "doc_id", "text", "pack", "n_lines", "n_dropped"]
     assert [tuple(r) for r in got.collect()] == [("en", 1, "x y", 5, 1, 0)]
+
+
+def test_several_templates_in_a_leaf(spark):
+    """Families of one length and three leading words: behind a frequent line, and of equal weight."""
+    names = "Anna Bert Cleo Dora Emil Fritz Gabi Hans Inge Jens Kurt Lena".split()
+    body = "this line has words of its own and many of them"
+    second = "read more about {} with your friends on any evening"
+    data = [(i, " ".join(n + w for w in body.split()) + "\n" + second.format(n)) for i, n in enumerate(names)]
+    data += [(100 + i, " ".join(f"z{chr(97 + i)}{w}" for w in body.split()) + "\nread more about us by the end of every week") for i in range(20)]
+    got = lines.drop_recurring_lines(spark.createDataFrame(data, "doc_id long, text string")).collect()
+    assert [r.n_dropped for r in got] == [1] * 32
+    shapes = "read more about {} apple moon cat oak egg quill", "read more about {} lamp boat nest dog pen fox"
+    data = [(100 * k + i, " ".join(f"{n}{k}{w}".translate(str.maketrans("01", "xy")) for w in (body + " " + body).split()) + "\n" + s.format(n))
+            for k, s in enumerate(shapes) for i, n in enumerate(names)]
+    got = lines.drop_recurring_lines(spark.createDataFrame(data, "doc_id long, text string")).collect()
+    assert [r.n_dropped for r in got] == [1] * 24
