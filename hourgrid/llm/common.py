@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +47,22 @@ def with_packs(rows: DataFrame, key: list[str], packs: int) -> DataFrame:
     return rows.withColumn("pack", F.pmod(F.xxhash64(*key), F.lit(packs)))
 
 
+# ---- rows, inside tasks ----------------------------------------------------
+
+
+def rows_of(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
+    """The rows of Arrow batches as tuples, one after the other."""
+    for batch in batches:
+        yield from zip(*(column.to_pylist() for column in batch.columns))
+
+
+def batches_of(rows: Iterable[tuple], fields: list[tuple[str, pa.DataType]], size: int) -> Iterator[pa.RecordBatch]:
+    """Arrow batches of at most ``size`` of the rows, which are read as they are needed."""
+    rows, schema = iter(rows), pa.schema(fields)
+    while found := list(islice(rows, size)):
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found), schema)], schema=schema)
+
+
 # ---- numpy, inside tasks ---------------------------------------------------
 
 
