@@ -341,8 +341,12 @@ def main_slots(nodes: list[Node]) -> list[bool]:
         for element in around:
             total[id(element)] = total.get(id(element), 0) + free(slot)
     everything = sum(free(slot) for slot, _ in found)
-    holds = {id(e) for _, around in found for i, e in enumerate(around)
-             if any(_name(x[0]) in ("article", "main") or "@main" in x[0] for x in around[i + 1:])}
+
+    def marks_main(element: Node) -> bool:
+        return _name(element[0]) in ("article", "main") or "@main" in element[0]
+
+    holds = {id(e) for _, around in found for i, e in enumerate(around) if any(map(marks_main, around[i + 1:]))}
+    bare = not any(map(marks_main, (e for _, around in found for e in around)))
 
     def outside(around: list[Node], slot: Node) -> bool:
         """Whether an element around a slot is marked as other than main text."""
@@ -353,11 +357,11 @@ def main_slots(nodes: list[Node]) -> list[bool]:
             marked = name in OUTSIDE or _hinted(e[0])
             if marked and id(e) not in holds:
                 # a page's whole content may lie in a form; an article's own header holds its title
-                wraps = not holds and everything and total[id(e)] > SHARE * everything and name not in ("nav", "footer", "aside")
-                title = heading and in_article and ("header" in e[0])
+                wraps = bare and everything and total[id(e)] > SHARE * everything and name not in ("nav", "footer", "aside")
+                title = heading and in_article and "header" in e[0]
                 if not wraps and not title:
                     return True
-            in_article |= name in ("article", "main")
+            in_article |= marks_main(e)
         return False
 
     inside = [not outside(around, slot) for slot, around in found]

@@ -15,13 +15,18 @@ CONTRACT = {
     "op4_nearest_neighbours": {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "double"},
     "op5_substring_dedup": {"doc_id": "bigint", "n_words": "bigint", "n_removed": "bigint", "kept_sha256": "string"},
     "op6_toxicity": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
+    "op11_conversation_repair": {"conv_id": "bigint", **dict.fromkeys(("gaps", "blank", "duplicate", "truncated", "illegal", "cost"), "bigint"),
+                                 "audit": "string", "repaired_sha256": "string"},
+    "op12_prefix_trie": {**dict.fromkeys(("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens"), "bigint"),
+                         "ends_sha256": "string"},
+    "op13_main_text": {"page_id": "bigint", "url": "string", "text": "string", "n_chars": "bigint"},
     "op7_simhash": {"doc_id": "bigint", "fingerprint": "string", "component_id": "bigint"},
 }
 
 
 def test_names():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry.queries() and set(corpus.ORACLES) <= set(corpus.QUERIES)
 
 
