@@ -148,7 +148,10 @@ def hash_words(texts: list[bytes], chunk: int = 1 << 20) -> tuple[np.ndarray, np
     return (np.concatenate(hashes) if hashes else np.empty(0, U64)), counts
 
 
-def by_bucket(buckets: np.ndarray, n: int) -> list[tuple[int, slice]]:
-    """The non-empty buckets of a sorted array of bucket numbers, each with its slice."""
-    edges = np.searchsorted(buckets, np.arange(n + 1))
-    return [(b, slice(edges[b], edges[b + 1])) for b in range(n) if edges[b] < edges[b + 1]]
+def by_bucket(buckets: np.ndarray) -> list[tuple[int, slice]]:
+    """The buckets of a sorted array of bucket numbers, each with its slice; as many steps as there are buckets in it."""
+    if not len(buckets):
+        return []
+    starts = np.flatnonzero(np.concatenate([[True], buckets[1:] != buckets[:-1]]))
+    ends = np.append(starts[1:], len(buckets))
+    return [(b, slice(*at)) for b, *at in zip(buckets[starts].tolist(), starts.tolist(), ends.tolist())]

@@ -1,12 +1,12 @@
 """Cross-entropy difference of documents under a target and a background n-gram model.
 
 Both are bigram models over words with one shared vocabulary (every word of the documents,
-by a 64-bit hash, so none reaches the driver; the one unknown word has no tokens unless a
-caller bounds the vocabulary), the same order and the same smoothing: P(w | v) = (c(v, w) +
-m * P(w)) / (c(v) + m) and P(w) = (c(w) + 1) / (n + size of the vocabulary). The background
-is counted on all documents, the target on those of the target. A document's score is its
-loss per token under the target model less that under the background model: the lower, the
-more like the target.
+by a 64-bit hash, so none reaches the driver), the same order and the same smoothing:
+P(w | v) = (c(v, w) + m * P(w)) / (c(v) + m) and P(w) = (c(w) + 1) / (n + size of the
+vocabulary), which has the end of a text and one unknown word besides. The background is
+counted on all documents, the target on those of the target. A document's score is its loss
+per token under the target model less that under the background model: the lower, the more
+like the target.
 
 Counts grow with the corpus and stay distributed. Documents are dealt to packs; a pack
 asks for the counts of the n-grams it holds, each once, the n-grams' buckets add up what
@@ -15,7 +15,6 @@ all packs hold and answer, and the pack scores its documents.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,45 +23,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourgrid.llm.common import U64, WORD_BASE, by_bucket, hash_words, mix, text_bytes, total_bytes, travels_by_value
-from hourgrid.session import saved
 
 travels_by_value(__name__)
 
-#: Words of a bounded vocabulary, as in the SQL version; ``cross_entropy_difference`` bounds none by itself.
-VOCABULARY = 32_768
 #: Weight of the unigram model against a context's own counts.
 SMOOTHING = 8.0
 PACK_BYTES = 4 << 20
 BUCKET_BYTES = 12 << 20
 
 
-def vocabulary(texts: DataFrame, size: int = VOCABULARY) -> list[bytes]:
-    """The commonest lower-case words of the column ``text``: all that occur as often as some count
-    which at most ``size`` words reach, so that ties stay together. Only these reach the driver.
-    """
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found: Counter = Counter()
-            for text in text_bytes(batch.column("text")):
-                found.update(text.lower().split())
-            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64())],
-                                             ["word", "n"])
-
-    counts = texts.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    counts = saved(counts, "vocabulary")
-    # of the commonest counts, how many words have them: no more rows than words wanted
-    often = counts.groupBy("n").agg(F.count("*").alias("words")).orderBy(F.desc("n")).limit(size + 1).collect()
-    room, least = size, None
-    for row in often:
-        room -= row.words
-        if room < 0:
-            break
-        least = row.n
-    if least is None:
-        return []
-    return sorted(bytes(r.word) for r in counts.filter(F.col("n") >= least).select("word").collect())
-
-
 def distinct_words(texts: DataFrame) -> int:
     """How many lower-case words the column ``text`` has; only their number reaches the driver."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,18 +43,13 @@ def distinct_words(texts: DataFrame) -> int:
 
 
 class Grams:
-    """64-bit codes of tokens and n-grams: a word's hash, and fixed codes for unknown, start and end."""
-
-    unknown, start, end = U64(1), U64(2), U64(3)
+    """64-bit codes of tokens and n-grams: a word's hash, and fixed codes for start and end."""
 
-    def __init__(self, words: list[bytes] | None):
-        self.known = None if words is None else np.unique(hash_words(words)[0])
+    start, end = U64(2), U64(3)
 
     def pairs(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(first token, second token) of all bigrams, text after text, and the number of bigrams of each text."""
         hashes, n = hash_words([t.lower() for t in texts])
-        if self.known is not None:
-            hashes = np.where(np.isin(hashes, self.known), hashes, self.unknown)
         ends = np.cumsum(n + 1)
         first, second = np.full((2, len(hashes) + len(texts)), self.start)
         second[ends - 1] = self.end
@@ -117,7 +81,7 @@ def from_planes(data: bytes, kind: str) -> np.ndarray:
 
 
 def cross_entropy_difference(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                             target_id: str = "doc_id", size: int | None = None, smoothing: float = SMOOTHING,
+                             target_id: str = "doc_id", smoothing: float = SMOOTHING,
                              pack_bytes: int = PACK_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """(id, n_words, target_loss, background_loss, score): every row, losses in bits per token.
 
@@ -125,16 +89,14 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, id_col: str = "
     (A-Z). Tokens are the words and the end of the text, so null, empty and blank texts
     have one token and a score too. Rows with the same id belong to the target together;
     null ids never do. Without target rows its model is uniform but for smoothing. No
-    rows give no rows. Columns other than those named are not read. ``size`` bounds the
-    vocabulary, see ``vocabulary``; without it every word is in it.
+    rows give no rows. Columns other than those named are not read.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()
     total = total_bytes(rows, "text")
     packs, buckets = total // pack_bytes + 1, total // bucket_bytes + 1
-    grams = Grams(None if size is None else vocabulary(rows, size))
-    # that a model predicts: unknown, words and the end, but not the start
-    words = (distinct_words(rows) if grams.known is None else len(grams.known)) + 2
+    grams = Grams()
+    words = distinct_words(rows) + 2  # that a model predicts: one unknown, words and the end, but not the start
 
     def dealt(key):
         return F.pmod(key, F.lit(packs))
@@ -161,7 +123,7 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, id_col: str = "
             inside = np.repeat([i in ids for i in pack.column("id").to_pylist()], lengths)
             n = np.bincount(place[:3].ravel(), minlength=len(codes))
             t = np.bincount(place[:3, inside].ravel(), minlength=len(codes))
-            for b, own in by_bucket(of, buckets):
+            for b, own in by_bucket(of):
                 out["bucket"].append(b)
                 out["pack"].append(pack.column("pack")[0].as_py())
                 # within a bucket the codes ascend, and the rest modulo the buckets is the same
@@ -180,7 +142,8 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, id_col: str = "
         for name in ("background", "target"):
             counts = np.concatenate([from_planes(x, "<u4") for x in bucket.column(name).to_pylist()])
             whole = np.bincount(place, weights=counts, minlength=len(found))  # exact up to 2**53
-            sums[name] = [planes(x.astype("<i8" if len(found) and whole.max() >= 2 ** 32 else "<u4")) for x in np.split(whole[place], ends)]
+            kind = "<i8" if len(found) and whole.max() >= 2 ** 32 else "<u4"
+            sums[name] = [planes(x.astype(kind)) for x in np.split(whole[place], ends)]
         return pa.table({"pack": bucket.column("pack"), "bucket": bucket.column("bucket")} | sums)
 
     def losses(counts: np.ndarray, place: np.ndarray) -> np.ndarray:
@@ -194,7 +157,7 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, id_col: str = "
         if texts:
             codes, of, place, lengths = asked(texts)
             order = np.argsort(answers.column("bucket").to_numpy(), kind="stable")
-            sizes = [own.stop - own.start for _, own in by_bucket(of, buckets)]
+            sizes = [own.stop - own.start for _, own in by_bucket(of)]
             starts = np.cumsum(lengths) - lengths
             values["n_words"] = lengths - 1
             for name in ("target", "background"):

@@ -144,12 +144,8 @@ def _loss(model: str) -> str:
 LM_SQL = f"""
 WITH w AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
   '{SPACE}'), lambda x: x <> '') AS ws FROM documents),
-counts AS (SELECT word, count(*) AS n FROM (SELECT unnest(ws) AS word FROM w) GROUP BY word),
-often AS (SELECT n, sum(count(*)) OVER (ORDER BY n DESC) AS words FROM counts GROUP BY n),
-vocabulary AS (SELECT word FROM counts WHERE n IN (SELECT n FROM often WHERE words <= {lm_scores.VOCABULARY})),
-size AS (SELECT count(*) + 2 AS v FROM vocabulary),
-tokens AS (SELECT doc_id, pos, CASE WHEN v.word IS NOT NULL THEN 'w' || v.word ELSE 'u' END AS token FROM (
-  SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS pos FROM w) t LEFT JOIN vocabulary v USING (word)
+size AS (SELECT count(DISTINCT word) + 2 AS v FROM (SELECT unnest(ws) AS word FROM w)),
+tokens AS (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS pos, 'w' || unnest(ws) AS token FROM w
  UNION ALL SELECT doc_id, 0, 's' FROM w UNION ALL SELECT doc_id, len(ws) + 1, 'e' FROM w),
 pairs AS (SELECT a.doc_id, a.token AS v, b.token AS w, a.doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) AS good
  FROM tokens a JOIN tokens b ON a.doc_id = b.doc_id AND b.pos = a.pos + 1),

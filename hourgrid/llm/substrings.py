@@ -80,7 +80,7 @@ def repeated_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         found, many = _unique(place[inside])
         blocks = np.unique(place[aligned])
         out = {"bucket": [], "pack": [], "runs": [], "many": [], "blocks": []}
-        for b, own in by_bucket(found >> U64(32), buckets):
+        for b, own in by_bucket(found >> U64(32)):
             at = np.searchsorted(blocks, [b << 32, (b + 1) << 32])
             out["bucket"].append(b)
             out["pack"].append(pack.column("pack")[0].as_py())
@@ -99,7 +99,9 @@ def repeated_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         out = {"pack": [], "found": []}
         number = U64(bucket.column("bucket")[0].as_py() << 32)
         for pack, runs in zip(bucket.column("pack").to_pylist(), parts["runs"]):
-            own = np.intersect1d(runs, hits, assume_unique=True)
+            if not len(hits):
+                break
+            own = runs[hits[np.minimum(np.searchsorted(hits, runs), len(hits) - 1)] == runs]
             if len(own):
                 out["pack"].append(pack)
                 out["found"].append(_packed(own.astype(U64) | number, "<u8"))
@@ -132,7 +134,7 @@ def repeated_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         of = (mix(low) % U64(buckets)).astype(np.int64)
         order = np.argsort(of, kind="stable")
         low, high, many = low[order], high[order], many[order]
-        for b, own in by_bucket(of[order], buckets):
+        for b, own in by_bucket(of[order]):
             out["bucket"].append(b)
             out["pack"].append(pack.column("pack")[0].as_py())
             out["low"].append(_packed(low[own], "<u8"))
@@ -152,10 +154,11 @@ def repeated_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         same[1:-1] = (low[order][1:] == low[order][:-1]) & (high[order][1:] == high[order][:-1])
         twice = many.copy()
         twice[order] |= same[1:] | same[:-1]
+        low = low[twice]
         out = {"pack": [], "found": []}
-        for k in np.unique(owner[twice]):
+        for k, own in by_bucket(owner[twice]):  # packs stand in order
             out["pack"].append(packs[k])
-            out["found"].append(_packed(low[twice & (owner == k)], "<u8"))
+            out["found"].append(_packed(low[own], "<u8"))
         return pa.table(out, pa.schema([("pack", pa.int64()), ("found", pa.binary())]))
 
     def remove(pack: pa.Table, repeats: pa.Table) -> pa.Table:

@@ -10,16 +10,10 @@ from hourgrid.llm import lm_scores
 SF = "/root/testdata/sf0.01"
 
 
-def brute(data, target, size, m=lm_scores.SMOOTHING):
+def brute(data, target, m=lm_scores.SMOOTHING):
     lists = [(t or "").encode().lower().split() for _, t in data]
-    counts = Counter(w for x in lists for w in x)
-    known = set()
-    for n in sorted(set(counts.values()), reverse=True):  # words of a count come in together, while there is room
-        new = {w for w, c in counts.items() if c == n}
-        if len(known) + len(new) > size:
-            break
-        known |= new
-    texts = [["<s>", *(w if w in known else "<unk>" for w in x), "</s>"] for x in lists]
+    known = {w for x in lists for w in x}
+    texts = [["<s>", *x, "</s>"] for x in lists]
     models = []
     for use in ([i in target for i, _ in data], [True] * len(data)):
         pairs, ctx, uni = Counter(), Counter(), Counter()
@@ -39,12 +33,12 @@ def brute(data, target, size, m=lm_scores.SMOOTHING):
     return out
 
 
-def check(spark, data, target, size=50, **more):
+def check(spark, data, target, **more):
     docs = spark.createDataFrame([(*r, 0.5) for r in data], "doc_id long, text string, score double")
     ids = spark.createDataFrame([(i,) for i in target], "doc_id long")
-    got = sorted(lm_scores.cross_entropy_difference(docs, ids, size=size, **more).collect(),
+    got = sorted(lm_scores.cross_entropy_difference(docs, ids, **more).collect(),
                  key=lambda r: (str(r.id), r.n_words, r.score))
-    want = sorted(((str(i), n, t - b, t, b) for (i, _), (n, t, b) in zip(data, brute(data, set(target) - {None}, size))))
+    want = sorted(((str(i), n, t - b, t, b) for (i, _), (n, t, b) in zip(data, brute(data, set(target) - {None}))))
     assert [(str(r.id), r.n_words) for r in got] == [w[:2] for w in want]
     for r, w in zip(got, want):
         assert (r.score, r.target_loss, r.background_loss) == pytest.approx(w[2:], abs=1e-9)
@@ -54,7 +48,7 @@ def check(spark, data, target, size=50, **more):
 def test_whole_table(spark):
     data = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     good = [r.doc_id for r in spark.read.parquet(f"{SF}/labels.parquet").filter("quality = 1").collect()]
-    check(spark, data, good, size=500, pack_bytes=1 << 18, bucket_bytes=1 << 17)
+    check(spark, data, good, pack_bytes=1 << 18, bucket_bytes=1 << 17)
 
 
 def test_target_like_texts_score_lower(spark):
@@ -65,8 +59,8 @@ def test_target_like_texts_score_lower(spark):
 
 def test_edge_cases(spark):
     data = [(1, None), (2, ""), (3, " \n"), (None, "a b"), (None, None), (4, "A b"), (4, "c"), (5, "w " * 60_000), (6, "é ü")]
-    check(spark, data, [1, 4, None, 99], size=3, pack_bytes=1000, bucket_bytes=500)
-    check(spark, data, [], size=3)
+    check(spark, data, [1, 4, None, 99], pack_bytes=1000, bucket_bytes=500)
+    check(spark, data, [])
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert lm_scores.cross_entropy_difference(empty, empty).count() == 0
 
@@ -74,7 +68,7 @@ def test_edge_cases(spark):
 def test_every_word_is_known(spark):
     """More words than any fixed vocabulary holds, all of one count: each keeps its own n-grams."""
     data = [(i, " ".join(f"w{i}x{j}" for j in range(500))) for i in range(80)] + [(80, "W1x1 w1x2")]
-    want = brute(data, {1}, 10 ** 9)
+    want = brute(data, {1})
     docs = spark.createDataFrame(data, "doc_id long, text string")
     got = lm_scores.cross_entropy_difference(docs, docs.filter("doc_id = 1"), pack_bytes=1 << 16, bucket_bytes=1 << 16).collect()
     assert len(got) == len(want)

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from hourgrid.llm import substrings
-from hourgrid.llm.common import hash_words
+from hourgrid.llm.common import by_bucket, hash_words
 
 SF = "/root/testdata/sf0.01"
 
@@ -57,3 +57,10 @@ def test_very_long_words_and_texts():
     large, m = hash_words([text, b"", text])
     assert n.tolist() == m.tolist() == [3002, 0, 3002] and np.array_equal(small, large)
     assert len(set(small.tolist())) == 3
+
+
+def test_buckets_take_steps_for_what_is_there():
+    places = np.sort(np.random.default_rng(1).integers(0, 100_000, 5000))
+    found = by_bucket(places)
+    assert [b for b, _ in found] == sorted(set(places.tolist())) and by_bucket(places[:0]) == []
+    assert all((places[at] == b).all() for b, at in found) and sum(at.stop - at.start for _, at in found) == 5000
