@@ -29,8 +29,8 @@ Q = 10
 #: Edits allowed, as a share of a pattern's characters.
 BUDGET = 0.08
 WINDOW = 200
-#: Normalised items shorter than this are no evidence and are left out.
-SHORTEST = 20
+#: Stands between texts: half a surrogate pair, which no text can hold.
+BORDER = "\ud800"
 #: Bytes of benchmark text that one pass over the documents looks for; more makes more passes.
 BLOCK_BYTES = 8 << 20
 #: Characters handled at a time.
@@ -61,12 +61,11 @@ def allowed(m: int, q: int, budget: float) -> int:
     return max(0, min(int(budget * m), (m - q) // q))
 
 
-def build_index(items: list[tuple[object, str | None]], q: int = Q, budget: float = BUDGET, window: int = WINDOW,
-                shortest: int = SHORTEST) -> Index:
+def build_index(items: list[tuple[object, str | None]], q: int = Q, budget: float = BUDGET, window: int = WINDOW) -> Index:
     patterns, names = {}, []
     for name, text in items:
         text = normal(text)
-        if len(text) < max(shortest, q):
+        if len(text) < q:  # it has no q-gram
             continue
         names.append(name)
         starts = [0] if len(text) <= window else [*range(0, len(text) - window, window // 2), len(text) - window]
@@ -173,36 +172,45 @@ def regions(index: Index, text: str, bitmap: np.ndarray) -> Iterator[tuple[int,
                     yield part[j][0], max(0, end + k - b), min(len(text), end), int(edits[j])
 
 
-def pieces(texts: list[str], overlap: int) -> Iterator[tuple[str, list[int], list[tuple[int, int]]]]:
-    """Joined texts of about PIECE characters with (first place, (text, offset)) of each part.
-
-    A text longer than a piece is cut into overlapping parts.
+def pieces(texts: list[str], overlap: int, between: str) -> Iterator[tuple[str, np.ndarray, list[tuple[int, int, int]]]]:
+    """Texts of about PIECE characters joined by ``between``, with the first place and the
+    (text, offset, length) of each part. A text longer than a piece is cut into overlapping parts.
     """
+    def joined(parts):
+        firsts = np.cumsum([0] + [len(p) + len(between) for p in parts])[:-1]
+        return between.join(parts), firsts
+
     parts, owners, size = [], [], 0
     for i, text in enumerate(texts):
         for at in range(0, max(1, len(text) - overlap), PIECE):
             parts.append(text[at:at + PIECE + overlap])
-            owners.append((i, at))
-            size += len(parts[-1]) + 1
+            owners.append((i, at, len(parts[-1])))
+            size += len(parts[-1]) + len(between)
             if size >= PIECE:
-                yield "\0".join(parts), np.cumsum([0] + [len(p) + 1 for p in parts])[:-1].tolist(), owners
+                yield *joined(parts), owners
                 parts, owners, size = [], [], 0
     if parts:
-        yield "\0".join(parts), np.cumsum([0] + [len(p) + 1 for p in parts])[:-1].tolist(), owners
+        yield *joined(parts), owners
 
 
 def matches(index: Index, texts: list[str]) -> dict[tuple[int, int], list[int]]:
-    """(text, item): start and end of its matched part, fewest edits, and how many windows match."""
+    """(text, item): start and end of its matched part, fewest edits, and how many windows match.
+
+    Between two texts stand more characters than any pattern may have edits, of a kind that no
+    text has, so that no match runs from one text into the next.
+    """
     bitmap = np.zeros(1 << 22, bool)
     bitmap[index.grams >> U64(42)] = True
     overlap = 2 * max((len(p) + 2 * k for p, _, k, _ in index.patterns), default=0)
+    between = BORDER * (1 + max((k for _, _, k, _ in index.patterns), default=0))
     best: dict[tuple[int, int, int], tuple[int, int, int]] = {}
-    for joined, firsts, owners in pieces(texts, overlap):
+    for joined, firsts, owners in pieces(texts, overlap, between):
         for one, start, end, edits in regions(index, joined, bitmap):
-            part = int(np.searchsorted(firsts, start, "right")) - 1
-            text, offset = owners[part]
-            place = offset + start - firsts[part]
-            best.setdefault((text, one, place), (place, place + end - start, edits))
+            # edits at a text's border may take in some of what stands between; the middle is in the text
+            part = int(np.searchsorted(firsts, (start + end) // 2, "right")) - 1
+            text, offset, length = owners[part]
+            start, end = (min(max(x - int(firsts[part]), 0), length) + offset for x in (start, end))
+            best.setdefault((text, one, start), (start, end, edits))
     out: dict[tuple[int, int], list] = defaultdict(lambda: [1 << 62, 0, 1 << 30, set()])
     for (text, one, _), (start, end, edits) in sorted(best.items()):
         row = out[text, index.patterns[one][1]]
@@ -220,8 +228,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     occurs with at most ``budget`` edits a character. ``start`` and ``end`` span all
     matches of the item in the normalised text; ``windows`` counts the windows found.
 
-    Null, empty and blank texts hold nothing; null items and items under SHORTEST
-    characters are never found. Repeated rows are each reported; items with the same id
+    Null, empty and blank texts hold nothing; null items and items of fewer than ``q``
+    characters have no q-gram and are never found; those of fewer than 2 * ``q`` are found
+    without edits only. Repeated rows are each reported; items with the same id
     are reported once per distinct text. No documents or no items give no rows.
 
     The benchmark is read in blocks of bounded size; every block is one pass over the

@@ -99,3 +99,27 @@ def test_edge_cases(spark):
     got = sorted((str(r.id), str(r.item), r.edits) for r in d.leaks(docs, bench).collect())
     assert got == [("4", "1", 0), ("6", "1", 0), ("6", "1", 0), ("7", "1", 0), ("7", "None", 0), ("None", "1", 0)]
     assert d.leaks(docs, bench.limit(0)).count() == 0 and d.leaks(docs.limit(0), bench).count() == 0
+
+
+def test_no_match_over_the_border_of_two_texts(spark):
+    """Two texts that hold half an item each, as neighbours or not, hold none."""
+    rng = random.Random(8)
+    items = [(i, random_text(rng, 30)) for i in range(5)] + [(5, "a short item"), (6, "tiny")]
+    data = []
+    for i, item in items[:5]:
+        half = len(item) // 2
+        data += [(10 * i, random_text(rng, 9) + " " + item[:half]), (10 * i + 1, item[half:] + " " + random_text(rng, 9))]
+        data += [(10 * i + 2, item[:-6]), (10 * i + 3, item[4:]), (10 * i + 4, "x" + item + "\x00")]
+    data += [(90, "this is a short item, here"), (91, "tiny")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = []
+    for parts in (1, 7, 200):
+        docs = spark.createDataFrame(data, "doc_id long, text string").repartition(parts).sortWithinPartitions("doc_id")
+        rows = sorted(tuple(r) for r in d.leaks(docs, bench).collect())
+        kept = {r.doc_id for r in d.without_leaks(docs, bench).collect()}
+        assert kept == {i for i, _ in data} - {r[0] for r in rows}
+        found.append(rows)
+    assert found[0] == found[1] == found[2]
+    texts = dict(data)
+    assert {r[0] for r in found[0]} == {10 * i + j for i in range(5) for j in (2, 3, 4)} | {90}
+    assert all(0 <= start < end <= len(d.normal(texts[i])) for i, _, start, end, *_ in found[0])
