@@ -7,18 +7,19 @@ lines that agree with it in ``SIMILARITY`` of the places are its members, the ot
 places are variable fields. Where that template does not recur, it may mix several: the
 line most like it then picks the lines that make the template. The members of one that
 recurs are taken out and the leaf's other lines make the next, until none recurs. A
-template's members together, and every masked line by itself, are templates. Lines of templates that recur in ``MIN_DOCS`` documents are dropped.
-
-Masked lines are counted per pack of documents before any shuffle, so a line that every
-document has reaches its key as a row for each batch and pack. Only leaves that can
-reach the count with several masked lines have their tokens looked at. Texts are dealt
-to packs once.
+template's members together, and every masked line by itself, are templates. Lines of
+templates that recur in ``MIN_DOCS`` distinct texts are dropped, however much of a text
+they make up; copies of a text are told from boilerplate by counting each text once.
+
+Masked lines are counted by (line, text) first, so a line that every document has is no
+hot key, and only then by line. Only leaves that can reach the count with several masked
+lines have their tokens looked at. Texts are dealt to packs by a hash; they are shuffled
+for the tokens and once more for the outcome.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,8 +36,6 @@ travels_by_value(__name__)
 DEPTH = 3
 SIMILARITY = 0.8
 MIN_DOCS = 10
-#: A text that would lose more than this share of its words is a copy, not a carrier of boilerplate, and stays.
-MAX_SHARE = 0.5
 PACK_BYTES = 4 << 20
 DIGIT = re.compile(rb"[0-9]")
 FIELD = b"<*>"
@@ -54,6 +53,10 @@ def _hash(tokens: list[bytes], n: int) -> int:
     return xxhash.xxh64_intdigest(b" ".join(tokens), n) - (1 << 63)
 
 
+def _text_hash(text: bytes) -> int:
+    return xxhash.xxh64_intdigest(text) - (1 << 63)
+
+
 def parse(line: bytes) -> tuple[int, int, list[bytes]]:
     """(leaf, masked line, tokens): the leaf hashes the token count and the leading tokens."""
     tokens = masked(line)
@@ -61,18 +64,18 @@ def parse(line: bytes) -> tuple[int, int, list[bytes]]:
 
 
 def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS,
-                         similarity: float = SIMILARITY, max_share: float = MAX_SHARE,
-                         pack_bytes: int = PACK_BYTES) -> DataFrame:
+                         similarity: float = SIMILARITY, counts: bool = True, pack_bytes: int = PACK_BYTES) -> DataFrame:
     """All columns, with the text without its recurring lines, ``n_lines`` and ``n_dropped``.
 
     Lines end at line feeds; blank lines have no tokens, count as no lines and stay. A
-    line is dropped when its template occurs in at least ``min_docs`` rows, unless the
-    lines to drop hold more than ``max_share`` of the row's words: then the row stays as
-    it is. Null texts stay null with no lines; empty and blank texts stay. Rows with the
-    same id or the same text are counted each. No rows give no rows. Columns named
-    ``n_lines`` or ``n_dropped`` in the input are replaced.
+    line is dropped when its template occurs in at least ``min_docs`` distinct texts. A
+    text all of whose lines go becomes empty. Null texts stay null with no lines; empty
+    and blank texts stay. Rows with the same text count once, rows with the same id each.
+    No rows give no rows. Columns named ``n_lines`` or ``n_dropped`` in the input are
+    replaced; with ``counts=False`` just the columns of ``docs`` are returned, those too.
     """
-    others = [c for c in docs.columns if c not in (text_col, "n_lines", "n_dropped")]
+    replaced = ("n_lines", "n_dropped") if counts else ()
+    others = [c for c in docs.columns if c != text_col and c not in replaced]
     carried = {c: f"c{i}" for i, c in enumerate(others)}
     rows = docs.select(F.col(f"`{text_col}`").alias("text"), *(F.col(f"`{c}`").alias(n) for c, n in carried.items()))
     total = total_bytes(rows, "text")
@@ -80,16 +83,15 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found: Counter = Counter()
+            found: set[tuple[int, int, int, int]] = set()
             for pack, text in zip(batch.column("pack").to_pylist(), text_bytes(batch.column("text"))):
-                found.update({(pack, *parse(x)[:2]) for x in text.split(b"\n") if x.strip()})
-            keys = np.array(list(found), np.int64).reshape(-1, 3)
-            yield pa.RecordBatch.from_arrays(
-                [*(pa.array(keys[:, i]) for i in range(3)), pa.array(list(found.values()), pa.int64())],
-                ["pack", "leaf", "line", "n"])
-
-    seen = saved(rows.select("pack", "text").mapInArrow(count, "pack long, leaf long, line long, n long"), "lines-seen")
-    forms = saved(seen.groupBy("leaf", "line").agg(F.sum("n").alias("n")), "lines-forms")
+                name = _text_hash(text)
+                found.update((pack, *parse(x)[:2], name) for x in text.split(b"\n") if x.strip())
+            keys = np.array(list(found), np.int64).reshape(-1, 4)
+            yield pa.RecordBatch.from_arrays([pa.array(keys[:, i]) for i in range(4)], ["pack", "leaf", "line", "doc"])
+
+    seen = saved(rows.select("pack", "text").mapInArrow(count, "pack long, leaf long, line long, doc long"), "lines-seen")
+    forms = saved(seen.select("leaf", "line", "doc").distinct().groupBy("leaf", "line").agg(F.count("*").alias("n")), "lines-forms")
     recurring = forms.filter(F.col("n") >= min_docs).select("leaf", "line")
     mixed = forms.groupBy("leaf").agg(F.sum("n").alias("docs"), F.count("*").alias("forms")).filter(
         (F.col("docs") >= min_docs) & (F.col("forms") > 1)).select("leaf")
@@ -98,16 +100,16 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     def tokens_of(pack: pa.Table, leaves: pa.Table) -> pa.Table:
         wanted = set(leaves.column("leaf").to_pylist())
         out = {"leaf": [], "line": [], "doc": [], "tokens": []}
-        for i, text in enumerate(text_bytes(pack.column("text")) if wanted else []):
+        for text in text_bytes(pack.column("text")) if wanted else []:
             for leaf, line, tokens in {p[1]: p for p in map(parse, text.split(b"\n")) if p[2] and p[0] in wanted}.values():
-                for key, value in zip(out, (leaf, line, f"{pack.column('pack')[0].as_py()}:{i}", tokens)):
+                for key, value in zip(out, (leaf, line, _text_hash(text), tokens)):
                     out[key].append(value)
-        return pa.table(out, pa.schema([("leaf", pa.int64()), ("line", pa.int64()), ("doc", pa.string()),
+        return pa.table(out, pa.schema([("leaf", pa.int64()), ("line", pa.int64()), ("doc", pa.int64()),
                                         ("tokens", pa.list_(pa.binary()))]))
 
     packed = rows.groupBy("pack")
     parts = saved(packed.cogroup(packs_of_mixed.groupBy("pack")).applyInArrow(
-        tokens_of, "leaf long, line long, doc string, tokens array<binary>"), "lines-mixed")
+        tokens_of, "leaf long, line long, doc long, tokens array<binary>").dropDuplicates(["leaf", "line", "doc"]), "lines-mixed")
     members = _members(parts, min_docs, similarity)
     dropped = recurring.unionByName(members).distinct()
     packs_of_dropped = seen.join(dropped, ["leaf", "line"]).select("pack", "line").distinct()
@@ -118,10 +120,6 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
         for text in pack.column("text").cast(pa.binary()).to_pylist():
             own = [(x, parse(x) if x.strip() else None) for x in (text or b"").split(b"\n")]
             flags = [p is not None and p[1] in gone for _, p in own]
-            words = sum(len(p[2]) for _, p in own if p)
-            lost = sum(len(p[2]) for (_, p), f in zip(own, flags) if f)
-            if lost > max_share * words:
-                flags = [False] * len(own)
             n_lines.append(sum(p is not None for _, p in own))
             n_dropped.append(sum(flags))
             kept.append(text if not n_dropped[-1] else b"\n".join(x for (x, _), f in zip(own, flags) if not f))
@@ -133,7 +131,7 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     schema = ", ".join(f"{n} {kinds[n]}" for n in carried.values()) + ", text string, n_lines long, n_dropped long"
     out = packed.cogroup(packs_of_dropped.groupBy("pack")).applyInArrow(drop, schema.removeprefix(", "))
     back = {c: F.col(carried[c]).alias(c) for c in others} | {text_col: F.col("text").alias(text_col)}
-    return out.select(*(back[c] for c in docs.columns if c in back), "n_lines", "n_dropped")
+    return out.select(*(back[c] for c in docs.columns if c in back), *replaced)
 
 
 def _members(parts: DataFrame, min_docs: int, similarity: float) -> DataFrame:

@@ -81,12 +81,13 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+#: One template a leaf, the first; leaves with more of them are tested against a plain version.
 LINES_SQL = f"""
-WITH raw AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
-l AS (SELECT doc_id, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS pos FROM raw),
-t AS (SELECT doc_id, line, pos, list_transform(list_filter(string_split_regex(line, '{SPACE}'), lambda x: x <> ''),
+WITH raw AS (SELECT doc_id, text, md5(text) AS d, string_split(text, chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, d, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS pos FROM raw),
+t AS (SELECT doc_id, d, line, pos, list_transform(list_filter(string_split_regex(line, '{SPACE}'), lambda x: x <> ''),
   lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) AS ws FROM l),
-forms AS (SELECT ws, len(ws) AS size, ws[1:{lines.DEPTH}] AS lead, count(DISTINCT doc_id) AS n FROM t WHERE len(ws) > 0 GROUP BY ws),
+forms AS (SELECT ws, len(ws) AS size, ws[1:{lines.DEPTH}] AS lead, count(DISTINCT d) AS n FROM t WHERE len(ws) > 0 GROUP BY ws),
 leaves AS (SELECT size, lead FROM forms GROUP BY ALL HAVING count(*) > 1 AND sum(n) >= {lines.MIN_DOCS}),
 mixed AS (SELECT forms.* FROM forms SEMI JOIN leaves USING (size, lead)),
 places AS (SELECT size, lead, pos, token, sum(n) AS n FROM (
@@ -95,14 +96,13 @@ common AS (SELECT size, lead, pos, token FROM places QUALIFY row_number() OVER (
 close AS (SELECT m.ws, m.size, m.lead FROM (SELECT ws, size, lead, unnest(ws) AS token, unnest(range(1, size + 1)) AS pos FROM mixed) m
  JOIN common c ON m.size = c.size AND m.lead = c.lead AND m.pos = c.pos GROUP BY m.ws, m.size, m.lead
  HAVING count(*) FILTER (WHERE m.token = c.token) >= {lines.SIMILARITY}::DOUBLE*m.size),
-recurring AS (SELECT size, lead FROM close JOIN t USING (ws) GROUP BY size, lead HAVING count(DISTINCT doc_id) >= {lines.MIN_DOCS}),
+recurring AS (SELECT size, lead FROM close JOIN t USING (ws) GROUP BY size, lead HAVING count(DISTINCT d) >= {lines.MIN_DOCS}),
 gone AS (SELECT ws FROM forms WHERE n >= {lines.MIN_DOCS} UNION SELECT ws FROM close SEMI JOIN recurring USING (size, lead)),
 marked AS (SELECT t.*, g.ws IS NOT NULL AS hit FROM t LEFT JOIN gone g ON t.ws = g.ws),
 whole AS (SELECT doc_id, count(*) FILTER (WHERE len(ws) > 0) AS n_lines, count(*) FILTER (WHERE hit) AS hits,
-  coalesce(sum(len(ws)) FILTER (WHERE hit), 0) <= {lines.MAX_SHARE}::DOUBLE*sum(len(ws)) AS drops,
   string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT hit) AS kept FROM marked GROUP BY doc_id)
-SELECT r.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, CASE WHEN drops THEN hits ELSE 0 END::BIGINT AS n_dropped,
- CASE WHEN drops AND hits > 0 THEN kept ELSE r.text END AS text FROM raw r LEFT JOIN whole w ON r.doc_id = w.doc_id"""
+SELECT r.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(hits, 0)::BIGINT AS n_dropped,
+ CASE WHEN hits > 0 THEN coalesce(kept, '') ELSE r.text END AS text FROM raw r LEFT JOIN whole w ON r.doc_id = w.doc_id"""
 
 
 @query("op10_line_dedup", LINES_SQL)

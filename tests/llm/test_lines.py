@@ -1,5 +1,6 @@
 """Recurring line templates against a plain version, and the defined edge cases."""
 
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -8,34 +9,52 @@ from hourgrid.llm import lines
 SF = "/root/testdata/sf0.01"
 
 
-def brute(texts, min_docs, similarity=0.8, max_share=0.5):
+def brute(texts, min_docs, similarity=0.8):
     def tokens(line):
         return tuple("<*>" if re.search("[0-9]", t) else t for t in re.findall(r"[^\x20\x09-\x0D]+", line))
 
-    docs = [[tokens(x) for x in (t or "").split("\n")] for t in texts]
-    count, leaf = Counter(), defaultdict(Counter)
-    for d in docs:
-        for x in set(d) - {()}:
-            count[x] += 1
-            leaf[len(x), x[:3]][x] += 1
-    gone = {x for x, n in count.items() if n >= min_docs}
+    def number(line):
+        return lines._hash([t.encode() for t in line], len(line))
+
+    distinct = {t: {tokens(x) for x in t.split("\n")} - {()} for t in set(texts) - {None}}
+    docs, leaf = defaultdict(set), defaultdict(set)
+    for name, found in distinct.items():
+        for x in found:
+            docs[x].add(name)
+            leaf[len(x), x[:3]].add(x)
+
+    def template(forms):
+        places = [Counter() for _ in next(iter(forms))]
+        for x in forms:
+            for at, t in enumerate(x):
+                places[at][t] += len(docs[x])
+        return [max(p.items(), key=lambda i: (i[1], i[0].encode()))[0] for p in places]
+
+    def same(x, top):
+        return sum(a == b for a, b in zip(x, top))
+
+    def members(forms, top):
+        close = {x for x in forms if same(x, top) >= similarity * len(x)}
+        return close if len(set().union(*(docs[x] for x in close))) >= min_docs else set()
+
+    gone = {x for x, names in docs.items() if len(names) >= min_docs}
     for forms in leaf.values():
-        if len(forms) > 1:
-            size = len(next(iter(forms)))
-            places = [Counter() for _ in range(size)]
-            for x, n in forms.items():
-                for at, t in enumerate(x):
-                    places[at][t] += n
-            top = [max(p.items(), key=lambda i: (i[1], i[0].encode()))[0] for p in places]
-            close = {x for x in forms if sum(a == b for a, b in zip(x, top)) >= similarity * size}
-            if sum(bool(close & set(d)) for d in docs) >= min_docs:
-                gone |= close
+        forms = set(forms)
+        found = len(forms) > 1 and sum(len(docs[x]) for x in forms) >= min_docs
+        while found and forms:
+            top = template(forms)
+            found = members(forms, top)
+            if not found:
+                seed = max(forms, key=lambda x: (same(x, top), len(docs[x]), number(x)))
+                found = members(forms, template({x for x in forms if same(x, seed) >= similarity * len(x)}))
+            gone |= found
+            forms -= found
     out = []
-    for text, d in zip(texts, docs):
-        words, lost = sum(map(len, d)), sum(len(x) for x in d if x in gone)
-        drop = [x in gone and lost <= max_share * words for x in d]
-        kept = text if not any(drop) else "\n".join(a for a, f in zip(text.split("\n"), drop) if not f)
-        out.append((sum(bool(x) for x in d), sum(drop), kept))
+    for text in texts:
+        own = (text or "").split("\n")
+        drop = [tokens(x) in gone for x in own]
+        kept = text if not any(drop) else "\n".join(a for a, f in zip(own, drop) if not f)
+        out.append((sum(bool(tokens(x)) for x in own), sum(drop), kept))
     return out
 
 
@@ -71,7 +90,7 @@ def test_edge_cases(spark):
     data += [(50, None), (51, ""), (52, " \n\n\t"), (None, body("zz") + "\n\n" + foot), (3, data[3][1]),
              (60, foot), (61, "w " * 100_000 + "\r\n" + foot + "\r\n"), (62, "Ä  " + foot)]
     want = check(spark, data, 10)
-    assert sum(r[2] for r in want) == 15
+    assert sum(r[2] for r in want) == 16 and [r[3] for r in want if r[0] == "60"] == [""]
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert lines.drop_recurring_lines(empty).count() == 0
 
@@ -81,6 +100,31 @@ def test_other_columns_stay(spark):
     got = lines.drop_recurring_lines(df)
     assert got.columns == ["lang", "doc_id", "text", "pack", "n_lines", "n_dropped"]
     assert [tuple(r) for r in got.collect()] == [("en", 1, "x y", 5, 1, 0)]
+    bare = lines.drop_recurring_lines(df, counts=False)
+    assert bare.columns == df.columns and bare.collect() == df.collect()
+
+
+def test_copies_count_once(spark):
+    """A text in many copies keeps its lines; a line of many texts goes, whatever is left."""
+    data = [(i, "one text in many copies\nwith lines of its own") for i in range(40)]
+    data += [(100 + i, f"the same short line\n{chr(97 + i)}") for i in range(10)] + [(200, "the same short line")]
+    want = {r[0]: r[2] for r in check(spark, data, 10)}
+    assert want == {str(i): 0 for i in range(40)} | {str(100 + i): 1 for i in range(10)} | {"200": 1}
+
+
+def test_random_leaves_of_several_families(spark):
+    """Two to four families of lines with the same length and leading words, of any weights."""
+    rng = random.Random(5)
+    data = []
+    for leaf in range(12):
+        size = rng.randint(8, 12)
+        for family in range(rng.randint(2, 4)):
+            shape = [f"{chr(97 + leaf)}{chr(97 + family)}{chr(97 + i)}" for i in range(size - 3)]
+            for doc in range(rng.choice([3, 8, 12, 25])):
+                words = [w if rng.random() < 0.9 else rng.choice("pqrstuvw") * 3 for w in shape]
+                data.append((len(data), " ".join(["go", "to", chr(97 + leaf), *words]) + "\n" + "x" * (len(data) + 1)))
+    want = check(spark, data, 10)
+    assert 50 < sum(r[2] for r in want) < len(data)
 
 
 def test_several_templates_in_a_leaf(spark):
