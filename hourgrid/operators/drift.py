@@ -20,7 +20,6 @@ from hourgrid.operators.baseline import baseline_for
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 P_METHODS = ("exact", "asymptotic")
-SAMPLE_SLICE_HOURS = 24 * 90
 
 
 def recent_hourly(raw: DataFrame, keys: Sequence[str], ts: str, value: str, as_of: Column,
@@ -33,20 +32,17 @@ def recent_hourly(raw: DataFrame, keys: Sequence[str], ts: str, value: str, as_o
 
 
 def hash_sample(rows: DataFrame, sizes: DataFrame, keys: Sequence[str], ts: str,
-                size: str) -> DataFrame:
-    """A reproducible sample of ``size`` rows per series, chosen by hash order.
+                size: str, most: int) -> DataFrame:
+    """A reproducible sample of ``size`` rows per series, no more than ``most``, chosen by hash order.
 
-    Ranked twice: within slices of time, then among the slices' survivors, so
-    no task sorts a whole long series. The result equals a single ranking.
+    The rows with the smallest hashes: Spark keeps the ``most`` smallest per series in
+    every task before it shuffles them, so a series of any length reaches its key as
+    that many rows a task.
     """
     digest = F.md5(F.date_format(ts, "yyyy-MM-dd HH:mm:ss"))
-    tagged = (rows.join(sizes, list(keys)).withColumn("__d", digest)
-              .withColumn("__s", F.floor(hour_number(F.col(ts)) / SAMPLE_SLICE_HOURS)))
-    first = Window.partitionBy(*keys, "__s").orderBy("__d", ts)
-    second = Window.partitionBy(*keys).orderBy("__d", ts)
-    return (tagged.withColumn("__r", F.row_number().over(first)).filter(F.col("__r") <= F.col(size))
-            .withColumn("__r", F.row_number().over(second)).filter(F.col("__r") <= F.col(size))
-            .drop("__d", "__s", "__r", size))
+    order = Window.partitionBy(*keys).orderBy("__d", ts)
+    smallest = rows.withColumn("__d", digest).withColumn("__r", F.row_number().over(order)).filter(F.col("__r") <= most)
+    return (smallest.join(sizes, list(keys)).filter(F.col("__r") <= F.col(size)).drop("__d", "__r", size))
 
 
 def ks_statistic(sides: DataFrame, keys: Sequence[str], value: str, side: str) -> DataFrame:
@@ -140,19 +136,37 @@ def with_p_value(ks: DataFrame, method: str = "exact") -> DataFrame:
     return ks.withColumn("p_value", p_value).withColumn("p_method", F.lit(method)).drop("__unequal")
 
 
+def window_hours(days: int) -> int:
+    """Hours that a window of ``days`` days, both ends included, has at most."""
+    return 24 * days + 1
+
+
+def baseline_sizes(baseline: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return baseline.groupBy(*keys).agg(F.count("aqi").alias("baseline_n"), F.avg("aqi").alias("baseline_mean"))
+
+
+def baseline_sample(baseline: DataFrame, keys: Sequence[str], days: int = 7) -> DataFrame:
+    """All that checks against a window of ``days`` days ever draw from a baseline: a few rows per series."""
+    most = window_hours(days)
+    sizes = baseline.select(*keys).distinct().withColumn("__size", F.lit(most))
+    return hash_sample(baseline, sizes, keys, "ds", "__size", most)
+
+
 def check_drift(baseline: DataFrame, recent: DataFrame, series: DataFrame, keys: Sequence[str],
                 baseline_type: str, as_of: Column, alpha: float = DRIFT_ALPHA,
-                min_samples: int = DRIFT_MIN_SAMPLES, method: str = "exact") -> DataFrame:
+                min_samples: int = DRIFT_MIN_SAMPLES, method: str = "exact", days: int = 7,
+                base_sizes: DataFrame | None = None) -> DataFrame:
     """One result row per series in ``series``; guard failures become ``error`` rows.
 
     ``baseline`` has (keys, ds, aqi), ``recent`` has (keys, ts, aqi), one row per
-    hour. A longer baseline is sampled down to the size of the recent window.
+    hour of ``days`` days. A longer baseline is sampled down to the size of the recent
+    window. Where ``baseline`` is such a sample already, ``base_sizes`` (keys, baseline_n,
+    baseline_mean) says what it was drawn from.
     """
     by = list(keys)
     recent_sizes = recent.groupBy(*by).agg(
         F.count("aqi").alias("recent_n"), F.avg("aqi").alias("recent_mean"))
-    base_sizes = baseline.groupBy(*by).agg(
-        F.count("aqi").alias("baseline_n"), F.avg("aqi").alias("baseline_mean"))
+    base_sizes = baseline_sizes(baseline, by) if base_sizes is None else base_sizes
     guarded = (series.select(*by).join(base_sizes, by, "left").join(recent_sizes, by, "left")
                .withColumn("recent_n", F.coalesce("recent_n", F.lit(0)))
                .withColumn("error", F.when(F.coalesce("baseline_n", F.lit(0)) == 0,
@@ -161,7 +175,7 @@ def check_drift(baseline: DataFrame, recent: DataFrame, series: DataFrame, keys:
                                "Insufficient recent data: %d samples (need %d)",
                                F.col("recent_n"), F.lit(min_samples)))))
     valid = guarded.filter(F.col("error").isNull()).select(*by, F.col("recent_n").alias("__size"))
-    sample = hash_sample(baseline, valid, by, "ds", "__size")
+    sample = hash_sample(baseline, valid, by, "ds", "__size", window_hours(days))
     sides = sample.select(*by, "aqi", F.lit(1).alias("__side")).unionByName(
         recent.join(valid.select(*by), by, "left_semi").select(*by, "aqi", F.lit(2).alias("__side")))
     tested = with_p_value(ks_statistic(sides, by, "aqi", "__side"), method)
@@ -185,7 +199,7 @@ def drift_report(features: DataFrame, raw: DataFrame, series: DataFrame, keys: S
     month = int(as_of[5:7]) if seasonal else None
     return check_drift(baseline_for(features, keys, month),
                        recent_hourly(raw, keys, ts, value, moment, days),
-                       series, keys, "seasonal" if seasonal else "annual", moment, method=method)
+                       series, keys, "seasonal" if seasonal else "annual", moment, method=method, days=days)
 
 
 def retrain_list(results: DataFrame) -> DataFrame:

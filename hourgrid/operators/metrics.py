@@ -82,12 +82,14 @@ def evaluate(df: DataFrame, keys: Sequence[str], ts: str = "ds", y: str = "y", y
 
 
 def calibration_bins(df: DataFrame, keys: Sequence[str], y: str = "y", lower: str = "yhat_lower",
-                     upper: str = "yhat_upper", n_bins: int = 5) -> DataFrame:
+                     upper: str = "yhat_upper", n_bins: int = 5, decimals: int | None = None) -> DataFrame:
     """Coverage by quantile bins of the interval width; bins without rows stay, with NULL.
 
-    The last bin is closed on both sides, the others are open above.
+    The last bin is closed on both sides, the others are open above. Widths are rounded to
+    ``decimals``, if given, so that a row's bin does not hang on the last bit of a bound.
     """
-    rows = df.withColumn("__w", F.col(upper) - F.col(lower))
+    width = F.col(upper) - F.col(lower)
+    rows = df.withColumn("__w", width if decimals is None else F.round(width, decimals))
     edges = exact_quantiles(rows, keys, "__w", [i / n_bins for i in range(n_bins + 1)], "__edges")
     inner = F.slice("__edges", 2, n_bins - 1)
     passed = F.size(F.filter(inner, lambda e: e <= F.col("__w")))

@@ -2,30 +2,52 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-LEVELS = 2
+#: What is cut off the 64 bits of a value at each level: the cells of the last one hold 2**24 values at most.
+SHIFTS = (44, 24)
+
+
+def ordered_bits(value: Column) -> Column:
+    """A long for a double, in the same order, equal values alike: sign, exponent and mantissa as in IEEE 754.
+
+    Made by exact arithmetic on powers of two. Zeros of both signs are one value; infinities
+    come first and last, NaN after them.
+    """
+    # no branches, so that Spark works out each part once
+    size = F.least(F.abs(value), F.lit(sys.float_info.max))
+    near = F.floor(F.log2(F.greatest(size, F.lit(2.0 ** -1022)))).cast("double")
+    power = F.pow(F.lit(2.0), F.least(near, F.lit(1023.0)))
+    # the logarithm is rounded, so the exponent may be one off near a power of two
+    exponent = F.least(near, F.lit(1023.0)) + (power * 2 <= size).cast("double") - (power > size).cast("double")
+    exponent = F.greatest(exponent, F.lit(-1022.0))
+    mantissa = (size * F.pow(F.lit(2.0), -exponent) * F.lit(2.0 ** 52)).cast("bigint")  # from 2**52 on, less if subnormal
+    beyond = (F.abs(value) == float("inf")).cast("bigint") + F.isnan(value).cast("bigint") * 2
+    bits = (exponent.cast("bigint") + 1022) * F.lit(2 ** 52) + mantissa + beyond
+    return bits * (F.lit(1) - (value < 0).cast("bigint") * 2)
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
-                    out: str = "quantiles", bins: int = 1024) -> DataFrame:
+                    out: str = "quantiles") -> DataFrame:
     """Linearly interpolated quantiles as an array column, one row per key.
 
-    Equal values are counted first (combined map-side), so copies vanish. Then
-    two rounds of a fixed-width histogram find the narrow cells that hold the
-    wanted ranks; only values in those cells are sorted, each cell on its own.
-    A histogram has at most ``bins`` rows per cell, so its running total is small.
-    Cells follow from minima, maxima and counts alone: a task that runs again
-    draws the same ones.
+    Equal values are counted first (combined map-side), so copies vanish. Then the
+    wanted ranks are narrowed by the leading bits of the values, as in a radix sort that
+    follows only the cells with a wanted rank: first sign, exponent and 8 bits of the
+    mantissa, then 20 bits more. Cells are relative to a value's size, so far outliers
+    leave the others where they are; only the values of the last cells are sorted, each
+    cell on its own. Cells follow from the values alone: a task that runs again draws
+    the same ones. NaN counts as the largest value.
     """
     by = list(keys)
     counted = (df.filter(F.col(value).isNotNull())
                .groupBy(*by, F.col(value).cast("double").alias("__v"))
-               .agg(F.count(F.lit(1)).alias("__n")))
-    ranked = _ranked_in_cells(counted, by, probs, bins)
+               .agg(F.count(F.lit(1)).alias("__n")).withColumn("__bits", ordered_bits(F.col("__v"))))
+    ranked = _ranked_in_cells(counted, by, probs)
     last = F.col("__last") + F.col("__before")
     first = last - F.col("__n")
 
@@ -51,30 +73,51 @@ def _ranked(counted: DataFrame, by: Sequence[str]) -> DataFrame:
     return counted.withColumn("__last", F.sum("__n").over(running))
 
 
-def _ranked_in_cells(counted: DataFrame, by: Sequence[str], probs: Sequence[float], bins: int) -> DataFrame:
+def _ranked_in_cells(counted: DataFrame, by: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """The values around the wanted ranks, ranked within their cell; ``__before`` rows lie below it."""
-    cells = counted.groupBy(*by).agg(
-        F.min("__v").alias("__lo"), F.max("__v").alias("__hi"), F.sum("__n").alias("__total")
-    ).withColumn("__before", F.lit(0).cast("bigint"))
-    path = list(by)
-    rows = counted
-    for level in range(LEVELS):
+    path, rows, known = list(by), counted, []
+    for level, shift in enumerate(SHIFTS):
         name = f"__c{level}"
-        share = F.try_divide(F.col("__v") - F.col("__lo"), F.col("__hi") - F.col("__lo"))
-        cell = F.coalesce(F.least(F.floor(share * bins), F.lit(bins - 1)), F.lit(0).cast("bigint"))
-        rows = rows.join(cells, path).withColumn(name, cell)
-        size = rows.groupBy(*path, name, "__total", "__before").agg(
-            F.sum("__n").alias("__size"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
-        lower = Window.partitionBy(*path).orderBy(name).rowsBetween(Window.unboundedPreceding, -1)
-        size = size.withColumn("__before", F.col("__before") + F.coalesce(F.sum("__size").over(lower), F.lit(0)))
-        wanted = [F.floor(_position(p)) for p in probs] + [F.ceil(_position(p)) for p in probs]
+        rows = rows.withColumn(name, F.shiftright("__bits", shift))
+        size = rows.groupBy(*path, name, *known).agg(F.sum("__n").alias("__size"))
+        along = Window.partitionBy(*path).orderBy(name)
+        lower = F.coalesce(F.sum("__size").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        if known:
+            size = size.withColumn("__before", F.col("__before") + lower)
+        else:
+            whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+            size = size.withColumn("__before", lower).withColumn("__total", F.sum("__size").over(whole))
+        known = ["__total", "__before"]
         end = F.col("__before") + F.col("__size")
         holds = F.lit(False)
-        for rank in wanted:
-            holds = holds | ((rank >= F.col("__before")) & (rank < end))
+        for p in probs:
+            for rank in (F.floor(_position(p)), F.ceil(_position(p))):
+                holds = holds | ((rank >= F.col("__before")) & (rank < end))
         path = [*path, name]
-        cells = size.filter(holds).select(*path, "__lo", "__hi", "__before")
-        # the total stays with the rows: each branch then asks the same of ``counted``,
-        # which is shuffled once and shared
-        rows = rows.select(*path, "__v", "__n", "__total")
-    return _ranked(rows.join(cells, path), path)
+        rows = rows.drop(*known).join(size.filter(holds).select(*path, *known), path)
+    return _ranked(rows, path)
+
+
+# ---- sketches ---------------------------------------------------------------
+
+#: Size of a sketch: ranks are then off by 1.65 % of all rows at most, in 99 of 100 cases, for all ranks together.
+SKETCH_K = 200
+SKETCH_ERROR = 0.0165
+
+
+def day_sketches(df: DataFrame, keys: Sequence[str], ts: str, value: str, k: int = SKETCH_K) -> DataFrame:
+    """(keys, date, sketch): a few kilobytes for the values of a key and day, to be stored and merged.
+
+    For ranks within ``SKETCH_ERROR`` at any size, where exact ones are not worth their shuffle.
+    Sketches draw at random: a run that is repeated gives other values within that error.
+    """
+    return df.filter(F.col(value).isNotNull()).groupBy(*keys, F.to_date(ts).alias("date")).agg(
+        F.kll_sketch_agg_double(F.col(value).cast("double"), F.lit(k)).alias("sketch"))
+
+
+def merged_quantiles(sketches: DataFrame, keys: Sequence[str], probs: Sequence[float], out: str = "quantiles",
+                     k: int = SKETCH_K) -> DataFrame:
+    """(keys, n, quantiles) of stored sketches of any days, without their rows."""
+    merged = sketches.groupBy(*keys).agg(F.kll_merge_agg_double("sketch", F.lit(k)).alias("__s"))
+    return merged.select(*keys, F.kll_sketch_get_n_double("__s").alias("n"),
+                         F.kll_sketch_get_quantile_double("__s", F.array(*map(F.lit, probs))).alias(out))

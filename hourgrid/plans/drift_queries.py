@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hourgrid.operators import baseline, drift
-from hourgrid.operators.quantiles import exact_quantiles
+from hourgrid.operators.quantiles import SKETCH_ERROR, day_sketches, exact_quantiles, merged_quantiles
 from hourgrid.plans.bindings import (
     DAILY_CTE, HOURLY_CTE, KEYS, WEATHER_CTE, daily_orders, daily_plan, hourly_plan, index_sql, readings, table,
     weather_plan, with_ctes)
@@ -49,6 +49,26 @@ def order_value_quantiles(spark, sf):
     return q.select("city", *[F.round(F.col("q")[i], 9).alias(n) for i, n in enumerate(["p25", "p50", "p95"])])
 
 
+SKETCH_PROBS = [0.05, 0.25, 0.5, 0.75, 0.95]
+
+
+@query("sketch_quantiles", "SELECT event_type AS city, count(value)::BIGINT AS n, p AS prob, true AS within FROM events, (SELECT unnest("
+       + f"{SKETCH_PROBS}::DOUBLE[]) AS p) GROUP BY ALL")
+def sketch_quantiles(spark, sf):
+    """Quantiles from sketches that are stored per day and merged; their ranks are checked against all rows."""
+    rows = readings(spark, sf)
+    stored = saved(day_sketches(rows, KEYS, "ts", "pm25"), "sketches")
+    found = merged_quantiles(stored, KEYS, SKETCH_PROBS).withColumnRenamed("city", "c")
+    below = [F.count_if(F.col("pm25") <= F.col("quantiles")[i]).alias(f"b{i}") for i in range(len(SKETCH_PROBS))]
+    equal = [F.count_if(F.col("pm25") == F.col("quantiles")[i]).alias(f"e{i}") for i in range(len(SKETCH_PROBS))]
+    ranks = rows.join(found, F.col("city") == F.col("c")).groupBy("city", "n").agg(*below, *equal)
+    each = F.explode(F.array(*(F.struct(F.lit(p).alias("prob"), F.col(f"b{i}").alias("b"), F.col(f"e{i}").alias("e"))
+                               for i, p in enumerate(SKETCH_PROBS))))
+    rank = ranks.select("city", "n", each.alias("r")).select("city", "n", "r.prob", "r.b", "r.e")
+    within = (F.col("b") >= (F.col("prob") - SKETCH_ERROR) * F.col("n")) & (F.col("b") - F.col("e") <= (F.col("prob") + SKETCH_ERROR) * F.col("n"))
+    return rank.select("city", "n", "prob", within.alias("within"))
+
+
 @query("baseline_months", with_ctes(DAILY_CTE) + """
 SELECT city, month(ds)::INTEGER AS month, count(*)::BIGINT AS "rows", count(*) >= 100 AS has_baseline FROM daily GROUP BY ALL""")
 def _(spark, sf):

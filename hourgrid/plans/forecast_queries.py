@@ -107,12 +107,8 @@ FROM edges x LEFT JOIN w ON x.city = w.city AND w.width >= x.width_low AND (w.wi
 GROUP BY ALL""")
 def calibration_bins(spark, sf):
     rows = _naive(spark, sf).filter("split = 'test'")
-    # the same width in whole millionths on both engines, so that bin edges do not hang on the last bit
-    width = F.round(F.col("yhat_upper") - F.col("yhat_lower"), 6)
-    covered = F.col("y").between(F.col("yhat_lower"), F.col("yhat_upper"))
-    plain = rows.select("city", "ds", F.when(covered, width).otherwise(-1.0).alias("y"),
-                        F.lit(0.0).alias("yhat_lower"), width.alias("yhat_upper"))
-    return _rounded(metrics.calibration_bins(plain, KEYS), ["width_low", "width_high", "coverage"])
+    # widths in whole millionths on both engines, so that bin edges do not hang on the last bit
+    return _rounded(metrics.calibration_bins(rows, KEYS, decimals=6), ["width_low", "width_high", "coverage"])
 
 
 @query("forecast_metrics", NAIVE + ", m AS (SELECT city, split, " + METRICS_SQL + """ FROM naive GROUP BY ALL)

@@ -10,10 +10,10 @@ from hourgrid.operators.alerts import LATENCY_BOUNDS
 from hourgrid.plans.bindings import HOURLY_CTE, KEYS, index_sql, table, with_ctes
 from hourgrid.plans.catalog import query
 from hourgrid.plans.drift_queries import ANNUAL, AS_OF, DRIFT_NUMBERS, _drift_sql, _inputs
-from hourgrid.plans.monitoring_queries import PANES
+from hourgrid.plans.monitoring_queries import LATENCY_LIMIT, PANES, RATE_LIMIT, _quantile_sql
 from hourgrid.session import fresh_path
 from hourgrid.sources.stores import read_store
-from hourgrid.streaming import jobs
+from hourgrid.streaming import jobs, rules
 
 
 def _stream(spark, sf):
@@ -129,6 +129,51 @@ def stream_late_rows(spark, sf):
     return spark.read.parquet(out).select("city", F.col("ts").cast("timestamp_ntz").alias("ts"), "n")
 
 
+def _run_changes(name: str, evaluations: str, hold: int) -> str:
+    """The changes of one rule, from the minutes in which it holds: gaps and islands."""
+    return f"""{name} AS (SELECT '{name}' AS rule, min(eval_ts) AS since, max(eval_ts) AS last, {hold} AS hold FROM (
+ SELECT eval_ts, epoch(eval_ts)::BIGINT // 60 - row_number() OVER (ORDER BY eval_ts) AS i FROM ({evaluations}) WHERE eval_ts <= {CLOSED}) GROUP BY i)"""
+
+
+RULES = [rules.Rule("rate", "rate", RATE_LIMIT, *ALERT_RULES["HighRequestRate"][1:]),
+         rules.Rule("ratio", "ratio", *ALERT_RULES["HighErrorRate"]),
+         rules.Rule("latency", "quantile", LATENCY_LIMIT, *ALERT_RULES["SlowResponseTime"][1:])]
+CHANGES_SQL = "WITH " + PANES + ", p95 AS (" + _quantile_sql(0.95).replace("round(CASE", "(CASE").replace("END, 9)", "END)") + "),\n" + ",\n".join([
+    _run_changes("rate", f"SELECT make_timestamp((p + 60)*1000000) AS eval_ts FROM panes GROUP BY p HAVING count(*)/60.0::DOUBLE > {RATE_LIMIT}::DOUBLE", RULES[0].hold),
+    _run_changes("ratio", f"SELECT eval_ts FROM spread GROUP BY eval_ts HAVING count(*) FILTER (WHERE event_type = 'error')::DOUBLE/count(*) > {RULES[1].limit}::DOUBLE", RULES[1].hold),
+    _run_changes("latency", f"SELECT eval_ts FROM p95 WHERE quantile > {LATENCY_LIMIT}::DOUBLE", RULES[2].hold),
+    "runs AS (SELECT *, epoch(last) - epoch(since) >= hold AS fired FROM (FROM rate UNION ALL FROM ratio UNION ALL FROM latency))"]) + f"""
+SELECT 'api' AS service, rule, 'pending' AS state, since AS at, since FROM runs
+UNION ALL SELECT 'api', rule, 'firing', since + to_seconds(hold), since FROM runs WHERE fired
+UNION ALL SELECT 'api', rule, CASE WHEN fired THEN 'resolved' ELSE 'lapsed' END, last + INTERVAL 1 MINUTE, since FROM runs WHERE last + INTERVAL 1 MINUTE <= {CLOSED}"""
+
+
+@query("stream_alert_rules", CHANGES_SQL)
+def stream_alert_rules(spark, sf):
+    """Rate, error-ratio and latency rules, each at its own window and hold: every change of state."""
+    out, checkpoint = fresh_path(spark, "stream-rules"), fresh_path(spark, "checkpoint")
+    requests = _stream(spark, sf).withColumn("service", F.lit("api"))
+    changes = rules.alert_changes(requests, ["service"], "ts", RULES, F.col("city") == "error", F.col("pm25"))
+    _finish(rules.append_changes(changes, out, checkpoint))
+    return spark.read.parquet(out).withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("at", "since")})
+
+
+DAY = 86400
+
+
+@query("stream_target_down", f"""
+WITH beats AS (SELECT event_type AS city, user_id AS station, ts FROM events WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= {CLOSED}),
+pairs AS (SELECT city, station, ts AS last_seen, lead(ts) OVER (PARTITION BY city, station ORDER BY ts) AS next FROM beats),
+silent AS (SELECT * FROM pairs WHERE next - last_seen > INTERVAL 1 DAY OR (next IS NULL AND date_trunc('day', last_seen) + INTERVAL 2 DAY <= {CLOSED}))
+SELECT city, station, 'down' AS state, last_seen + INTERVAL 1 DAY AS at, last_seen FROM silent
+UNION ALL SELECT city, station, 'up', next, last_seen FROM silent WHERE next IS NOT NULL""")
+def stream_target_down(spark, sf):
+    """Stations that send nothing for a day: down while they are silent, up with the next reading."""
+    out, checkpoint = fresh_path(spark, "stream-down"), fresh_path(spark, "checkpoint")
+    _finish(rules.append_changes(rules.silences(_stream(spark, sf), ["city", "station"], "ts", DAY), out, checkpoint))
+    return spark.read.parquet(out).withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("at", "last_seen")})
+
+
 THRESHOLD, SPAN, HOLD = ALERT_RULES["HighErrorRate"]
 
 

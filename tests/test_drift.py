@@ -1,5 +1,7 @@
 """KS statistic, exact p-values, guards and quantiles."""
 
+import random
+import struct
 import time
 from itertools import combinations
 from math import comb
@@ -10,7 +12,8 @@ from pyspark.sql import functions as F
 
 from hourgrid.operators import drift
 from hourgrid.operators.baseline import baseline_for, baseline_stats, month_counts
-from hourgrid.operators.quantiles import exact_quantiles
+from hourgrid.operators import quantiles
+from hourgrid.operators.quantiles import day_sketches, exact_quantiles, merged_quantiles, ordered_bits
 
 
 def ks(spark, a, b):
@@ -116,7 +119,7 @@ def test_small_baseline_is_not_sampled_and_exact(spark):
 def test_hash_sample_equals_one_ranking(spark):
     rows = spark.sql(hours("2020-01-01 00:00:00", 9000)).selectExpr("'c' AS city", "ts AS ds", "rand(3) AS aqi")
     sizes = spark.createDataFrame([("c", 168)], "city string, n int")
-    got = drift.hash_sample(rows, sizes, ["city"], "ds", "n").select("ds").collect()
+    got = drift.hash_sample(rows.repartition(7), sizes, ["city"], "ds", "n", 169).select("ds").collect()
     want = rows.orderBy(F.md5(F.date_format("ds", "yyyy-MM-dd HH:mm:ss")), "ds").limit(168).select("ds").collect()
     assert sorted(got) == sorted(want)
 
@@ -128,14 +131,53 @@ def test_monthly_baseline_falls_back(spark):
     assert {r.month: r.has_baseline for r in month_counts(df, ["city"]).collect()} == {1: True, 2: False}
 
 
-@pytest.mark.parametrize("bins", [2, 4, 1024])
-def test_quantiles_equal_numpy(spark, bins):
+def test_sample_reaches_its_key_as_few_rows_a_task(spark):
+    """The limit stands below the exchange: a bottom-k in every task."""
+    rows = spark.sql(hours("2020-01-01 00:00:00", 9000)).selectExpr("if(hour(ts) < 12, 'c', 'd') AS city", "ts AS ds", "1.0D AS aqi")
+    plan = drift.baseline_sample(rows.repartition(7), ["city"])._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_ordered_bits(spark):
+    rng = random.Random(1)
+    values = [struct.unpack("<d", struct.pack("<Q", rng.getrandbits(64)))[0] for _ in range(3000)]
+    values += [s * 2.0 ** e * f for e in range(-1021, 1024, 7) for f in (1, 1 - 2 ** -53, 1 + 2 ** -52) for s in (1, -1)]
+    values += [0.0, -0.0, 5e-324, -5e-324, 2.0 ** -1022 * (1 - 2 ** -52), float("inf"), -float("inf"), 1.7976931348623157e308]
+    values = [v for v in values if v == v]
+    for r in spark.createDataFrame([(v,) for v in values], "v double").select("v", ordered_bits(F.col("v")).alias("b")).collect():
+        bits = struct.unpack("<q", struct.pack("<d", abs(r.v)))[0]
+        assert r.b == (-bits if r.v < 0 else bits)
+
+
+def test_outliers_leave_small_cells(spark):
+    """Two far values do not put all others into one cell."""
+    rows = spark.range(200_000).selectExpr("'k' AS k", "100 + id * 1e-7 AS v").unionByName(
+        spark.createDataFrame([("k", 1e300), ("k", -1e300)], "k string, v double"))
+    cells = rows.select(ordered_bits(F.col("v")).alias("b")).groupBy(F.shiftright("b", quantiles.SHIFTS[-1])).count()
+    assert cells.agg(F.max("count")).first()[0] < 200_000 / 100
+    got = exact_quantiles(rows, ["k"], "v", [0.0, 0.5, 1.0], "q").first().q
+    assert got == pytest.approx([-1e300, 100 + 99_999.5e-7, 1e300], rel=1e-12)
+
+
+def test_sketches_merge_within_their_error(spark):
+    rows = spark.range(300_000).selectExpr("'k' AS k", "date'2024-01-01' + cast(id % 30 AS int) AS ds", "exp(rand(3) * 20) AS v")
+    days = day_sketches(rows, ["k"], "ds", "v")
+    assert days.count() == 30
+    probs = [0.01, 0.25, 0.5, 0.95, 0.99]
+    got = merged_quantiles(days, ["k"], probs, "q").first()
+    values = np.sort([r.v for r in rows.select("v").collect()])
+    assert got.n == 300_000
+    for p, v in zip(probs, got.q):
+        assert abs(np.searchsorted(values, v, "right") / len(values) - p) <= quantiles.SKETCH_ERROR
+
+
+def test_quantiles_equal_numpy(spark):
     rng = np.random.default_rng(5)
     groups = {"wide": rng.lognormal(0, 5, 3000), "ties": rng.integers(0, 5, 2000).astype(float),
               "one": np.array([7.0]), "outlier": np.append(rng.normal(0, 1e-6, 999), 1e12)}
     df = spark.createDataFrame([(k, float(v)) for k, vs in groups.items() for v in vs], "k string, v double")
     probs = [0.0, 0.025, 0.25, 0.5, 0.95, 1.0]
-    for r in exact_quantiles(df, ["k"], "v", probs, "q", bins).collect():
+    for r in exact_quantiles(df, ["k"], "v", probs, "q").collect():
         np.testing.assert_allclose(r.q, np.quantile(groups[r.k], probs), rtol=1e-12)
 
 

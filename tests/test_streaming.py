@@ -5,7 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from hourgrid.streaming import jobs
+from hourgrid.streaming import jobs, rules
 
 SCHEMA = "city string, ts timestamp, v double"
 
@@ -80,3 +80,54 @@ def test_sliding_counts_and_sessions(spark, folders, tmp_path):
     finish(jobs.append_to(sessions, str(tmp_path / "s"), str(tmp_path / "sck")))
     runs = spark.read.parquet(str(tmp_path / "s")).orderBy("up_since").collect()
     assert [(r.up_since.minute, r.last_seen.minute, r.beats) for r in runs] == [(0, 2, 3), (30, 31, 2)]
+
+
+def step(spark, folders, name, data, changes):
+    """Land a file and run the stream to the end of what has landed; it goes on from its state."""
+    land(spark, folders["in"], name, data)
+    finish(rules.append_changes(changes(stream(spark, folders["in"])), folders["out"], folders["ck"]))
+
+
+def changes_in(spark, folder):
+    return {(*r[:-2], *(t.strftime("%d %H:%M:%S") for t in r[-2:])) for r in spark.read.parquet(folder).collect()}
+
+
+def test_rule_holds_fires_and_resolves_over_restarts(spark, folders):
+    """More than 0.03 requests a second for two minutes; nothing arrives when it ends."""
+    rule = [rules.Rule("rate", "rate", 0.03, 60, 120), rules.Rule("slow", "quantile", 10.0, 300, 300)]
+
+    def changes(rows):
+        return rules.alert_changes(rows, ["city"], "ts", rule, F.col("v") < 0, F.col("v"), lateness="1 minute")
+
+    def minute(m, n, v=0.2):
+        return [("c", f"2024-01-01 00:{m:02d}:{10 + s:02d}", v) for s in range(n)]
+
+    step(spark, folders, "b1", minute(0, 2) + minute(1, 1) + minute(2, 2) + minute(3, 3), changes)
+    assert changes_in(spark, folders["out"]) == {("c", "rate", "pending", "01 00:01:00", "01 00:01:00"), ("c", "rate", "lapsed", "01 00:02:00", "01 00:01:00")}
+    step(spark, folders, "b2", minute(4, 2) + minute(5, 2), changes)
+    step(spark, folders, "b3", [("other", "2024-01-01 00:30:00", 20.0)], changes)  # only time goes on for c
+    got = changes_in(spark, folders["out"])
+    assert {g[2:] for g in got if g[0] == "c"} == {
+        ("pending", "01 00:01:00", "01 00:01:00"), ("lapsed", "01 00:02:00", "01 00:01:00"),
+        ("pending", "01 00:03:00", "01 00:03:00"), ("firing", "01 00:05:00", "01 00:03:00"), ("resolved", "01 00:07:00", "01 00:03:00")}
+    step(spark, folders, "b4", [("third", "2024-01-01 01:30:00", 0.1)], changes)
+    assert {g[1:] for g in changes_in(spark, folders["out"]) if g[0] == "other"} == {
+        ("slow", "pending", "01 00:31:00", "01 00:31:00"), ("slow", "lapsed", "01 00:36:00", "01 00:31:00")}
+
+
+def test_target_is_down_while_it_is_silent(spark, folders):
+    def changes(rows):
+        return rules.silences(rows, ["city"], "ts", 60, lateness="1 minute")
+
+    step(spark, folders, "b1", [("c", "2024-01-01 00:00:10", 1.0), ("c", "2024-01-01 00:00:50", 1.0), ("d", "2024-01-01 00:00:30", 1.0)], changes)
+    step(spark, folders, "b2", [("d", "2024-01-01 00:01:20", 1.0), ("d", "2024-01-01 00:02:10", 1.0), ("d", "2024-01-01 00:09:00", 1.0)], changes)
+    assert ("c", "down", "01 00:01:50", "01 00:00:50") in changes_in(spark, folders["out"])  # nothing came from c since
+    step(spark, folders, "b3", [("c", "2024-01-01 00:12:00", 1.0), ("d", "2024-01-01 00:20:00", 1.0)], changes)
+    got = changes_in(spark, folders["out"])
+    assert {g[1:] for g in got if g[0] == "c"} == {("down", "01 00:01:50", "01 00:00:50"), ("up", "01 00:12:00", "01 00:00:50"), ("down", "01 00:13:00", "01 00:12:00")}
+    assert {g[1:] for g in got if g[0] == "d"} == {("down", "01 00:03:10", "01 00:02:10"), ("up", "01 00:09:00", "01 00:02:10"), ("down", "01 00:10:00", "01 00:09:00")}
+
+
+def test_histogram_quantile():
+    assert rules.histogram_quantile([0, 10, 0], [1.0, 2.0], 0.5) == 1.5
+    assert rules.histogram_quantile([0, 0, 3], [1.0, 2.0], 0.5) is None
