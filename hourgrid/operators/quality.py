@@ -33,15 +33,19 @@ def physical_bounds(df: DataFrame, value: str, low: float = PM25_MIN,
     return df.filter(F.col(value).between(low, high))
 
 
-def normalise_aliases(df: DataFrame, column: str,
-                      aliases: Sequence[tuple[str, str]] = CITY_ALIASES) -> DataFrame:
-    """Replace accepted spellings by the canonical name and drop unknown names.
+def canonical_name(name: Column, aliases: Sequence[tuple[str, str]] = CITY_ALIASES) -> Column:
+    """The canonical name of an accepted spelling, else NULL.
 
     The alias list is fixed and short, so it is a literal map, not a join.
     """
     table = F.create_map(*[F.lit(x) for pair in aliases for x in pair])
-    canonical = F.try_element_at(table, F.lower(F.trim(F.col(column))))
-    return df.withColumn(column, canonical).filter(F.col(column).isNotNull())
+    return F.try_element_at(table, F.lower(F.trim(name)))
+
+
+def normalise_aliases(df: DataFrame, column: str,
+                      aliases: Sequence[tuple[str, str]] = CITY_ALIASES) -> DataFrame:
+    """Replace accepted spellings by the canonical name and drop unknown names."""
+    return df.withColumn(column, canonical_name(F.col(column), aliases)).filter(F.col(column).isNotNull())
 
 
 def coerce(df: DataFrame, numbers: Iterable[str] = (), timestamps: Mapping[str, str] | None = None,

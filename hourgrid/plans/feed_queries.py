@@ -9,7 +9,8 @@ from hourgrid.operators import stations
 from hourgrid.plans.bindings import (
     AS_OF, HOURLY_CTE, KEYS, hourly_plan, index_sql, table, with_ctes)
 from hourgrid.plans.catalog import query
-from hourgrid.sources import feeds
+from hourgrid.session import fresh_path
+from hourgrid.sources import feeds, quarantine
 
 
 def _landed(rows, columns, payload):
@@ -103,3 +104,29 @@ def _(spark, sf):
         "event_id", tf.local_to_utc(ts).alias("utc"), tf.utc_to_local(ts).alias("local"),
         tf.local_label(ts).alias("label"), tf.local_iso(ts).alias("iso"),
         tf.date_key(ts).alias("date_key"), whole_index(F.col("value")).alias("whole"))
+
+
+@query("quarantined_measurements", """
+WITH e AS (SELECT event_type AS city, value, event_id, (props->>'$.k')::BIGINT AS k FROM events),
+r AS (SELECT city, CASE WHEN event_id % 50 = 7 THEN 'unreadable payload' WHEN k < 3 THEN 'unreadable record' WHEN k < 20 THEN 'low coverage'
+ WHEN k < 25 THEN 'flagged' WHEN k < 30 THEN 'no value' WHEN k < 35 THEN 'no time' WHEN k < 40 THEN 'out of bounds' ELSE 'usable' END AS reason, count(*) AS n FROM e GROUP BY ALL)
+SELECT city, reason, n::BIGINT AS n FROM r UNION ALL SELECT 'landed', 'all', count(*)::BIGINT FROM events""")
+def quarantined_measurements(spark, sf):
+    """Measurement pages with records of every fault: each record is in the readings or in quarantine."""
+    rows = table(spark, sf, "events").select(
+        F.col("event_type").alias("city"), "ts", "value", "event_id", F.get_json_object("props", "$.k").cast("bigint").alias("k"))
+    k, value = F.col("k"), F.col("value").cast("string")
+    shown = F.when(k < 3, '"oops"').when((k >= 25) & (k < 30), "null").when((k >= 35) & (k < 40), "-5.0").otherwise(value)
+    time = F.when((k >= 30) & (k < 35), "yesterday").otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    record = F.format_string('{"value": %s, "period": {"datetimeTo": {"utc": "%s"}}, "coverage": {"percentCoverage": %d}, "flagInfo": {"hasFlags": %s}}',
+                             shown, time, F.when((k >= 3) & (k < 20), 20).otherwise(90), F.when((k >= 20) & (k < 25), "true").otherwise("false"))
+    # a good record beside each bad one; a page cut off in the middle
+    page = F.when(F.col("event_id") % 50 == 7, F.concat(F.lit('{"results": ['), F.left(record, F.lit(30)))).otherwise(
+        F.concat(F.lit('{"results": ['), record, F.lit("]}")))
+    judged = quarantine.judged_measurements(rows.select("city", page.alias("payload")), KEYS, "payload")
+    usable, rejected = fresh_path(spark, "usable"), fresh_path(spark, "rejected")
+    quarantine.apart(judged, usable, rejected)
+    good = spark.read.parquet(usable).select("city", F.lit("usable").alias("reason"))
+    both = good.unionByName(spark.read.parquet(rejected).select("city", "reason"))
+    counts = both.groupBy("city", "reason").agg(F.count(F.lit(1)).alias("n"))
+    return counts.unionByName(counts.agg(F.sum("n").alias("n")).select(F.lit("landed").alias("city"), F.lit("all").alias("reason"), "n"))

@@ -15,7 +15,7 @@ from hourgrid.plans.drift_queries import RECENT_SQL, _raw
 from hourgrid.plans.forecast_queries import NAIVE, REPORT_CTE, _naive
 from hourgrid.plans.ingest_queries import UPSERT_SQL, upsert_sides
 from hourgrid.session import fresh_path
-from hourgrid.sources import history, stores
+from hourgrid.sources import history, quarantine, stores
 from hourgrid.dimensions import WEATHER_COLS
 
 
@@ -140,13 +140,13 @@ def _landed_csv(spark, sf):
     # quoted blanks must survive the round trip: the spellings are part of the case
     (rows.write.option("header", True).option("ignoreLeadingWhiteSpace", False)
      .option("ignoreTrailingWhiteSpace", False).csv(path))
-    return history.read_history(spark, path)
+    return path
 
 
 @query("history_readings", "WITH " + HISTORY_SQL + f""", good AS (SELECT city, ts, arg_min(pm25, seq) AS pm25 FROM named WHERE pm25 BETWEEN 0 AND 999 GROUP BY ALL)
 SELECT city, ts AS timestamp, pm25, 0.0::DOUBLE AS pm25_sd, 100.0::DOUBLE AS coverage_pct, {index_sql('pm25')} AS aqi, 0::BIGINT AS location_id FROM good""")
 def _(spark, sf):
-    return history.readings(_landed_csv(spark, sf), ["Seq"]).drop("pm25_min", "pm25_max")
+    return history.readings(history.read_history(spark, _landed_csv(spark, sf)), ["Seq"]).drop("pm25_min", "pm25_max")
 
 
 @query("history_weather", "WITH " + HISTORY_SQL + """, one AS (
@@ -155,4 +155,22 @@ SELECT city, ts AS timestamp, temp AS temperature_2m, round(value*3/3.6::DOUBLE,
  NULL::DOUBLE AS relative_humidity_2m, 0.0::DOUBLE AS precipitation, NULL::DOUBLE AS surface_pressure, 'Winter' AS season FROM one""")
 def _(spark, sf):
     """Every second temperature does not parse: the first row of an hour that has one wins."""
-    return history.weather(_landed_csv(spark, sf), ["Seq"]).withColumn("wind_speed_10m", F.round("wind_speed_10m", 6))
+    return history.weather(history.read_history(spark, _landed_csv(spark, sf)), ["Seq"]).withColumn("wind_speed_10m", F.round("wind_speed_10m", 6))
+
+
+@query("quarantined_history", """
+WITH r AS (SELECT CASE WHEN event_type NOT IN ('error', 'click', 'view', 'signup') THEN 'unknown city' WHEN value > 300 THEN 'no time'
+ WHEN (props->>'$.k')::BIGINT < 5 THEN 'no value' WHEN (props->>'$.k')::BIGINT > 95 THEN 'out of bounds' WHEN value NOT BETWEEN 0 AND 999 THEN 'out of bounds'
+ ELSE 'usable' END AS reason FROM events)
+SELECT reason, count(*)::BIGINT AS n FROM r GROUP BY 1 UNION ALL SELECT 'unreadable line', 2::BIGINT UNION ALL SELECT 'all', count(*)::BIGINT + 2 FROM events""")
+def quarantined_history(spark, sf):
+    """A history file with odd lines, and two with too few or too many fields: all of them are accounted for."""
+    path = _landed_csv(spark, sf)
+    header = ",".join(spark.read.csv(path, header=True).columns)
+    broken = [header, "2024-01-01 00:00:00,Delhi", "2024-01-01 00:00:00,Delhi,1,2,3,4,5,6,7,8,9,10,11,12"]
+    spark.createDataFrame([("\n".join(broken),)], "line string").coalesce(1).write.mode("append").text(path)
+    usable, rejected = fresh_path(spark, "usable"), fresh_path(spark, "rejected")
+    quarantine.apart(quarantine.judged_history(quarantine.read_lines(spark, path)), usable, rejected)
+    good = spark.read.parquet(usable).select(F.lit("usable").alias("reason"))
+    counts = good.unionByName(spark.read.parquet(rejected).select("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    return counts.unionByName(counts.agg(F.sum("n").alias("n")).select(F.lit("all").alias("reason"), "n"))

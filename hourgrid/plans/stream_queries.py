@@ -129,6 +129,24 @@ def stream_late_rows(spark, sf):
     return spark.read.parquet(out).select("city", F.col("ts").cast("timestamp_ntz").alias("ts"), "n")
 
 
+@query("stream_late_accounted", f"""
+SELECT event_type AS city, ts >= TIMESTAMP '{LATE}' OR date_trunc('hour', ts) + INTERVAL 1 HOUR > {CLOSED} AS kept, count(*)::BIGINT AS n FROM events GROUP BY ALL
+UNION ALL SELECT 'landed', true, count(*)::BIGINT FROM events""")
+def stream_late_accounted(spark, sf):
+    """The rows before a day arrive after all others: they lie apart, and kept and late ones add up to all."""
+    paths = {n: fresh_path(spark, f"accounted-{n}") for n in ("landed", "kept", "late", "marks", "checkpoint")}
+    events = table(spark, sf, "events").select(F.col("event_type").alias("city"), "ts", F.col("value").alias("pm25"))
+    early = F.col("ts") < F.lit(LATE).cast("timestamp_ntz")
+    for part in (events.filter(~early), events.filter(early)):
+        part.write.mode("append").parquet(paths["landed"])
+        rows = jobs.event_time(jobs.read_landed(spark, paths["landed"], events.schema), "ts")
+        _finish(jobs.late_apart(rows, "ts", paths["kept"], paths["late"], paths["marks"], paths["checkpoint"]))
+    counts = [spark.read.parquet(paths[n]).groupBy("city").agg(F.count(F.lit(1)).alias("n")).select(
+        "city", F.lit(n == "kept").alias("kept"), "n") for n in ("kept", "late")]
+    both = counts[0].unionByName(counts[1])
+    return both.unionByName(both.agg(F.sum("n").alias("n")).select(F.lit("landed").alias("city"), F.lit(True).alias("kept"), "n"))
+
+
 def _run_changes(name: str, evaluations: str, hold: int) -> str:
     """The changes of one rule, from the minutes in which it holds: gaps and islands."""
     return f"""{name} AS (SELECT '{name}' AS rule, min(eval_ts) AS since, max(eval_ts) AS last, {hold} AS hold FROM (

@@ -19,10 +19,11 @@ HISTORY_CSV = T.StructType([T.StructField(c, T.StringType()) for c in (
     "Humidity_Percent", "Precipitation_mm", "Pressure_MSL_hPa", "Temp_Inversion",
     "Crop_Burning_Season", "Festival_Period", "Season")])
 
-MEASUREMENT_PAGE = (
-    "results array<struct<value:double, period:struct<datetimeTo:struct<utc:string>>,"
+MEASUREMENT_FIELDS = (
+    "value:double, period:struct<datetimeTo:struct<utc:string>>,"
     " coverage:struct<percentCoverage:double>, flagInfo:struct<hasFlags:boolean>,"
-    " summary:struct<min:double,max:double,sd:double>>>")
+    " summary:struct<min:double,max:double,sd:double>")
+MEASUREMENT_PAGE = f"results array<struct<{MEASUREMENT_FIELDS}>>"
 
 SENSOR_PAGE = "results array<struct<id:bigint, parameter:struct<name:string>>>"
 

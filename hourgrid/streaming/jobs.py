@@ -150,6 +150,33 @@ def drift_after_batch(df: DataFrame, store: str, drift: str, retrain: str, check
     return for_each(df, handle, checkpoint)
 
 
+def late_apart(df: DataFrame, ts: str, kept: str, late: str, marks: str, checkpoint: str, span: str = "1 hour",
+               lateness: str = LATENESS) -> StreamingQuery:
+    """Every landed row into one of two tables: in time, or ``late``.
+
+    A row is late when its window of length ``span`` had ended before the watermark: the
+    newest time of all batches before, less ``lateness``. That is the watermark under which
+    a windowed aggregation would have left the row out, so what it lacks can be seen, counted
+    and taken in later. ``marks`` keeps the newest time of each batch. All three lie under
+    their batch number, so a repeated batch replaces its own output.
+    """
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        newest = None
+        if batch_id:
+            known = spark.read.schema("newest timestamp, batch long").parquet(marks).filter(F.col("batch") < batch_id)
+            newest = known.agg(F.max("newest")).first()[0]
+        behind = F.lit(False)
+        if newest is not None:
+            watermark = F.lit(newest) - F.expr(f"INTERVAL {lateness}")
+            behind = F.coalesce(F.window(ts, span)["end"] <= watermark, F.lit(False))
+        for path, rows in ((kept, batch.filter(~behind)), (late, batch.filter(behind))):
+            rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        batch.agg(F.max(ts).alias("newest")).write.mode("overwrite").parquet(f"{marks}/batch={batch_id}")
+
+    return for_each(df, handle, checkpoint)
+
+
 def alerts_after_batch(evaluations: DataFrame, log: str, alerts: str, checkpoint: str, keys: Sequence[str],
                        firing: Column, hold: int, step: int = 60) -> StreamingQuery:
     """Keep closed evaluations of a rule, and after each batch the runs in which it fires.
