@@ -19,7 +19,7 @@ from hourgrid.operators.dedupe import first_wins
 from hourgrid.operators.features import feature_table
 from hourgrid.operators.quality import keep_present, wind_unit_fix
 from hourgrid.operators.rollup import city_hour_rollup
-from hourgrid.sources import feeds, history, stores
+from hourgrid.sources import baselines, feeds, history, stores
 
 KEYS = ["city"]
 #: What a model may use, where the features have values for it
@@ -100,19 +100,23 @@ def build_features(spark: SparkSession, at: Layout) -> None:
     stores.write_features(feature_table(hourly_readings(spark, at), KEYS, weather=hourly_weather(spark, at)),
                           at.features)
     features = spark.read.parquet(at.features)
-    rows = baseline.monthly_baseline(features, KEYS)
-    rows.hint("rebalance", "city", "month").write.mode("overwrite").partitionBy("city", "month").parquet(at.baseline)
+    baselines.write_baselines(features, at.baseline, KEYS)
     weather = [c for c in ("wind_speed_10m", "temperature_2m") if c in features.columns]
     stores.write_json(baseline.baseline_stats(features, KEYS, weather_means=weather), at.stats)
 
 
 def check_drift(spark: SparkSession, at: Layout, as_of: str, seasonal: bool = False, days: int = 7) -> DataFrame:
-    """Drift rows of all registered cities, saved with the recent window they looked at."""
+    """Drift rows of all registered cities, saved with the recent window they looked at.
+
+    The baselines are read from their store: of the month of ``as_of`` where a city has
+    one and ``seasonal`` is asked for, else of all months. Features are not read.
+    """
     raw = stores.within(stores.read_store(spark, at.readings), _moment(as_of) - F.expr(f"INTERVAL {days} DAYS"), _moment(as_of))
     recent = drift.recent_hourly(raw, KEYS, "ts", "aqi", _moment(as_of), days)
     stores.write_snapshot(recent, at.recent, as_of)
-    results = drift.drift_report(spark.read.parquet(at.features), raw, cities(spark).select("city"), KEYS,
-                                 "ts", "aqi", as_of, days, seasonal)
+    stored = baselines.read_baselines(spark, at.baseline, KEYS, int(as_of[5:7]) if seasonal else None)
+    results = drift.check_drift(stored, spark.read.parquet(at.recent), cities(spark).select("city"), KEYS,
+                                "seasonal" if seasonal else "annual", _moment(as_of), days=days)
     results.write.mode("overwrite").parquet(at.drift)
     return spark.read.parquet(at.drift)
 
@@ -127,13 +131,13 @@ def _model(features: DataFrame, regressors: Sequence[str]) -> regression.Seasona
 
 def _predicted(champions: DataFrame, frame: Callable[[regression.SeasonalModel], DataFrame]) -> DataFrame:
     """Forecasts by champions of any shape: each scores the frame made for its own shape."""
-    parts = [regression.predict(frame(model), champions.filter(F.col("shape") == shape), KEYS, model=model).select(
-                 "city", "ds", "yhat", "yhat_lower", "yhat_upper")
-             for shape in sorted(r.shape for r in champions.select("shape").distinct().collect())
-             for model in [regression.SeasonalModel.of_shape(shape)]]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
+    spark = champions.sparkSession
+    kinds = dict(champions.dtypes)
+    out = spark.createDataFrame([], f"city {kinds['city']}, ds timestamp_ntz, yhat double, yhat_lower double, yhat_upper double")
+    for shape in sorted(r.shape for r in champions.select("shape").distinct().collect()):
+        model = regression.SeasonalModel.of_shape(shape)
+        part = regression.predict(frame(model), champions.filter(F.col("shape") == shape), KEYS, model=model)
+        out = out.unionByName(part.select(out.columns))
     return out
 
 

@@ -11,11 +11,11 @@ from hourgrid.plans.bindings import (
     weather_plan, with_ctes)
 from hourgrid.plans.catalog import query
 from hourgrid.plans.drift_queries import AS_OF as DRIFT_AS_OF
-from hourgrid.plans.drift_queries import RECENT_SQL, _raw
+from hourgrid.plans.drift_queries import DRIFT_NUMBERS, RECENT_SQL, SEASONAL, _drift_sql, _inputs, _raw
 from hourgrid.plans.forecast_queries import NAIVE, REPORT_CTE, _naive
 from hourgrid.plans.ingest_queries import UPSERT_SQL, upsert_sides
 from hourgrid.session import fresh_path
-from hourgrid.sources import history, quarantine, stores
+from hourgrid.sources import baselines, history, quarantine, stores
 from hourgrid.dimensions import WEATHER_COLS
 
 
@@ -76,6 +76,44 @@ def _(spark, sf):
     return back.select("city", "ds", F.round("aqi", 9).alias("aqi"), "month")
 
 
+#: Two series keep every third day only, too few a month for baselines of their own.
+THIN_CTE = "thin AS (SELECT * FROM daily WHERE city NOT LIKE '1%' AND city NOT LIKE '5%' OR day(ds) % 3 = 0)"
+
+
+def _thin_baselines(spark, sf):
+    rows = daily_orders(spark, sf).filter(~F.col("city").rlike("^[15]") | (F.day("ds") % 3 == 0))
+    path = fresh_path(spark, "baselines")
+    baselines.write_baselines(rows, path, KEYS)
+    return path
+
+
+@query("baseline_annual_store", with_ctes(DAILY_CTE, THIN_CTE) + "SELECT city, ds, round(y, 9) AS aqi, month(ds)::INTEGER AS month FROM thin")
+def baseline_annual_store(spark, sf):
+    """The baselines of all months, read back from their store."""
+    return baselines.read_baselines(spark, _thin_baselines(spark, sf), KEYS).withColumn("aqi", F.round("aqi", 9))
+
+
+@query("baseline_seasonal_store", with_ctes(DAILY_CTE, THIN_CTE) + """
+SELECT city, ds, round(y, 9) AS aqi, month(ds)::INTEGER AS month FROM thin
+QUALIFY count(*) FILTER (WHERE month(ds) = 4) OVER (PARTITION BY city) < 100 OR month(ds) = 4""")
+def baseline_seasonal_store(spark, sf):
+    """April's baselines from the store, of all months for the series that have too few rows in April."""
+    return baselines.read_baselines(spark, _thin_baselines(spark, sf), KEYS, 4).withColumn("aqi", F.round("aqi", 9))
+
+
+@query("stored_baseline_drift", with_ctes(HOURLY_CTE, RECENT_SQL) + "," + _drift_sql(SEASONAL, "seasonal"))
+def stored_baseline_drift(spark, sf):
+    """A seasonal drift check against stored baselines, without the features."""
+    features, series = _inputs(spark, sf)
+    path = fresh_path(spark, "baselines")
+    baselines.write_baselines(features, path, KEYS)
+    moment = F.lit(DRIFT_AS_OF).cast("timestamp_ntz")
+    recent = drift.recent_hourly(_raw(spark, sf), KEYS, "ts", "aqi", moment)
+    stored = baselines.read_baselines(spark, path, KEYS, int(DRIFT_AS_OF[5:7]))
+    out = drift.check_drift(stored, recent, series, KEYS, "seasonal", moment)
+    return out.withColumns({n: F.round(n, 9) for n in DRIFT_NUMBERS})
+
+
 @query("stats_json", with_ctes(HOURLY_CTE) + """
 SELECT city, count(aqi)::BIGINT AS n_samples, round(avg(aqi), 9) AS aqi_mean, round(quantile_cont(aqi::DOUBLE, 0.5), 9) AS aqi_median,
  max(aqi)::DOUBLE AS aqi_max FROM hourly GROUP BY city""")

@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 from hourgrid.dimensions import ALERT_RULES
 from hourgrid.functions.index import pm25_to_aqi
 from hourgrid.operators.alerts import LATENCY_BOUNDS
+from hourgrid.operators.baseline import baseline_for
 from hourgrid.plans.bindings import HOURLY_CTE, KEYS, index_sql, table, with_ctes
 from hourgrid.plans.catalog import query
 from hourgrid.plans.drift_queries import ANNUAL, AS_OF, DRIFT_NUMBERS, _drift_sql, _inputs
 from hourgrid.plans.monitoring_queries import LATENCY_LIMIT, PANES, RATE_LIMIT, _quantile_sql
 from hourgrid.session import fresh_path
+from hourgrid.sources import baselines
 from hourgrid.sources.stores import read_store
 from hourgrid.streaming import jobs, rules
 
@@ -241,10 +243,11 @@ recent AS (SELECT city, ts, {index_sql('pm25')}::DOUBLE AS aqi FROM means WHERE
 def stream_drift(spark, sf):
     """Upsert every closed hour's mean, then check drift on the store's seven days up to the newest of them."""
     features, series = _inputs(spark, sf)
-    paths = {n: fresh_path(spark, n) for n in ("drift-store", "drift-results", "retrain", "checkpoint")}
+    paths = {n: fresh_path(spark, n) for n in ("drift-store", "drift-results", "retrain", "checkpoint", "drift-samples")}
+    baselines.write_samples(baseline_for(features, KEYS, None), paths["drift-samples"], KEYS)
     rows = _city_hours(spark, sf).select("city", "ts", pm25_to_aqi(F.col("pm25")).alias("aqi"))
     _finish(jobs.drift_after_batch(
         rows, paths["drift-store"], paths["drift-results"], paths["retrain"], paths["checkpoint"], KEYS,
-        "ts", "aqi", features, series, ["aqi"]))
+        "ts", "aqi", paths["drift-samples"], series, ["aqi"]))
     out = spark.read.parquet(paths["drift-results"]).drop("batch")
     return out.withColumns({n: F.round(n, 9) for n in DRIFT_NUMBERS})

@@ -15,8 +15,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from hourgrid.operators.alerts import LATENCY_BOUNDS, bucket_counts, sustained, with_bucket_quantile
-from hourgrid.operators.drift import drift_report, retrain_list
+from hourgrid.operators.drift import check_drift, recent_hourly, retrain_list
 from hourgrid.operators.rollup import mean_of
+from hourgrid.sources.baselines import read_samples
 from hourgrid.sources.stores import read_store, upsert_days, within
 
 LATENESS = "2 hours"
@@ -124,14 +125,16 @@ def upsert_to_days(df: DataFrame, path: str, checkpoint: str, keys: Sequence[str
 
 
 def drift_after_batch(df: DataFrame, store: str, drift: str, retrain: str, checkpoint: str,
-                      keys: Sequence[str], ts: str, value: str, features: DataFrame,
+                      keys: Sequence[str], ts: str, value: str, samples: str,
                       series: DataFrame, order: Sequence[str], as_of: str | None = None,
                       days: int = 7) -> StreamingQuery:
-    """Upsert a micro-batch, then check drift on the trailing days of the store.
+    """Upsert a micro-batch of hourly rows, then check drift on the trailing days of the store.
 
     The check looks back from the newest row of its batch, so it moves with the
-    stream, or from a fixed ``as_of``. Batches without rows leave nothing. Results and retrain requests land under their batch number, so a repeated
-    batch replaces its own output.
+    stream, or from a fixed ``as_of``. A batch reads the store's folders of these days and
+    the stored samples of the baselines (``write_samples``), never the baselines themselves.
+    Batches without rows leave nothing. Results and retrain requests land under their batch
+    number, so a repeated batch replaces its own output.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -141,7 +144,9 @@ def drift_after_batch(df: DataFrame, store: str, drift: str, retrain: str, check
         upsert_days(spark, store, batch, keys, ts, [F.col(c) for c in order])
         moment = F.lit(as_of or newest).cast("timestamp_ntz")
         stored = within(read_store(spark, store), moment - F.expr(f"INTERVAL {days} DAYS"), moment)
-        checked = drift_report(features, stored, series, keys, ts, value, as_of or newest, days)
+        sample, sizes = read_samples(spark, samples)
+        checked = check_drift(sample, recent_hourly(stored, keys, ts, value, moment, days), series, keys, "annual", moment,
+                              days=days, base_sizes=sizes)
         target = f"{drift}/batch={batch_id}"
         checked.write.mode("overwrite").parquet(target)
         retrain_list(spark.read.parquet(target)).select(*keys).write.mode("overwrite").parquet(

@@ -1,5 +1,8 @@
 """The whole way from landed files to a forecast, on tables derived from the given events."""
 
+import shutil
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -43,12 +46,20 @@ def test_whole_way(spark, landed, tmp_path):
     life.build_features(spark, at)
     features = spark.read.parquet(at.features)
     assert features.count() == hours and features.filter("temperature_2m IS NULL OR aqi_lag_168h IS NULL").count() == 0
-    assert spark.read.parquet(at.baseline).count() == hours
+    assert spark.read.parquet(f"{at.baseline}/rows").count() == hours
     assert {r.city for r in spark.read.json(at.stats).collect()} == set(NAMES.values())
 
     drifted = life.check_drift(spark, at, AS_OF).collect()
     assert len(drifted) == 5 and all(r.error is None and 0 <= r.p_value <= 1 and r.recent_n >= 24 for r in drifted)
 
+    # checks read the stored baselines, of January where there is one: the features may be gone
+    blind = replace(at, root=str(tmp_path / "blind"))
+    for name in ("baseline/rows", "baseline/months", "readings", "readings.store"):
+        shutil.copytree(f"{at.root}/{name}", f"{blind.root}/{name}")
+    seasonal = life.check_drift(spark, blind, AS_OF, seasonal=True).collect()
+    assert sorted((r.city, r.p_value, r.ks_stat) for r in seasonal) == sorted((r.city, r.p_value, r.ks_stat) for r in drifted)
+    assert {r.baseline_type for r in seasonal} == {"seasonal"}
+
     life.train(spark, at, 1, AS_OF, test_days=10)
     history = life.train(spark, at, 2, AS_OF, only=spark.createDataFrame([("Delhi",)], "city string"), test_days=5,
                          regressors=("temperature_2m", "crop_burning", "surface_pressure")).collect()
@@ -92,3 +103,9 @@ def test_sql_functions(spark):
     df = spark.sql("SELECT id / 7.0D - 3 AS v FROM range(4000)")
     both = df.select("v", pm25_to_aqi(F.col("v")).alias("a")).selectExpr("a", "pm25_to_aqi(v) AS b", "aqi_category(a).label AS l")
     assert both.filter("NOT (a <=> b)").count() == 0 and both.select("l").distinct().count() == 6
+
+
+def test_no_champion_no_rows(spark):
+    none = spark.createDataFrame([], "city string, shape string")
+    got = life._predicted(none, lambda model: none)
+    assert got.columns == ["city", "ds", "yhat", "yhat_lower", "yhat_upper"] and got.count() == 0
