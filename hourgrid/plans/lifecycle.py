@@ -19,6 +19,7 @@ from hourgrid.operators.dedupe import first_wins
 from hourgrid.operators.features import feature_table
 from hourgrid.operators.quality import keep_present, wind_unit_fix
 from hourgrid.operators.rollup import city_hour_rollup
+from hourgrid.session import saved
 from hourgrid.sources import baselines, feeds, history, stores
 
 KEYS = ["city"]
@@ -176,7 +177,8 @@ def evaluate(spark: SparkSession, at: Layout, as_of: str, test_days: int = 30) -
     test = metrics.split_by_time(features, KEYS, test_days=test_days, min_test_rows=24).filter("split = 'test'")
     scored = _predicted(champion_models(spark, at), lambda model: regression.assemble_regressors(
         test, KEYS, "ds", model.regressors))
-    report = metrics.evaluation_report(scored.join(test.select("city", "ds", "y"), ["city", "ds"]), KEYS)
+    scored = saved(scored.join(test.select("city", "ds", "y"), ["city", "ds"]), "scored")  # the report reads it many times
+    report = metrics.evaluation_report(scored, KEYS)
     stores.write_report(report, at.reports, as_of)
     return spark.read.schema(report.schema).json(f"{at.reports}/evaluation_latest.json")
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,17 +13,48 @@ from hourgrid.dimensions import WEATHER_COLS
 from hourgrid.operators.dedupe import first_wins, upsert_first_wins
 
 
-#: Beside a store lies a folder with its schema, the batch being merged and the days about to replace others.
+#: Beside a store lies a folder with its state, the batch being merged and the days about to replace others.
 SIDE = ".store"
 
 
+def _file(spark: SparkSession, path: str):
+    """(file system, path) as Spark's own Hadoop configuration finds them."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
 def exists(spark: SparkSession, path: str) -> bool:
+    system, where = _file(spark, path)
+    return system.exists(where)
+
+
+def _read_state(spark: SparkSession, path: str) -> dict:
+    """What is known of a store: its ``schema``, and ``swap`` while staged days replace stored ones."""
+    system, where = _file(spark, f"{path}{SIDE}/state.json")
+    if not system.exists(where):
+        return {}
+    stream = system.open(where)
     try:
-        return bool(spark.read.schema("x int").parquet(path).columns)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return False
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def _write_state(spark: SparkSession, path: str, schema: T.StructType, swap: bool) -> None:
+    """Replace a store's state, whole or not at all: a new file takes the old one's name."""
+    system, new = _file(spark, f"{path}{SIDE}/state.new")
+    stream = system.create(new, True)
+    try:
+        stream.write(bytearray(json.dumps({"swap": swap, "schema": json.loads(schema.json())}).encode()))
+    finally:
+        stream.close()
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    rename = getattr(hadoop, "Options$Rename")
+    how = spark.sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.OVERWRITE
+    old = hadoop.Path(f"{path}{SIDE}/state.json")
+    hadoop.FileContext.getFileContext(system.makeQualified(old).toUri(), spark._jsc.hadoopConfiguration()).rename(
+        system.makeQualified(new), system.makeQualified(old), how)
 
 
 def _typed(schema: T.StructType, partition: Sequence[str]) -> T.StructType:
@@ -38,8 +69,9 @@ def store_schema(spark: SparkSession, path: str, partition: Sequence[str] = ("ci
 
     Partition values are never guessed from their looks: a city "007" stays "007".
     """
-    if exists(spark, f"{path}{SIDE}/schema"):
-        return spark.read.parquet(f"{path}{SIDE}/schema").schema
+    known = _read_state(spark, path)
+    if known:
+        return T.StructType.fromJson(known["schema"])
     return _typed(spark.read.option("mergeSchema", "true").parquet(path).schema, partition)
 
 
@@ -63,25 +95,13 @@ def read_weather_or_null(spark: SparkSession, path: str, like: DataFrame,
     return like.select(*keys, *[F.lit(None).cast("double").alias(c) for c in WEATHER_COLS]).filter(F.lit(False))
 
 
-def _state(spark: SparkSession, path: str, value: str | None = None) -> str | None:
-    """Set or read what a store is about to do: "swap" while staged days replace stored ones."""
-    where = f"{path}{SIDE}/state"
-    if value is not None:
-        spark.range(1).select(F.lit(value).alias("state")).write.mode("overwrite").parquet(where)
-        return value
-    row = spark.read.schema("state string").parquet(where).first() if exists(spark, where) else None
-    return row and row.state
-
-
-def _swap(spark: SparkSession, path: str, partition: Sequence[str], ts: str) -> None:
+def _swap(spark: SparkSession, path: str, partition: Sequence[str], ts: str, schema: T.StructType) -> None:
     """Replace the days that are staged; may be repeated any number of times."""
-    schema = spark.read.parquet(f"{path}{SIDE}/schema").schema
     staged = spark.read.schema(schema).parquet(f"{path}{SIDE}/staged")
     (staged.hint("rebalance", *partition).sortWithinPartitions(*partition, ts)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition).parquet(path))
-    _state(spark, path, "done")
-    staged.filter(F.lit(False)).write.mode("overwrite").parquet(f"{path}{SIDE}/batch")
+    _write_state(spark, path, schema, swap=False)
 
 
 def upsert_days(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str], ts: str,
@@ -91,27 +111,29 @@ def upsert_days(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence
     Only days that the batch touches are read and replaced. The merged days are staged
     beside the store in full before any day is replaced, and the store's state says so:
     if the swap is cut short, at any point, the next call first repeats it from the
-    staged days. So repeating a failed call gives the same store.
+    staged days. So repeating a failed call gives the same store. Spark writes the batch,
+    the staged days and the store; the state is one small file.
     """
-    if _state(spark, path) == "swap":
-        _swap(spark, path, partition, ts)
+    state = _read_state(spark, path)
+    if state.get("swap"):
+        _swap(spark, path, partition, ts, T.StructType.fromJson(state["schema"]))
     side = f"{path}{SIDE}"
     one = first_wins(batch.withColumn("date", F.to_date(ts)), [*keys, ts], order)
     one = one.select(*(F.col(f.name).cast(f.dataType) for f in _typed(one.schema, partition).fields))
     one.write.mode("overwrite").parquet(f"{side}/batch")
     dated = spark.read.schema(one.schema).parquet(f"{side}/batch")
-    merged = dated
+    merged, schema = dated, dated.schema
     if exists(spark, path):
+        known = store_schema(spark, path, partition)
         # a row for each calendar day of the batch reaches the driver, to name the folders to read
         days = [r.date for r in dated.select("date").distinct().collect()]
-        stored = read_store(spark, path, partition=partition).filter(F.col("date").isin(days))
+        stored = read_store(spark, path, known, partition).filter(F.col("date").isin(days))
         touched = dated.select(*partition).distinct()
         merged = upsert_first_wins(stored.join(touched, list(partition), "left_semi"), dated, [*keys, ts], order)
+        schema = _wider(known, merged.schema)
     merged.write.mode("overwrite").parquet(f"{side}/staged")
-    schema = merged.schema if not exists(spark, path) else _wider(store_schema(spark, path, partition), merged.schema)
-    spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{side}/schema")
-    _state(spark, path, "swap")
-    _swap(spark, path, partition, ts)
+    _write_state(spark, path, schema, swap=True)
+    _swap(spark, path, partition, ts, schema)
 
 
 def _wider(known: T.StructType, new: T.StructType) -> T.StructType:
