@@ -9,15 +9,29 @@ from pyspark.sql import functions as F
 
 from hourgrid.dimensions import DEFAULT_INDEX
 from hourgrid.functions.timefns import floor_day, hour_number
+from hourgrid.session import saved
 
 
 def last_known(df: DataFrame, keys: Sequence[str], ts: str, columns: Sequence[str],
                as_of: Column | None = None, tie: Sequence[str] = ()) -> DataFrame:
-    """Newest row per series at or before ``as_of``; map-side combined, no sort per series."""
+    """Newest row per series at or before ``as_of``; of rows of one time the largest by ``tie``, then ``columns``.
+
+    The newest times are found first, by a hash aggregate of two columns; only the rows of
+    these times are compared as a whole.
+    """
     rows = df if as_of is None else df.filter(F.col(ts) <= as_of)
-    newest = rows.groupBy(*keys).agg(F.max(F.struct(ts, *tie, *columns)).alias("__last"))
-    return newest.select(*keys, F.col(f"__last.{ts}").alias(ts),
-                         *[F.col(f"__last.{c}").alias(c) for c in columns])
+    last = rows_of_newest(rows, keys, ts).groupBy(*keys).agg(F.max(F.struct(ts, *tie, *columns)).alias("__last"))
+    return last.select(*keys, F.col(f"__last.{ts}").alias(ts),
+                       *[F.col(f"__last.{c}").alias(c) for c in columns])
+
+
+def rows_of_newest(rows: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
+    """The rows at the newest time of each series."""
+    newest = rows.groupBy(*keys).agg(F.max(ts).alias("__newest")).withColumnsRenamed({k: f"__{k}" for k in keys})
+    same = F.col(ts) == F.col("__newest")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    return rows.join(newest, same, "left_semi")
 
 
 def recent_days(df: DataFrame, keys: Sequence[str], ts: str, days: int = 7) -> DataFrame:
@@ -60,23 +74,27 @@ def as_of_join(left: DataFrame, right: DataFrame, keys: Sequence[str], ts: str,
                columns: Sequence[str], bucket_hours: int = 24, rows_per_task: int = 500_000) -> DataFrame:
     """Newest right-hand row at or before each left-hand row.
 
-    Both sides are cut into time buckets; the value carried into a bucket comes
-    from a one-row-per-bucket summary of the right side. A bucket with many left
-    rows is dealt out over as many salts as its count asks for, each with all
-    right rows of the bucket, so neither a long series nor a hot key meets in
-    one task.
+    Both sides are cut along time, and the value carried over a cut comes from a summary
+    of the right side with one row per piece. Pieces are buckets of ``bucket_hours``; one
+    with many rows, of either side, is cut again at quantiles of its rows' times. What no
+    cut can split, many left rows of one instant, is dealt out over salts, each with the
+    right rows of its piece. So neither a long series nor a hot key meets in one task.
     """
     value = F.struct(F.col(ts).alias("__rts"), *columns)
     none = F.lit(None).cast(right.select(value.alias("v")).schema["v"].dataType)
     bucket = F.floor(hour_number(F.col(ts)) / bucket_hours)
-    by = [*keys, "__b"]
+    by, at = [*keys, "__b", "__p"], F.unix_micros(F.col(ts).cast("timestamp"))
     lookups = right.select(*keys, F.col(ts), bucket.alias("__b"), value.alias("__v"))
     probes = left.select(*keys, F.col(ts), bucket.alias("__b"), F.struct(*left.columns).alias("__left"))
 
+    cuts = _cuts(probes, lookups, [*keys, "__b"], at, rows_per_task)
+    piece = F.coalesce(F.size(F.filter("__cuts", lambda c: c <= at)), F.lit(0))
+    lookups, probes = (side.join(cuts, [*keys, "__b"], "left").withColumn("__p", piece).drop("__cuts") for side in (lookups, probes))
+
     wanted = probes.groupBy(*by).agg(
         F.ceil(F.count(F.lit(1)) / rows_per_task).cast("int").alias("__salts"))
     newest = lookups.groupBy(*by).agg(F.max("__v").alias("__edge"))
-    timeline = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    timeline = Window.partitionBy(*keys).orderBy("__b", "__p").rowsBetween(Window.unboundedPreceding, -1)
     buckets = (wanted.join(newest, by, "full")
                .withColumn("__carry", F.max("__edge").over(timeline))
                .filter(F.col("__salts").isNotNull()).drop("__edge"))
@@ -96,6 +114,23 @@ def as_of_join(left: DataFrame, right: DataFrame, keys: Sequence[str], ts: str,
                         *[F.col(f"__m.{c}").alias(c) for c in columns])
 
 
+#: No bucket is cut into more pieces than this.
+PIECES = 1024
+
+
+def _cuts(probes: DataFrame, lookups: DataFrame, by: Sequence[str], at: Column, rows_per_task: int) -> DataFrame:
+    """(by, __cuts): for buckets of too many rows, the times at which they are cut, about as many rows apart."""
+    times = probes.select(*by, at.alias("__at")).unionByName(lookups.select(*by, at.alias("__at")))
+    sizes = times.groupBy(*by).agg(F.count(F.lit(1)).alias("__rows")).filter(F.col("__rows") > rows_per_task)
+    shares = [i / PIECES for i in range(1, PIECES)]
+    marks = times.join(sizes, list(by)).groupBy(*by).agg(
+        F.max("__rows").alias("__rows"), F.percentile_approx("__at", shares, 10 * PIECES).alias("__marks"))
+    pieces = F.least(F.lit(PIECES), F.ceil(F.col("__rows") / rows_per_task))
+    chosen = F.transform(F.sequence(F.lit(1), pieces.cast("int") - 1), lambda i: F.element_at("__marks", F.ceil(i * PIECES / pieces).cast("int")))
+    # written down, as a sketch of times may come out differently when it is made again
+    return saved(marks.select(*by, F.array_distinct(chosen).alias("__cuts")), "as-of-cuts")
+
+
 def known(requested: DataFrame, registered: DataFrame, on: Sequence[str]) -> DataFrame:
     return requested.join(registered.select(*on), list(on), "left_semi")
 

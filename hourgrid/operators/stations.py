@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourgrid.functions.index import pm25_to_aqi
+from hourgrid.operators.lookups import rows_of_newest
 
 
 def of_parameter(sensors: DataFrame, column: str, name: str = "pm25") -> DataFrame:
@@ -66,7 +67,7 @@ def latest_per_sensor(readings: DataFrame, keys: Sequence[str], ts: str, value:
     inside = readings.filter((F.col(ts) >= as_of - F.expr(f"INTERVAL {days} DAYS"))
                              & (F.col(ts) <= as_of))
     extra = [coverage] if coverage else []
-    newest = inside.groupBy(*keys).agg(F.max(F.struct(ts, value, *extra)).alias("__r"))
+    newest = rows_of_newest(inside, keys, ts).groupBy(*keys).agg(F.max(F.struct(ts, value, *extra)).alias("__r"))
     age = (F.unix_micros(as_of.cast("timestamp"))
            - F.unix_micros(F.col(f"__r.{ts}").cast("timestamp"))) / 3.6e9
     return newest.select(*keys, F.col(f"__r.{ts}").alias(ts), F.col(f"__r.{value}").alias(value),
@@ -88,23 +89,18 @@ def consensus(readings: DataFrame, keys: Sequence[str], station: str, aqi: str,
     """Upper median over stations, the row of the station nearest to it, range and count.
 
     Stations are ranked within their key; a key is one place and hour, so its
-    group is the number of stations there. Ties go to the smaller station id.
+    group is the number of stations there. Ties go to the smaller station id. One
+    shuffle; the readings are not joined to themselves.
     """
-    valid = readings.filter(F.col(aqi) > 0)
     group = Window.partitionBy(*keys)
-    ranked = valid.withColumns({
-        "__i": F.row_number().over(group.orderBy(aqi, station)) - 1,
-        "__n": F.count(F.lit(1)).over(group),
-    })
-    median = ranked.groupBy(*keys).agg(
-        F.max(F.when(F.col("__i") == F.floor(F.col("__n") / 2), F.col(aqi))).alias("median_aqi"),
-        F.max("__n").alias("stations_used"),
-        F.min(aqi).alias("__lo"), F.max(aqi).alias("__hi"))
-    joined = valid.join(median, list(keys)).withColumn(
-        "__d", F.abs(F.col(aqi) - F.col("median_aqi")))
-    nearest = joined.groupBy(*keys, "median_aqi", "stations_used", "__lo", "__hi").agg(
-        F.min(F.struct("__d", F.col(station), *carry)).alias("__s"))
+    whole = group.orderBy(aqi, station).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ranked = readings.filter(F.col(aqi) > 0).withColumns({
+        "__i": F.row_number().over(group.orderBy(aqi, station)) - 1, "stations_used": F.count(F.lit(1)).over(whole),
+        "__lo": F.min(aqi).over(whole), "__hi": F.max(aqi).over(whole)})
+    middle = F.when(F.col("__i") == F.floor(F.col("stations_used") / 2), F.col(aqi))
+    ranked = ranked.withColumn("median_aqi", F.max(middle).over(whole))
+    nearest = ranked.withColumn("__r", F.row_number().over(group.orderBy(
+        F.abs(F.col(aqi) - F.col("median_aqi")), station, *carry))).filter(F.col("__r") == 1)
     return nearest.select(
         *keys, "median_aqi", "stations_used", F.concat_ws("-", "__lo", "__hi").alias("aqi_range"),
-        F.col(f"__s.{station}").alias("nearest_station"),
-        *[F.col(f"__s.{c}").alias(c) for c in carry])
+        F.col(station).alias("nearest_station"), *carry)

@@ -118,3 +118,31 @@ def test_heartbeat_gaps_equal_pairwise(rows):
     got = alerts.heartbeat_gaps(events(rows, *[(s, 1.0) for s in seconds]), ["service"], limit=60)
     want = {(a, b) for a, b in zip(seconds, seconds[1:]) if b - a > 60}
     assert {((r.gap_start - T0).total_seconds(), (r.gap_end - T0).total_seconds()) for r in got.collect()} == want
+
+
+def test_hot_right_side_is_cut_along_time(spark):
+    """One key and day with most rows of the right side: pieces of about the wanted size, and the same matches."""
+    right = spark.range(60_000).selectExpr(
+        "if(id < 50000, 'hot', concat('k', id % 50)) AS city", "id AS r",
+        "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(if(id < 50000, 0, id % 20), if(id < 45000, 3, 5), 0, id % 50000 / 50.0) AS ts")
+    left = spark.range(3_000).selectExpr(
+        "if(id % 2 = 0, 'hot', concat('k', id % 50)) AS city", "id AS l",
+        "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(if(id % 2 = 0, 0, id % 20), 3, 0, id / 3.0) AS ts")
+    by, at = ["city", "__b"], F.unix_micros(F.col("ts").cast("timestamp"))
+    bucket = F.lit(0).alias("__b")
+    day = [side.filter("ts < timestamp_ntz'2024-01-02 00:00:00'").select("city", "ts", bucket) for side in (left, right)]
+    cuts = lookups._cuts(*day, by, at, 2000)
+    hot = day[1].join(cuts, by).withColumn("p", F.size(F.filter("__cuts", lambda c: c <= at))).groupBy("p").count().collect()
+    assert len(hot) > 20 and max(r["count"] for r in hot) < 3 * 2000
+    got = lookups.as_of_join(left, right, ["city"], "ts", ["r"], 24, 2000).toPandas().sort_values("l")
+    want = pd.merge_asof(left.toPandas().sort_values("ts"), right.toPandas().sort_values(["ts", "r"]), on="ts", by="city").sort_values("l")
+    assert got["r"].tolist() == want["r"].tolist() or got["r"].fillna(-1).tolist() == want["r"].fillna(-1).tolist()
+
+
+def test_newest_rows_need_no_sort_of_all_rows(rows, spark):
+    """Raw rows are hash-aggregated; what is compared as a whole lies above the join that leaves the newest ones."""
+    events = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
+    found = lookups.last_known(events, ["event_type"], "ts", ["value"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("SortAggregate") < plan.index("Join") < plan.rindex("HashAggregate")
+    assert "SortAggregate" not in plan[plan.index("Join"):]
