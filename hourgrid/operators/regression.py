@@ -44,6 +44,8 @@ class SeasonalModel:
     changepoint_range: float = 0.8
     changepoint_prior: float = 0.05
     seasonality_prior: float = 10.0
+    #: "normal": changes of the slope carry a ridge penalty; "laplace": an absolute one, so most of them are zero
+    changepoint_shape: str = "normal"
     regressors: Sequence[str] = field(default_factory=lambda: tuple(REGRESSORS))
 
     @property
@@ -62,12 +64,22 @@ class SeasonalModel:
         return cls(tuple((p, n) for p, n in seasonalities), changepoints, reach, regressors=tuple(regressors))
 
     def penalties(self) -> np.ndarray:
-        """Ridge weights: none on level and slope, ``1 / prior**2`` elsewhere."""
+        """Ridge weights: none on level and slope, ``1 / prior**2`` elsewhere; none on changes that have absolute ones."""
         seasonal = 2 * sum(order for _, order in self.seasonalities) + len(self.regressors)
+        changes = 0.0 if self.changepoint_shape == "laplace" else self.changepoint_prior ** -2.0
         return np.concatenate([
-            np.zeros(2), np.full(self.changepoints, self.changepoint_prior ** -2.0),
+            np.zeros(2), np.full(self.changepoints, changes),
             np.full(seasonal, self.seasonality_prior ** -2.0)])
 
+    def absolute_penalties(self) -> np.ndarray:
+        """Weights of absolute values: ``1 / prior`` on changes of the slope that have a Laplace prior."""
+        if self.changepoint_shape not in ("normal", "laplace"):
+            raise ValueError("changepoint_shape must be normal or laplace")
+        weights = np.zeros(self.width)
+        if self.changepoint_shape == "laplace":
+            weights[2:2 + self.changepoints] = 1.0 / self.changepoint_prior
+        return weights
+
     def vector(self, ts: Column, time: Column) -> Column:
         """Feature vector of a row; ``time`` is 0..1 over the training range."""
         parts = [F.lit(1.0), time]
@@ -148,7 +160,46 @@ def _gram_batch(sums: dict[str, np.ndarray], rows: dict[str, int], size: int) ->
         names=["__key", "__rows", "__gram"])
 
 
-def _solver(width: int, penalties: list[float]):
+def solve_penalised(gram: np.ndarray, target: np.ndarray, ridge: np.ndarray, absolute: np.ndarray,
+                    sweeps: int = 20_000, tolerance: float = 1e-12) -> np.ndarray:
+    """The minimum of ``b'Gb/2 - t'b + ridge'b^2/2 + absolute'|b|``, from sums alone.
+
+    Coefficients without an absolute weight are eliminated. The others go through coordinate
+    descent; then the system of those that are not zero is solved as a whole with their signs,
+    and taken if it meets the conditions of the minimum.
+    """
+    whole = gram + np.diag(ridge)
+    sparse, free = np.flatnonzero(absolute > 0), np.flatnonzero(absolute == 0)
+    if not len(sparse):
+        return np.linalg.lstsq(whole, target, rcond=None)[0]
+    # pseudo-inverse: level and slope may coincide on short series
+    inner = np.linalg.pinv(whole[np.ix_(free, free)], hermitian=True)
+    across = whole[np.ix_(sparse, free)]
+    reduced = whole[np.ix_(sparse, sparse)] - across @ inner @ across.T
+    wanted, weights = target[sparse] - across @ inner @ target[free], absolute[sparse]
+    beta, size = np.zeros(len(sparse)), np.diag(reduced)
+    usable = size > 1e-12 * max(np.abs(np.diag(gram)).max(), 1e-300)  # a change after the last row changes nothing
+    for _ in range(sweeps):
+        moved = 0.0
+        for j in np.flatnonzero(usable):
+            pull = wanted[j] - reduced[j] @ beta + size[j] * beta[j]
+            new = math.copysign(max(abs(pull) - weights[j], 0.0), pull) / size[j]
+            moved, beta[j] = max(moved, abs(new - beta[j])), new
+        if moved <= tolerance * max(1.0, np.abs(beta).max()):
+            break
+    active = np.flatnonzero(beta)
+    if len(active):
+        exact = np.zeros(len(sparse))
+        exact[active] = np.linalg.lstsq(reduced[np.ix_(active, active)], wanted[active] - weights[active] * np.sign(beta[active]), rcond=None)[0]
+        slack = np.abs(wanted - reduced @ exact) <= weights * (1 + 1e-9) + 1e-9
+        if (np.sign(exact) == np.sign(beta)).all() and slack[usable].all():
+            beta = exact
+    out = np.zeros(len(target))
+    out[sparse], out[free] = beta, inner @ (target[free] - across.T @ beta)
+    return out
+
+
+def _solver(width: int, penalties: list[float], absolute: list[float]):
     @F.pandas_udf("coefficients array<double>, sigma double")
     def solve(grams: pd.Series, rows: pd.Series) -> pd.DataFrame:
         size = width + 1
@@ -159,7 +210,7 @@ def _solver(width: int, penalties: list[float]):
             full[upper] = flat
             full = full + np.triu(full, 1).T
             a, b, yy = full[:width, :width], full[:width, width], full[width, width]
-            beta = np.linalg.lstsq(a + np.diag(penalties), b, rcond=None)[0]
+            beta = solve_penalised(a, b, np.array(penalties), np.array(absolute))
             rss = max(yy - 2 * beta @ b + beta @ a @ beta, 0.0)
             out.append((beta.tolist(), math.sqrt(rss / max(n, 1))))
         return pd.DataFrame(out, columns=["coefficients", "sigma"])
@@ -189,7 +240,7 @@ def fit(train: DataFrame, keys: Sequence[str], ts: str = "ds", y: str = "y",
     scaling = _scaling(train, by, ts, y, model.regressors)
     whole = gram_cells(train, scaling, by, ts, y, model).groupBy("__key").agg(F.transform(
         F.sort_array(F.collect_list(F.struct("__i", "__v"))), lambda s: s["__v"]).alias("__gram"))
-    solve = _solver(model.width, [float(p) for p in model.penalties()])
+    solve = _solver(model.width, [float(p) for p in model.penalties()], [float(p) for p in model.absolute_penalties()])
     named = scaling.withColumn("__key", F.to_json(F.struct(*by)))
     return (named.join(whole, "__key").withColumn("__fit", solve("__gram", "__rows"))
             .withColumns({"coefficients": F.col("__fit.coefficients"), "sigma": F.col("__fit.sigma"),

@@ -310,6 +310,25 @@ def ridge_one_regressor(spark, sf):
     return _fitted(_thousands(spark, sf), regression.SeasonalModel(seasonalities=(), changepoints=0, regressors=("n",)))
 
 
+KNOT, CHANGE_PRIOR = 0.4, 1.0
+
+
+@query("sparse_trend", with_ctes(DAILY_CTE, THOUSANDS) + f"""
+, h AS (SELECT city, scale, t, y/scale AS y, greatest(0, t - {KNOT}::DOUBLE) AS h FROM x),
+c AS (SELECT city, max(scale) AS scale, count(*) AS n, avg(t) AS mt, avg(h) AS mh, avg(y) AS my, count(*)*var_pop(t) AS tt, count(*)*covar_pop(t, h) AS th,
+  count(*)*var_pop(h) AS hh, count(*)*covar_pop(t, y) AS ty, count(*)*covar_pop(h, y) AS hy FROM h GROUP BY city),
+q AS (SELECT *, hy - th*ty/tt AS pull, hh - th*th/tt AS size FROM c),
+s AS (SELECT *, sign(pull)*greatest(abs(pull) - {1 / CHANGE_PRIOR}::DOUBLE, 0)/size AS change FROM q)
+SELECT city, round((ty - change*th)/tt, 6) AS slope, round(change, 6) AS change, round(my - (ty - change*th)/tt*mt - change*mh, 6) AS level FROM s""")
+def sparse_trend(spark, sf):
+    """One possible change of the slope with an absolute penalty: zero, or shrunk by as much as the penalty."""
+    model = regression.SeasonalModel(seasonalities=(), changepoints=1, changepoint_range=KNOT, changepoint_prior=CHANGE_PRIOR,
+                                     changepoint_shape="laplace", regressors=())
+    found = regression.fit(_thousands(spark, sf), KEYS, model=model)
+    level, slope, change = (F.round(F.col("coefficients")[i], 6) for i in range(3))
+    return found.select("city", slope.alias("slope"), (change + 0.0).alias("change"), level.alias("level"))
+
+
 GRAM = ["1::DOUBLE", "t", "sin(e/86400*(2*pi()/7))", "cos(e/86400*(2*pi()/7))", "y/scale"]
 
 

@@ -179,3 +179,47 @@ def test_promotion(spark):
     found = {r.city: (r.version, r.mae, r.loaded) for r in registry.champion_lookup(series, history, ["city"]).collect()}
     assert found == {"a": (3, 25.0, True), "b": (1, 9.0, True), "c": (None, float("inf"), False)}
     assert [r.city for r in registry.missing_champions(series, history, ["city"]).collect()] == ["c"]
+
+
+def test_orthogonal_columns_are_soft_thresholded():
+    rng = np.random.default_rng(2)
+    q = np.linalg.qr(rng.normal(size=(200, 12)))[0] * 3
+    y = q @ rng.normal(size=12) + rng.normal(size=200)
+    weights = np.full(12, 4.0)
+    got = regression.solve_penalised(q.T @ q, q.T @ y, np.zeros(12), weights)
+    pull = q.T @ y
+    np.testing.assert_allclose(got, np.sign(pull) * np.maximum(np.abs(pull) - 4.0, 0) / 9, atol=1e-12)
+    assert 0 < (got == 0).sum() < 12
+
+
+@pytest.mark.parametrize("weight", [0.01, 1.0, 30.0, 1e6])
+def test_sparse_changes_meet_the_conditions_of_the_minimum(weight):
+    """Hinge columns are nearly collinear: gradient within the weight where zero, equal to it elsewhere."""
+    rng = np.random.default_rng(3)
+    t = np.linspace(0, 1, 2000)
+    knots = 0.8 * np.arange(1, 26) / 25
+    x = np.column_stack([np.ones_like(t), t, np.maximum(0, t[:, None] - knots), np.sin(40 * t), np.cos(40 * t)])
+    y = 0.3 * t + 2 * np.maximum(0, t - knots[9]) - 3 * np.maximum(0, t - knots[17]) + 0.1 * np.sin(40 * t) + rng.normal(0, 0.05, len(t))
+    ridge = np.concatenate([np.zeros(27), np.full(2, 0.01)])
+    absolute = np.concatenate([np.zeros(2), np.full(25, weight), np.zeros(2)])
+    beta = regression.solve_penalised(x.T @ x, x.T @ y, ridge, absolute)
+    gradient = x.T @ (y - x @ beta) - ridge * beta
+    free = absolute == 0
+    np.testing.assert_allclose(gradient[free], 0, atol=1e-6)
+    on = ~free & (beta != 0)
+    np.testing.assert_allclose(gradient[on], weight * np.sign(beta[on]), rtol=1e-4, atol=1e-4)
+    assert (np.abs(gradient[~free]) <= weight * (1 + 1e-4) + 1e-4).all()
+    assert (on.sum() >= 2) == (weight <= 1.0)
+
+
+def test_laplace_fit_is_sparse_and_follows_the_trend(spark):
+    rows = spark.range(900).selectExpr("'c' AS city", "timestamp_ntz'2022-01-01 00:00:00' + make_dt_interval(cast(id AS int)) AS ds",
+                                       "100 + 0.1D * id + if(id > 360, 0.5D * (id - 360), 0D) AS y")
+    model = regression.SeasonalModel(seasonalities=(), changepoint_shape="laplace", regressors=())
+    fitted = regression.fit(rows, ["city"], model=model)
+    changes = np.array(fitted.first().coefficients[2:])
+    assert 1 <= (np.abs(changes) > 1e-9).sum() < 13
+    ridge = np.array(regression.fit(rows, ["city"], model=regression.SeasonalModel(seasonalities=(), regressors=())).first().coefficients[2:])
+    assert (np.abs(ridge) > 1e-9).sum() == 25
+    scored = regression.predict(rows, fitted, ["city"], model=model).selectExpr("max(abs(least(y, 500) - yhat)) AS e").first()
+    assert scored.e < 25
