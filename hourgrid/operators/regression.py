@@ -46,6 +46,8 @@ class SeasonalModel:
     seasonality_prior: float = 10.0
     #: "normal": changes of the slope carry a ridge penalty; "laplace": an absolute one, so most of them are zero
     changepoint_shape: str = "normal"
+    #: variance of the noise that absolute penalties are weighed against; fitted with the rest if None
+    noise_variance: float | None = None
     regressors: Sequence[str] = field(default_factory=lambda: tuple(REGRESSORS))
 
     @property
@@ -72,7 +74,7 @@ class SeasonalModel:
             np.full(seasonal, self.seasonality_prior ** -2.0)])
 
     def absolute_penalties(self) -> np.ndarray:
-        """Weights of absolute values: ``1 / prior`` on changes of the slope that have a Laplace prior."""
+        """Weights of absolute values, for noise of variance 1: ``1 / prior`` on changes that have a Laplace prior."""
         if self.changepoint_shape not in ("normal", "laplace"):
             raise ValueError("changepoint_shape must be normal or laplace")
         weights = np.zeros(self.width)
@@ -199,7 +201,29 @@ def solve_penalised(gram: np.ndarray, target: np.ndarray, ridge: np.ndarray, abs
     return out
 
 
-def _solver(width: int, penalties: list[float], absolute: list[float]):
+def solve_with_noise(gram: np.ndarray, target: np.ndarray, square: float, rows: int, ridge: np.ndarray, absolute: np.ndarray,
+                     variance: float | None, rounds: int = 50) -> tuple[np.ndarray, float]:
+    """(coefficients, mean squared residual). Absolute weights grow with the variance of the noise.
+
+    Without a given variance, coefficients and variance are fitted in turn, from the
+    variance without absolute weights on, until it stays.
+    """
+    def residual(beta: np.ndarray) -> float:
+        return max(square - 2 * beta @ target + beta @ gram @ beta, 0.0) / max(rows, 1)
+
+    if variance is not None or not absolute.any():
+        beta = solve_penalised(gram, target, ridge, absolute * (variance or 0.0))
+        return beta, residual(beta)
+    now = residual(solve_penalised(gram, target, ridge, np.zeros(len(target))))
+    for _ in range(rounds):
+        before, beta = now, solve_penalised(gram, target, ridge, absolute * now)
+        now = residual(beta)
+        if abs(now - before) <= 1e-9 * before:
+            break
+    return beta, now
+
+
+def _solver(width: int, penalties: list[float], absolute: list[float], variance: float | None):
     @F.pandas_udf("coefficients array<double>, sigma double")
     def solve(grams: pd.Series, rows: pd.Series) -> pd.DataFrame:
         size = width + 1
@@ -210,9 +234,8 @@ def _solver(width: int, penalties: list[float], absolute: list[float]):
             full[upper] = flat
             full = full + np.triu(full, 1).T
             a, b, yy = full[:width, :width], full[:width, width], full[width, width]
-            beta = solve_penalised(a, b, np.array(penalties), np.array(absolute))
-            rss = max(yy - 2 * beta @ b + beta @ a @ beta, 0.0)
-            out.append((beta.tolist(), math.sqrt(rss / max(n, 1))))
+            beta, error = solve_with_noise(a, b, yy, n, np.array(penalties), np.array(absolute), variance)
+            out.append((beta.tolist(), math.sqrt(error)))
         return pd.DataFrame(out, columns=["coefficients", "sigma"])
 
     return solve
@@ -240,7 +263,8 @@ def fit(train: DataFrame, keys: Sequence[str], ts: str = "ds", y: str = "y",
     scaling = _scaling(train, by, ts, y, model.regressors)
     whole = gram_cells(train, scaling, by, ts, y, model).groupBy("__key").agg(F.transform(
         F.sort_array(F.collect_list(F.struct("__i", "__v"))), lambda s: s["__v"]).alias("__gram"))
-    solve = _solver(model.width, [float(p) for p in model.penalties()], [float(p) for p in model.absolute_penalties()])
+    solve = _solver(model.width, [float(p) for p in model.penalties()], [float(p) for p in model.absolute_penalties()],
+                    model.noise_variance)
     named = scaling.withColumn("__key", F.to_json(F.struct(*by)))
     return (named.join(whole, "__key").withColumn("__fit", solve("__gram", "__rows"))
             .withColumns({"coefficients": F.col("__fit.coefficients"), "sigma": F.col("__fit.sigma"),

@@ -323,7 +323,7 @@ SELECT city, round((ty - change*th)/tt, 6) AS slope, round(change, 6) AS change,
 def sparse_trend(spark, sf):
     """One possible change of the slope with an absolute penalty: zero, or shrunk by as much as the penalty."""
     model = regression.SeasonalModel(seasonalities=(), changepoints=1, changepoint_range=KNOT, changepoint_prior=CHANGE_PRIOR,
-                                     changepoint_shape="laplace", regressors=())
+                                     changepoint_shape="laplace", noise_variance=1.0, regressors=())
     found = regression.fit(_thousands(spark, sf), KEYS, model=model)
     level, slope, change = (F.round(F.col("coefficients")[i], 6) for i in range(3))
     return found.select("city", slope.alias("slope"), (change + 0.0).alias("change"), level.alias("level"))

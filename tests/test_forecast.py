@@ -214,7 +214,7 @@ def test_sparse_changes_meet_the_conditions_of_the_minimum(weight):
 
 def test_laplace_fit_is_sparse_and_follows_the_trend(spark):
     rows = spark.range(900).selectExpr("'c' AS city", "timestamp_ntz'2022-01-01 00:00:00' + make_dt_interval(cast(id AS int)) AS ds",
-                                       "100 + 0.1D * id + if(id > 360, 0.5D * (id - 360), 0D) AS y")
+                                       "100 + 0.1D * id + if(id > 360, 0.5D * (id - 360), 0D) + 20 * (rand(5) - 0.5) AS y")
     model = regression.SeasonalModel(seasonalities=(), changepoint_shape="laplace", regressors=())
     fitted = regression.fit(rows, ["city"], model=model)
     changes = np.array(fitted.first().coefficients[2:])
