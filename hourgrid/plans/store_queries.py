@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hourgrid.functions.timefns import city_key
-from hourgrid.operators import backfill, baseline, drift, metrics
+from hourgrid.operators import backfill, baseline, drift, metrics, quality
 from hourgrid.plans.bindings import (
     DAILY_CTE, HOURLY_CTE, KEYS, WEATHER_CTE, daily_orders, hourly, hourly_plan, index_sql, table,
     weather_plan, with_ctes)
@@ -212,3 +212,22 @@ def quarantined_history(spark, sf):
     good = spark.read.parquet(usable).select(F.lit("usable").alias("reason"))
     counts = good.unionByName(spark.read.parquet(rejected).select("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
     return counts.unionByName(counts.agg(F.sum("n").alias("n")).select(F.lit("all").alias("reason"), "n"))
+
+
+@query("stations_in_order", """
+SELECT user_id AS station, count(*)::BIGINT AS readings, row_number() OVER (ORDER BY user_id) AS position FROM events GROUP BY user_id""")
+def stations_in_order(spark, sf):
+    """Stations written in the order of their ids, and found in that order in the files."""
+    path = fresh_path(spark, "stations")
+    stations = table(spark, sf, "events").groupBy(F.col("user_id").alias("station")).agg(F.count(F.lit(1)).alias("readings"))
+    stores.write_ordered(stations, path, ["station"], files=5)
+    return stores.read_positions(spark, path)
+
+
+@query("weather_columns_present", with_ctes(WEATHER_CTE) + "SELECT city, ts, temperature_2m, wind_speed_10m, strftime(ts, '%H') AS temp_inversion FROM weather")
+def weather_columns_present(spark, sf):
+    """Of all weather columns those that a stored table has, among them an optional one; others are not made up."""
+    path = fresh_path(spark, "weather")
+    rows = weather_plan(spark, sf).withColumns({"temp_inversion": F.date_format("ts", "HH"), "station_note": F.lit("n/a")})
+    rows.write.parquet(path)
+    return quality.keep_present(spark.read.parquet(path), ["city", "ts", *WEATHER_COLS, "temp_inversion"])

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -145,6 +145,28 @@ def write_features(df: DataFrame, path: str, partition: Sequence[str] = ("city",
     df.write.mode("overwrite").partitionBy(*partition).parquet(path)
 
 
+def write_ordered(df: DataFrame, path: str, by: Sequence[str], files: int | None = None) -> None:
+    """Write rows in the order of ``by``: each file holds a range of it, sorted, and files follow one another.
+
+    Ranges come from a sample of the keys, so no task sorts more than its share. Rows
+    with equal keys share a file.
+    """
+    ranged = df.repartitionByRange(files, *by) if files else df.repartitionByRange(*by)
+    ranged.sortWithinPartitions(*by).write.mode("overwrite").parquet(path)
+
+
+def read_positions(spark: SparkSession, path: str, position: str = "position") -> DataFrame:
+    """The rows with their place, from 1 on, in the order of a folder's files and within them."""
+    file = F.col("_metadata.file_path")
+    rows = spark.read.parquet(path).select(
+        "*", F.regexp_replace(file, "/[^/]*$", "").alias("__folder"), file.alias("__file"), F.col("_metadata.row_index").alias("__row"))
+    sizes = rows.groupBy("__folder", "__file").agg(F.count(F.lit(1)).alias("__n"))  # a row a file
+    earlier = Window.partitionBy("__folder").orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.withColumn("__before", F.coalesce(F.sum("__n").over(earlier), F.lit(0))).drop("__n")
+    return rows.join(starts, ["__folder", "__file"]).withColumn(position, F.col("__before") + F.col("__row") + 1).drop(
+        "__folder", "__file", "__row", "__before")
+
+
 def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
