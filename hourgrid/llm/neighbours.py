@@ -29,9 +29,8 @@ travels_by_value(__name__)
 #: Pivots, a bounded sample of distinct vectors; and how many of them a vector posts.
 PIVOTS = 256
 POSTED = 128
-#: Share of a shard's vectors that are ranked again exactly, and the least number of them.
-SHARE = 0.15
-LEAST = 1000
+#: Share of a shard's vectors that are ranked again exactly, at any size.
+SHARE = 0.3
 #: Vectors in a shard and queries in a block, about.
 SHARD = 8192
 BLOCK = 1024
@@ -112,7 +111,7 @@ def _numbers(n: int) -> Column:
 
 
 def search(index: Index, queries: DataFrame, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding",
-           share: float = SHARE, least: int = LEAST, block: int = BLOCK) -> DataFrame:
+           share: float = SHARE, block: int = BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` best vectors found for each query, best first.
 
     ``score`` is the inner product in double precision, ties go to the smaller id; a
@@ -140,7 +139,7 @@ def search(index: Index, queries: DataFrame, k: int = 20, id_col: str = "vec_id"
             ranks, own = files(order, len(pivots)), _matrix(asks.column("vec"))
             if own.shape[1] != vecs.shape[1]:
                 return pa.table(out, schema)
-            again = max(least, int(share * len(ids)) + 1, k + 1)
+            again = max(int(share * len(ids)) + 1, k + 1)
             steps = np.arange(posted, dtype=np.int16)[:, None]
             for query, q, near in zip(asks.column("id").to_pylist(), own, orders(own, pivots, 0.0, posted, query=True)):
                 if again < len(ids):
