@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hourgrid.operators import quality
-from hourgrid.sources import feeds, history, stores
+from hourgrid.sources import baselines, feeds, history, quarantine, stores
 from hourgrid.sources.schemas import RAW_READING
 
 
@@ -188,3 +188,40 @@ def test_quality_helpers(spark):
     slow = spark.createDataFrame([("a", 20.0), ("a", 12.0), ("b", 2.0)], "city string, wind_speed_10m double")
     fixed = {(r.city, round(r.wind_speed_10m, 6)) for r in quality.wind_unit_fix(slow, ["city"]).collect()}
     assert fixed == {("a", round(20 / 3.6, 6)), ("a", round(12 / 3.6, 6)), ("b", 2.0)}
+
+
+def test_stored_baselines_prune_to_the_month(spark, tmp_path):
+    """A month is one folder a series; series without enough rows in it fall back to all of theirs."""
+    rows = spark.range(24 * 90).selectExpr(
+        "if(id % 7 < 5, 'full', 'thin') AS city", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, cast(id AS int)) AS ds",
+        "cast(id % 100 AS double) AS y").filter("city = 'full' OR day(ds) <= 8")
+    path = str(tmp_path / "baselines")
+    baselines.write_baselines(rows, path, ["city"], min_rows=100)
+    found = baselines.read_baselines(spark, path, ["city"], 2)
+    got = {(r.city, r.month): r["count"] for r in found.groupBy("city", "month").count().collect()}
+    assert set(got) == {("full", 2), ("thin", 1), ("thin", 2), ("thin", 3)}
+    assert baselines.read_baselines(spark, path, ["city"]).count() == rows.count()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    filters = [line for line in plan.split("PartitionFilters: ")[1:]]
+    assert any("(month#" in f.split("PushedFilters")[0] and "= 2)" in f.split("PushedFilters")[0] for f in filters)
+    assert any("dynamicpruning" in f.split("PushedFilters")[0] for f in filters)
+
+
+def test_ordered_files(spark, tmp_path):
+    path = str(tmp_path / "ordered")
+    stores.write_ordered(spark.range(5000).selectExpr("(id * 7919) % 5000 AS id"), path, ["id"], files=4)
+    rows = stores.read_positions(spark, path)
+    assert rows.count() == 5000 and rows.filter("position != id + 1").count() == 0
+    assert len(list((tmp_path / "ordered").glob("*.parquet"))) == 4
+
+
+def test_every_record_is_in_one_table(spark, tmp_path):
+    good = '{"value": 5.0, "period": {"datetimeTo": {"utc": "2024-01-01T05:30:00Z"}}}'
+    pages = [(f'{{"results": [{good}, {{"value": "x"}}, 7, {{"value": -1, "period": {{"datetimeTo": {{"utc": "2024-01-01T05:30:00Z"}}}}}}]}}',),
+             ("{broken",), (None,), ('{"results": []}',), ('{"results": [{"value": 1.0}]}',)]
+    judged = quarantine.judged_measurements(spark.createDataFrame(pages, "payload string").selectExpr("'c' AS city", "payload"), ["city"], "payload")
+    usable, rejected = str(tmp_path / "u"), str(tmp_path / "r")
+    quarantine.apart(judged, usable, rejected)
+    assert [(r.pm25, r.ts.hour) for r in spark.read.parquet(usable).collect()] == [(5.0, 5)]
+    reasons = sorted(r.reason for r in spark.read.parquet(rejected).collect())
+    assert reasons == sorted(["unreadable record", "unreadable record", "out of bounds", "unreadable payload", "unreadable payload", "no time"])
