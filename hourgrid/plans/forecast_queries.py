@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hourgrid.functions.index import aqi_label, whole_index
-from hourgrid.operators import forecast, lookups, metrics, registry, regression
+from hourgrid.operators import autoregression, forecast, lookups, metrics, registry, regression
 from hourgrid.operators.features import feature_table
 from hourgrid.plans.bindings import (
     DAILY_CTE, HOURLY_CTE, KEYS, WEATHER_CTE, daily_orders, hourly, label_sql, readings, table, weather,
@@ -341,3 +341,39 @@ def ridge_gram(spark, sf):
     cells = regression.gram_cells(rows, regression._scaling(rows, KEYS, "ds", "y", ()), KEYS, "ds", "y", model)
     return cells.select(F.get_json_object("__key", "$.city").alias("city"), F.col("__i").alias("cell"),
                         F.round("__v", 6).alias("value"))
+
+
+WEEKLY = autoregression.Orders(season=7, long=2, own=(1,), shocks=(1,), step=24)
+SHOCKS_CTE = """dd AS (SELECT city, ds::DATE AS d, y/1000 AS y FROM daily),
+w AS (SELECT a.city, a.d, a.y - b.y - c.y + e.y AS w FROM dd a JOIN dd b ON b.city = a.city AND b.d = a.d - 1
+ JOIN dd c ON c.city = a.city AND c.d = a.d - 7 JOIN dd e ON e.city = a.city AND e.d = a.d - 8),
+l AS (SELECT a.*, b.w AS w1, c.w AS w2 FROM w a JOIN w b ON b.city = a.city AND b.d = a.d - 1 JOIN w c ON c.city = a.city AND c.d = a.d - 2),
+s1 AS (SELECT city, count(*) AS n, sum(w1*w1) AS g, sum(w1*w2) AS k, sum(w2*w2) AS h, sum(w*w1) AS s, sum(w*w2) AS t FROM l GROUP BY city),
+p AS (SELECT d.city, CASE WHEN n > 4 THEN (s*h - t*k)/(g*h - k*k) ELSE 0 END AS p1, CASE WHEN n > 4 THEN (t*g - s*k)/(g*h - k*k) ELSE 0 END AS p2
+ FROM (SELECT DISTINCT city FROM dd) d LEFT JOIN s1 ON s1.city = d.city),
+e AS (SELECT l.city, l.d, l.w, w - p1*w1 - p2*w2 AS e FROM l JOIN p ON p.city = l.city),
+m AS (SELECT a.city, a.w, e.w AS w1, e.e AS e1 FROM w a JOIN e ON e.city = a.city AND e.d = a.d - 1),
+s2 AS (SELECT city, count(*) AS n, sum(w1*w1) AS g, sum(w1*e1) AS k, sum(e1*e1) AS h, sum(w*w1) AS s, sum(w*e1) AS t FROM m GROUP BY city),
+q AS (SELECT p.*, coalesce(n, 0) AS n, CASE WHEN n > 4 THEN (s*h - t*k)/(g*h - k*k) ELSE 0 END AS own, CASE WHEN n > 4 THEN (t*g - s*k)/(g*h - k*k) ELSE 0 END AS shock
+ FROM p LEFT JOIN s2 ON s2.city = p.city)
+SELECT q.city, round(p1, 6) AS long_1, round(p2, 6) AS long_2, round(own, 6) AS own, round(shock, 6) AS shock,
+ round(coalesce((SELECT sqrt(avg((m.w - own*m.w1 - shock*m.e1)*(m.w - own*m.w1 - shock*m.e1))) FROM m WHERE m.city = q.city), 0), 6) AS sigma, n AS rows FROM q"""
+
+
+@query("arma_stages", with_ctes(DAILY_CTE, SHOCKS_CTE))
+def arma_stages(spark, sf):
+    """Both stages of the autoregressive baseline on weekly differences of the daily order series."""
+    daily = daily_orders(spark, sf).withColumn("y", F.col("y") / 1000)
+    found = autoregression.fit(daily, KEYS, orders=WEEKLY)
+    cells = {"long_1": F.col("long")[0], "long_2": F.col("long")[1], "own": F.col("coefficients")[0],
+             "shock": F.col("coefficients")[1], "sigma": F.col("sigma")}
+    return found.select("city", *[(F.round(c, 6) + 0.0).alias(n) for n, c in cells.items()], "rows")
+
+
+@query("arma_forecast")
+def arma_forecast(spark, sf):
+    """The autoregressive baseline with a season of a day, trained before the last seven days and scored on them."""
+    rows = saved(_series(spark, sf), "series")
+    train, test = rows.filter("split = 'train'"), rows.filter("split = 'test'")
+    ahead = autoregression.predict(train, autoregression.fit(train, KEYS), KEYS, steps=7 * 24)
+    return _rounded(test.select("city", "ds", "y").join(ahead, ["city", "ds"]), ["yhat", "yhat_lower", "yhat_upper"])
