@@ -40,22 +40,24 @@ class Orders:
     shocks: Sequence[int] = (1, 24, 25)
     #: hours from one observation to the next
     step: int = 1
+    #: missing observations in a row that take the value before; lags that meet longer gaps are undefined
+    gap: int = 3
 
     @property
     def history(self) -> int:
         """Observations before a row that its second-stage features reach."""
-        return self.season + 1 + max([self.long, *self.own, *(self.long + s for s in self.shocks)])
+        return self.gap + self.season + 1 + max([self.long, *self.own, *(self.long + s for s in self.shocks)])
 
 
-def on_grid(hours: np.ndarray, values: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:
-    """(grid of hours, values on it, NaN where there is none); the largest value of an hour counts."""
+def on_grid(hours: np.ndarray, values: np.ndarray, step: int, gap: int) -> tuple[np.ndarray, np.ndarray]:
+    """(grid of hours, values on it, NaN in long gaps); the largest value of an hour counts."""
     order = np.lexsort((values, hours))
     hours, values = hours[order], values[order]
     grid = np.arange(hours[0], hours[-1] + 1, step)
     out = np.full(len(grid), np.nan)
     on = (hours - hours[0]) % step == 0
     out[(hours[on] - hours[0]) // step] = values[on]
-    return grid, out
+    return grid, pd.Series(out).ffill(limit=gap).to_numpy() if gap else out
 
 
 def differences(y: np.ndarray, season: int) -> np.ndarray:
@@ -91,7 +93,7 @@ def _gram(orders: Orders, stage: int):
         out = []
         for h, v, m, phi in zip(hours, values, mine, long):
             h, m = np.asarray(h, np.int64), np.asarray(m, bool)
-            grid, y = on_grid(h, np.asarray(v, np.float64), orders.step)
+            grid, y = on_grid(h, np.asarray(v, np.float64), orders.step, orders.gap)
             w = differences(y, orders.season)
             if stage == 1:
                 x = lagged(w, range(1, orders.long + 1))
@@ -138,7 +140,7 @@ def fit(train: DataFrame, keys: Sequence[str], ts: str = "ds", y: str = "y", ord
 
     ``long`` are the first stage's coefficients, ``coefficients`` those of ``own`` and then
     ``shocks``, ``sigma`` the deviation of the second stage's residuals over its ``rows``.
-    Rows whose lags meet a gap are left out. A stage with too few rows has zeros: the series
+    Rows whose lags meet a long gap are left out; filled values are no rows of their own. A stage with too few rows has zeros: the series
     then repeats its last season, moved to its level. Null and NaN values are gaps.
     """
     by = list(keys)
@@ -169,7 +171,8 @@ def outlook(hours: np.ndarray, values: np.ndarray, long: np.ndarray, beta: np.nd
             steps: int) -> tuple[np.ndarray, np.ndarray]:
     """(values, deviations) of the next steps of one series, from its newest observations."""
     size = orders.history + 1
-    y = on_grid(hours[(hours.max() - hours) % orders.step == 0], values[(hours.max() - hours) % orders.step == 0], orders.step)[1][-size:]
+    on = (hours.max() - hours) % orders.step == 0
+    y = on_grid(hours[on], values[on], orders.step, orders.gap)[1][-size:]
     w = differences(np.concatenate([np.full(size - len(y), np.nan), y]), orders.season)
     e = np.nan_to_num(shocks_of(w, long))
     level = filled(y)

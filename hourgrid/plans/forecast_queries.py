@@ -343,7 +343,7 @@ def ridge_gram(spark, sf):
                         F.round("__v", 6).alias("value"))
 
 
-WEEKLY = autoregression.Orders(season=7, long=2, own=(1,), shocks=(1,), step=24)
+WEEKLY = autoregression.Orders(season=7, long=2, own=(1,), shocks=(1,), step=24, gap=0)
 SHOCKS_CTE = """dd AS (SELECT city, ds::DATE AS d, y/1000 AS y FROM daily),
 w AS (SELECT a.city, a.d, a.y - b.y - c.y + e.y AS w FROM dd a JOIN dd b ON b.city = a.city AND b.d = a.d - 1
  JOIN dd c ON c.city = a.city AND c.d = a.d - 7 JOIN dd e ON e.city = a.city AND e.d = a.d - 8),

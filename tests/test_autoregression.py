@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from hourgrid.operators import autoregression as ar
 
-SMALL = ar.Orders(season=4, long=6, own=(1,), shocks=(1,))
+SMALL = ar.Orders(season=4, long=6, own=(1,), shocks=(1,), gap=0)
 
 
 def simulated(n, own, shock, season, seed):
@@ -63,6 +63,16 @@ def test_season_of_shocks(spark):
     assert got.coefficients == pytest.approx(plain(y, orders)[1], abs=1e-6)
 
 
+def test_short_gaps_take_the_value_before(spark):
+    orders = ar.Orders(season=4, long=6, own=(1,), shocks=(1,), gap=2)
+    y = simulated(1500, 0.4, 0.2, 4, 9)
+    y[np.random.default_rng(4).integers(1, 1500, 150)] = np.nan
+    y[700:707] = np.nan
+    df = frame(spark, {"a": y})
+    small, whole = (ar.fit(df, ["city"], orders=orders, bucket_hours=b).first() for b in (60, 5000))
+    assert small.rows == whole.rows > 1200 and small.coefficients == pytest.approx(whole.coefficients, abs=1e-9)
+
+
 def test_forecast_by_hand(spark):
     y = 200 + simulated(800, 0.6, -0.4, 4, 7) * 0.01
     df = frame(spark, {"a": y})
