@@ -9,9 +9,10 @@ from hourgrid.operators import backfill, baseline, drift, metrics, quality
 from hourgrid.plans.bindings import (
     DAILY_CTE, HOURLY_CTE, KEYS, WEATHER_CTE, daily_orders, hourly, hourly_plan, index_sql, table,
     weather_plan, with_ctes)
-from hourgrid.plans.catalog import query
+from hourgrid.plans.catalog import ORACLES, query
 from hourgrid.plans.drift_queries import AS_OF as DRIFT_AS_OF
 from hourgrid.plans.drift_queries import DRIFT_NUMBERS, RECENT_SQL, SEASONAL, _drift_sql, _inputs, _raw
+from hourgrid.plans.feature_queries import hourly_features
 from hourgrid.plans.forecast_queries import NAIVE, REPORT_CTE, _naive
 from hourgrid.plans.ingest_queries import UPSERT_SQL, upsert_sides
 from hourgrid.session import fresh_path
@@ -58,6 +59,14 @@ def _(spark, sf):
     return spark.read.parquet(path)
 
 
+@query("feature_table_store", ORACLES["hourly_features"])
+def _(spark, sf):
+    """The whole feature table through its store: every column, one folder a city, read back."""
+    path = fresh_path(spark, "feature-table")
+    stores.write_features(hourly_features(spark, sf), path, KEYS)
+    return spark.read.parquet(path)
+
+
 @query("absent_weather", with_ctes(HOURLY_CTE) + "SELECT city, ts, aqi, " + ", ".join(
     f"NULL::DOUBLE AS {c}" for c in WEATHER_COLS) + " FROM hourly")
 def _(spark, sf):
