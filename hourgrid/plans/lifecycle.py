@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from hourgrid.dimensions import BONUS_COLS, REGRESSORS, WEATHER_COLS, cities
 from hourgrid.functions.timefns import floor_hour
-from hourgrid.operators import baseline, drift, forecast, lookups, metrics, registry, regression
+from hourgrid.operators import autoregression, baseline, drift, forecast, lookups, metrics, registry, regression
 from hourgrid.operators.dedupe import first_wins
 from hourgrid.operators.features import feature_table
 from hourgrid.operators.quality import keep_present, wind_unit_fix
@@ -35,7 +35,7 @@ class Layout:
 
     def __getattr__(self, name: str) -> str:
         if name not in {"readings", "weather", "features", "baseline", "stats", "drift", "recent",
-                        "models", "versions", "reports"}:
+                        "models", "versions", "reports", "baseline_scores"}:
             raise AttributeError(name)
         return f"{self.root}/{name}"
 
@@ -164,6 +164,31 @@ def train(spark: SparkSession, at: Layout, version: int, trained_at: str, only:
     return registry.champion_history(spark.read.parquet(at.versions), KEYS)
 
 
+def score_baselines(spark: SparkSession, at: Layout, test_days: int = 7) -> DataFrame:
+    """Errors of the statistical baselines on the last days, a row for each city and baseline, beside its champion's.
+
+    The autoregressive baseline looks all the test days ahead from the rows before them, the
+    seasonal-naive one a day ahead at a time. ``improvement_pct`` is what the champion gains on the baseline; null without a champion.
+    """
+    rows = saved(metrics.split_by_time(spark.read.parquet(at.features).select("city", "ds", "y"), KEYS, test_days=test_days), "series")
+    past, test = rows.filter("split = 'train'"), rows.filter("split = 'test'")
+    # a day more than the test days, as the rows before them may end early
+    ahead = autoregression.predict(past, autoregression.fit(past, KEYS), KEYS, steps=(test_days + 1) * 24)
+    forecasts = {"autoregressive": test.join(ahead, ["city", "ds"]),
+                 "seasonal_naive": forecast.seasonal_naive(rows, KEYS).filter("split = 'test'")}
+    parts = [metrics.evaluate(scored, KEYS).select("city", F.lit(name).alias("baseline"), "mae", "rmse", "mape_clip", "coverage_95")
+             for name, scored in forecasts.items()]
+    scores = parts[0].unionByName(parts[1])
+    if stores.exists(spark, at.versions):
+        found = registry.champion_history(spark.read.parquet(at.versions), KEYS).filter("status = 'champion'")
+        scores = scores.join(found.select("city", F.col("mae").alias("model_mae")), KEYS, "left")
+    else:
+        scores = scores.withColumn("model_mae", F.lit(None).cast("double"))
+    scores.withColumn("improvement_pct", F.try_divide(F.col("mae") - F.col("model_mae"), F.col("mae")) * 100).write.mode(
+        "overwrite").parquet(at.baseline_scores)
+    return spark.read.parquet(at.baseline_scores)
+
+
 def champion_models(spark: SparkSession, at: Layout) -> DataFrame:
     """The fitted parameters of each city's champion."""
     found = registry.champion_history(spark.read.parquet(at.versions), KEYS).filter("status = 'champion'")

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hourgrid.operators import autoregression as ar
+from hourgrid.plans import lifecycle as life
 
 SMALL = ar.Orders(season=4, long=6, own=(1,), shocks=(1,), gap=0)
 
@@ -106,3 +107,18 @@ def test_odd_series(spark):
         ahead.setdefault(r.city, []).append(r.yhat)
     assert ahead["one"] == [9.0] * 3 and ahead["flat"] == pytest.approx([3.0] * 3)
     assert ar.fit(df.limit(0), ["city"], orders=SMALL).count() == 0
+
+
+def test_baselines_beside_champions(spark, tmp_path):
+    """A series that repeats every day on a slope: both baselines know the day, only one the slope."""
+    at = life.Layout(str(tmp_path))
+    t = np.arange(24 * 40)
+    wave = 100 + 30 * np.sin(t * 2 * np.pi / 24) + 0.1 * t + np.random.default_rng(1).normal(0, 0.1, len(t))
+    frame(spark, {"a": wave, "b": wave + 20}).write.parquet(at.features)
+    got = {(r.city, r.baseline): r for r in life.score_baselines(spark, at).collect()}
+    assert set(got) == {(c, b) for c in "ab" for b in ("autoregressive", "seasonal_naive")}
+    assert got["a", "autoregressive"].mae < 2 < got["a", "seasonal_naive"].mae < 3 and got["a", "autoregressive"].improvement_pct is None
+    spark.sql("SELECT 'a' AS city, TIMESTAMP_NTZ'2024-01-01 00:00:00' AS trained_at, 1.2D AS mae").write.parquet(f"{at.versions}/version=1")
+    again = {(r.city, r.baseline): r for r in life.score_baselines(spark, at).collect()}
+    naive = again["a", "seasonal_naive"]
+    assert naive.improvement_pct == pytest.approx((naive.mae - 1.2) / naive.mae * 100) and again["b", "seasonal_naive"].model_mae is None
